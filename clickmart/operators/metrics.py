@@ -1,0 +1,263 @@
+"""Analytics metrics over cleaned events (M1–M7).
+
+Each metric is a pure DataFrame -> DataFrame function. Aggregations are written so the
+map side pre-aggregates before any shuffle (per-session, per-user, per-product partial
+aggregates), and group statistics are attached with size-checked broadcasts instead of
+whole-partition windows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from clickmart.functions.columns import exact_avg, safe_pct
+from clickmart.plans.joins import join_small
+from clickmart.schema import PATH_SEPARATOR
+
+QUANTILE_ACCURACY = 10000
+TOP_PAGES_K = 20
+TOP_PATHS_K = 10
+Z_THRESHOLD = 2.0
+IQR_FACTOR = 1.5
+
+
+def page_views(events: DataFrame) -> DataFrame:
+    return events.where(F.col("event_type") == "page_view")
+
+
+# --- M1 ------------------------------------------------------------------------------
+def top_pages(events: DataFrame, k: int = TOP_PAGES_K) -> DataFrame:
+    """Pages with the highest average time on page (ties broken by ``page_url``)."""
+    return (
+        page_views(events)
+        .where(F.col("page_url").isNotNull())
+        .groupBy("page_url")
+        .agg(
+            exact_avg("time_on_page_seconds").alias("avg_time_on_page_seconds"),
+            F.count(F.lit(1)).alias("event_count"),
+        )
+        .orderBy(F.desc("avg_time_on_page_seconds"), F.asc("page_url"))
+        .limit(k)
+    )
+
+
+# --- sessions (shared by M2 and M5) ---------------------------------------------------
+def session_rollup(events: DataFrame, with_path: bool = False) -> DataFrame:
+    """One row per session of page views: count, entry page type and (optionally) path.
+
+    Entry page = page type of the earliest (timestamp, page_type) page view with a
+    page type; NULL timestamps sort first. The path is the page types in that order.
+    """
+    pv = page_views(events)
+    entry_key = F.when(
+        F.col("page_type").isNotNull(), F.struct(F.col("timestamp"), F.col("page_type"))
+    )
+    aggs = [
+        F.count(F.lit(1)).alias("page_view_count"),
+        F.min_by(F.col("page_type"), entry_key).alias("entry_page_type"),
+    ]
+    if with_path:
+        aggs.append(
+            F.sort_array(
+                F.collect_list(F.struct(F.col("timestamp").alias("ts"), F.col("page_type").alias("pt")))
+            ).alias("__steps")
+        )
+    out = pv.groupBy("session_id").agg(*aggs)
+    if with_path:
+        out = out.withColumn(
+            "path", F.concat_ws(PATH_SEPARATOR, F.transform("__steps", lambda s: s["pt"]))
+        ).drop("__steps")
+    return out
+
+
+# --- M2 ------------------------------------------------------------------------------
+def bounce_rate(events: DataFrame, sessions: DataFrame | None = None) -> DataFrame:
+    """Per entry page type: sessions with exactly one page view over all sessions (%)."""
+    sessions = sessions if sessions is not None else session_rollup(events)
+    return (
+        sessions.groupBy(F.col("entry_page_type").alias("page_type"))
+        .agg(
+            F.sum(F.when(F.col("page_view_count") == 1, 1).otherwise(0)).cast("long").alias("bounced_sessions"),
+            # one row per session, so a plain count equals COUNT(DISTINCT session_id)
+            F.count("session_id").alias("total_sessions"),
+        )
+        .withColumn("bounce_rate", safe_pct("bounced_sessions", "total_sessions"))
+        .orderBy(F.desc_nulls_last("bounce_rate"), F.asc("page_type"))
+    )
+
+
+# --- M3 ------------------------------------------------------------------------------
+def conversion_funnel(events: DataFrame) -> DataFrame:
+    """Distinct users reaching each of four independent stages, plus step ratios (%).
+
+    One pass: per-user stage flags (partial aggregation map-side), then one global sum.
+    A NULL user counts as one user, like ``SELECT DISTINCT`` would.
+    """
+    et = F.col("event_type")
+    per_user = (
+        events.where(et.isin("page_view", "product_view", "cart_event"))
+        .groupBy("user_id")
+        .agg(
+            F.max(et == "page_view").alias("s1"),
+            F.max(et == "product_view").alias("s2"),
+            F.max((et == "cart_event") & (F.col("action") == "add")).alias("s3"),
+            F.max((et == "page_view") & (F.col("page_type") == "checkout")).alias("s4"),
+        )
+    )
+    n = lambda c: F.coalesce(F.count_if(F.col(c)), F.lit(0)).cast("long")
+    counts = per_user.agg(
+        n("s1").alias("stage1_page_view_users"),
+        n("s2").alias("stage2_product_view_users"),
+        n("s3").alias("stage3_cart_add_users"),
+        n("s4").alias("stage4_checkout_users"),
+    )
+    return counts.select(
+        "*",
+        safe_pct("stage2_product_view_users", "stage1_page_view_users").alias("stage2_over_stage1_pct"),
+        safe_pct("stage3_cart_add_users", "stage2_product_view_users").alias("stage3_over_stage2_pct"),
+        safe_pct("stage4_checkout_users", "stage3_cart_add_users").alias("stage4_over_stage3_pct"),
+    )
+
+
+# --- M4 ------------------------------------------------------------------------------
+def product_metrics(events: DataFrame) -> DataFrame:
+    """Per viewed product: category, average price, views, cart adds, adds per view.
+
+    Views and cart adds come from one aggregation keyed by product_id (instead of two
+    aggregates and a join): products with no view are dropped, as a left join from
+    views would do.
+    """
+    et = F.col("event_type")
+    is_view = et == "product_view"
+    is_add = (et == "cart_event") & (F.col("action") == "add")
+    return (
+        events.where((is_view | is_add) & F.col("product_id").isNotNull())
+        .groupBy("product_id")
+        .agg(
+            F.min(F.when(is_view, F.col("category"))).alias("category"),
+            exact_avg(F.when(is_view, F.col("price"))).alias("avg_price"),
+            F.count_if(is_view).alias("view_count"),
+            F.count_if(is_add).alias("cart_add_count"),
+        )
+        .where(F.col("view_count") > 0)
+        .withColumn("conversion_rate", F.col("cart_add_count") / F.col("view_count"))
+    )
+
+
+def high_view_low_cart(events: DataFrame, accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
+    """Products viewed more than the 75th percentile but added less than the 25th.
+
+    Percentiles run as scalar subqueries inside the same plan (no driver round trip).
+    """
+    pm = product_metrics(events)
+    views_p75 = pm.select(F.percentile_approx("view_count", 0.75, accuracy)).scalar()
+    adds_p25 = pm.select(F.percentile_approx("cart_add_count", 0.25, accuracy)).scalar()
+    return (
+        pm.where(
+            (F.col("view_count") > F.coalesce(views_p75, F.lit(0)))
+            & (F.col("cart_add_count") < F.coalesce(adds_p25, F.lit(0)))
+        )
+        .select("product_id", "category", "avg_price", "view_count", "cart_add_count", "conversion_rate")
+        .orderBy(F.desc("view_count"), F.asc("cart_add_count"), F.asc("product_id"))
+    )
+
+
+def quantile_thresholds(events: DataFrame, accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
+    """The two thresholds as a one-row table."""
+    pm = product_metrics(events)
+    return pm.agg(
+        F.percentile_approx("view_count", 0.75, accuracy).alias("views_p75"),
+        F.percentile_approx("cart_add_count", 0.25, accuracy).alias("cart_adds_p25"),
+    )
+
+
+# --- M5 ------------------------------------------------------------------------------
+def navigation_paths(
+    events: DataFrame, k: int = TOP_PATHS_K, sessions: DataFrame | None = None
+) -> DataFrame:
+    """Most frequent page-type sequences per session (ties broken by ``path``)."""
+    sessions = sessions if sessions is not None else session_rollup(events, with_path=True)
+    return (
+        sessions.groupBy("path")
+        .agg(F.count(F.lit(1)).alias("session_count"))
+        .orderBy(F.desc("session_count"), F.asc("path"))
+        .limit(k)
+    )
+
+
+# --- M6 ------------------------------------------------------------------------------
+def device_country_time(events: DataFrame) -> DataFrame:
+    return (
+        page_views(events)
+        .groupBy("device_type", "country")
+        .agg(
+            exact_avg("time_on_page_seconds").alias("avg_time_on_page_seconds"),
+            F.count_distinct("session_id").alias("distinct_sessions"),
+        )
+        .orderBy("device_type", "country")
+    )
+
+
+# --- M7 ------------------------------------------------------------------------------
+def page_type_stats(events: DataFrame, accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
+    """M7a + M7b in one aggregation: mean, sample stddev and IQR fences per page type."""
+    t = F.col("time_on_page_seconds")
+    q = F.percentile_approx(t, F.array(F.lit(0.25), F.lit(0.75)), accuracy)
+    stats = page_views(events).groupBy("page_type").agg(
+        exact_avg(t).alias("mean_time"),
+        F.stddev_samp(t).alias("std_time"),
+        q.alias("__q"),
+    )
+    return stats.select(
+        "page_type",
+        "mean_time",
+        "std_time",
+        F.col("__q")[0].alias("q1"),
+        F.col("__q")[1].alias("q3"),
+    ).select(
+        "*",
+        (F.col("q3") - F.col("q1")).alias("iqr"),
+        (F.col("q1") - F.lit(IQR_FACTOR) * (F.col("q3") - F.col("q1"))).alias("lower_bound"),
+        (F.col("q3") + F.lit(IQR_FACTOR) * (F.col("q3") - F.col("q1"))).alias("upper_bound"),
+    )
+
+
+def zscore_by_page_type(events: DataFrame, accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
+    return page_type_stats(events, accuracy).select("page_type", "mean_time", "std_time")
+
+
+def iqr_fences(events: DataFrame, accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
+    return page_type_stats(events, accuracy).select(
+        "page_type", "q1", "q3", "iqr", "lower_bound", "upper_bound"
+    )
+
+
+def anomalies(events: DataFrame, accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
+    """Page views whose time is a z-score (|z| > 2) or IQR outlier within their page type.
+
+    The z statistics of a NULL page type are its own group (as a window partition would
+    make them); the IQR fences of a NULL page type are NULL (as an equi-join would).
+    """
+    stats = page_type_stats(events, accuracy).select(
+        "page_type", "mean_time", "std_time",
+        F.when(F.col("page_type").isNotNull(), F.col("lower_bound")).alias("lower_bound"),
+        F.when(F.col("page_type").isNotNull(), F.col("upper_bound")).alias("upper_bound"),
+    )
+    t = F.col("time_on_page_seconds")
+    pv = page_views(events).select("session_id", "user_id", "page_type", "time_on_page_seconds")
+    joined = join_small(pv, stats, ["page_type"], "left", null_safe=True)
+    z = F.when(F.col("std_time") > 0, (t - F.col("mean_time")) / F.col("std_time")).otherwise(F.lit(0.0))
+    with_flags = joined.select(
+        "session_id", "user_id", "page_type", "time_on_page_seconds",
+        z.alias("z_score"),
+        ((t < F.col("lower_bound")) | (t > F.col("upper_bound"))).alias("is_iqr_outlier"),
+    )
+    high_z = F.abs(F.col("z_score")) > Z_THRESHOLD
+    iqr = F.col("is_iqr_outlier")
+    label = (
+        F.when(high_z & iqr, F.lit("z_score_and_iqr"))
+        .when(high_z, F.lit("z_score"))
+        .when(iqr, F.lit("iqr"))
+    )
+    return with_flags.where(high_z | (iqr == F.lit(True))).withColumn("anomaly_type", label)
