@@ -218,4 +218,136 @@ QUALIFY row_number() OVER (
 SELECT event_id, event_type, page_type, time_on_page_seconds FROM imp1"""
     q["impute_price"] = "WITH " + CLEAN_CTE + """
 SELECT event_id, event_type, category, price FROM clean"""
+    q.update(validation_statements())
     return q
+
+
+_NUM_RE = r"(?i)\s*[+-]?(inf|infinity|((\d+\.?\d*|\.\d+)(e[+-]?\d+)?))\s*"
+
+
+def _num(c: str) -> str:
+    return f"CASE WHEN regexp_full_match({c}, '{_NUM_RE}') THEN TRY_CAST(trim({c}) AS DOUBLE) END"
+
+
+DIRTY_CTE = CANON_CTE + """, dirty AS (
+  SELECT event_id, event_id AS row_pos, event_type,
+         event_type || '/' || strftime("timestamp", '%Y-%m-%d') AS file_id,
+         'events/year=' || strftime("timestamp", '%Y') || '/month=' || strftime("timestamp", '%m')
+           || '/day=' || strftime("timestamp", '%d') || '/' || event_type || '.csv' AS file_key,
+         CASE WHEN dd AND event_id % 97 = 0 THEN 'bad-' || CAST(event_id AS VARCHAR)
+              WHEN dd AND event_id % 101 = 0 THEN NULL ELSE user_id END AS user_id,
+         CASE WHEN dd AND event_id % 89 = 0 THEN '  ' ELSE session_id END AS session_id,
+         CASE WHEN dd AND event_id % 83 = 0 THEN 'not-a-date'
+              ELSE strftime("timestamp", '%Y-%m-%dT%H:%M:%S') END AS ts_text,
+         CASE WHEN event_type = 'page_view' AND dd AND event_id % 41 = 0 THEN 'unknown' ELSE page_type END
+           AS page_type,
+         CAST(CASE WHEN event_type = 'page_view' AND NOT dd
+                   THEN greatest(coalesce(time_on_page_seconds, 1.0), 1.0)
+                   ELSE time_on_page_seconds END AS VARCHAR) AS time_on_page_seconds,
+         CASE WHEN event_type = 'product_view' THEN
+           CASE WHEN dd AND event_id % 29 = 0 THEN '-1' ELSE CAST(coalesce(price, 9.5) AS VARCHAR) END END
+           AS price,
+         CASE WHEN event_type = 'product_view' AND dd AND event_id % 43 = 0 THEN '' ELSE product_id END
+           AS product_id,
+         CASE WHEN event_type = 'cart_event' AND dd AND event_id % 47 = 0 THEN 'hold' ELSE action END AS action,
+         CASE WHEN event_type = 'click' THEN
+           CASE WHEN dd AND event_id % 31 = 0 THEN '-5' ELSE CAST(event_id % 1921 AS VARCHAR) END END
+           AS x_position,
+         CASE WHEN event_type = 'click' THEN
+           CASE WHEN dd AND event_id % 37 = 0 THEN '1.5' ELSE CAST(event_id % 1081 AS VARCHAR) END END
+           AS y_position
+  FROM (SELECT *, day("timestamp") % 3 = 0 AS dd FROM canon)
+), flags AS (
+  SELECT *,
+    NOT coalesce(regexp_full_match(replace(regexp_replace(regexp_replace(
+        replace(replace(user_id, 'urn:', ''), 'uuid:', ''), '^[{}]+', ''), '[{}]+$', ''), '-', ''),
+        '[0-9a-fA-F]{32}'), false) AS invalid_user_id,
+    (session_id IS NULL OR regexp_full_match(session_id, '\\s*')) AS invalid_session_id,
+    TRY_CAST(ts_text AS TIMESTAMP) IS NULL AS invalid_timestamp,
+    CASE WHEN event_type = 'page_view'
+         THEN NOT coalesce(page_type IN ('home', 'category', 'product', 'cart', 'checkout'), false)
+         ELSE false END AS invalid_page_type,
+    CASE WHEN event_type = 'page_view'
+         THEN NOT coalesce((""" + _num("time_on_page_seconds") + """) BETWEEN 1 AND 3600, false)
+         ELSE false END AS invalid_time_on_page_seconds,
+    CASE WHEN event_type = 'product_view'
+         THEN NOT coalesce((""" + _num("price") + """) > 0, false) ELSE false END AS invalid_price,
+    CASE WHEN event_type = 'product_view'
+         THEN (product_id IS NULL OR regexp_full_match(product_id, '\\s*')) ELSE false END AS invalid_product_id,
+    CASE WHEN event_type = 'cart_event' THEN NOT coalesce(action IN ('add', 'remove'), false)
+         ELSE false END AS invalid_action,
+    CASE WHEN event_type = 'click' THEN coalesce((""" + _num("x_position") + """) < 0
+         OR isnan((""" + _num("x_position") + """) % 1) OR (""" + _num("x_position") + """) % 1 <> 0, true)
+         ELSE false END AS invalid_x_position,
+    CASE WHEN event_type = 'click' THEN coalesce((""" + _num("y_position") + """) < 0
+         OR isnan((""" + _num("y_position") + """) % 1) OR (""" + _num("y_position") + """) % 1 <> 0, true)
+         ELSE false END AS invalid_y_position,
+    strlen(concat_ws(',', user_id, session_id, ts_text, page_type, time_on_page_seconds, price, product_id,
+                     action, x_position, y_position)) + 1 AS row_bytes
+  FROM dirty
+), chk AS (
+  SELECT *, (invalid_user_id OR invalid_session_id OR invalid_timestamp OR invalid_page_type
+             OR invalid_time_on_page_seconds OR invalid_price OR invalid_product_id OR invalid_action
+             OR invalid_x_position OR invalid_y_position) AS row_invalid
+  FROM flags
+), fv AS (
+  SELECT file_id, event_type, count(*) AS total_rows, count(*) FILTER (WHERE row_invalid) AS invalid_rows,
+         CAST(sum(row_bytes) AS BIGINT) AS file_bytes,
+         list_sort(list_filter([
+           CASE WHEN bool_or(invalid_user_id) THEN 'user_id' END,
+           CASE WHEN bool_or(invalid_session_id) THEN 'session_id' END,
+           CASE WHEN bool_or(invalid_timestamp) THEN 'timestamp' END,
+           CASE WHEN bool_or(invalid_page_type) THEN 'page_type' END,
+           CASE WHEN bool_or(invalid_time_on_page_seconds) THEN 'time_on_page_seconds' END,
+           CASE WHEN bool_or(invalid_price) THEN 'price' END,
+           CASE WHEN bool_or(invalid_product_id) THEN 'product_id' END,
+           CASE WHEN bool_or(invalid_action) THEN 'action' END,
+           CASE WHEN bool_or(invalid_x_position) THEN 'x_position' END,
+           CASE WHEN bool_or(invalid_y_position) THEN 'y_position' END], lambda x: x IS NOT NULL)) AS ff
+  FROM chk GROUP BY file_id, event_type
+), verdicts AS (
+  SELECT file_id, event_type,
+         CASE WHEN invalid_rows > 0 OR len(ff) > 0 THEN 'invalid' ELSE 'valid' END AS status,
+         array_to_string(ff, ',') AS failed_fields, invalid_rows, total_rows, file_bytes
+  FROM fv
+), samples AS (
+  SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY row_pos) AS sample_rank
+  FROM chk WHERE row_invalid
+  QUALIFY sample_rank <= 3
+)"""
+
+RAW_SELECT = ("user_id, session_id, ts_text, page_type, time_on_page_seconds, price, product_id, "
+              "action, x_position, y_position")
+
+
+def validation_statements() -> dict[str, str]:
+    w = "WITH " + DIRTY_CTE + "\n"
+    return {
+        "infer_event_type": w + """SELECT DISTINCT file_key,
+            coalesce(regexp_extract(regexp_extract(file_key, '([^/]*)$', 1),
+                     '^(page_view|click|search|product_view|cart_event)', 1), '') AS inferred_event_type
+            FROM dirty""",
+        "validate_common": w + """SELECT event_id, file_id, invalid_user_id, invalid_session_id,
+            invalid_timestamp FROM chk""",
+        "validate_page_view": w + """SELECT event_id, file_id, invalid_page_type,
+            invalid_time_on_page_seconds, row_invalid FROM chk WHERE event_type = 'page_view'""",
+        "validate_product_view": w + """SELECT event_id, file_id, invalid_price, invalid_product_id,
+            row_invalid FROM chk WHERE event_type = 'product_view'""",
+        "validate_cart_event": w + """SELECT event_id, file_id, invalid_action, row_invalid
+            FROM chk WHERE event_type = 'cart_event'""",
+        "validate_click": w + """SELECT event_id, file_id, invalid_x_position, invalid_y_position,
+            row_invalid FROM chk WHERE event_type = 'click'""",
+        "file_verdicts": w + "SELECT * FROM verdicts",
+        "ingest_metrics": w + """SELECT count(*) FILTER (WHERE status = 'valid') AS files_processed,
+            CAST(coalesce(sum(total_rows) FILTER (WHERE status = 'valid'), 0) AS BIGINT) AS valid_records,
+            round(coalesce(sum(file_bytes) FILTER (WHERE status = 'valid'), 0) / 1048576.0, 6) AS size_mb,
+            count(*) FILTER (WHERE status = 'invalid') AS invalid_files
+            FROM verdicts""",
+        "route_valid": w + """SELECT event_id, file_id, event_type FROM dirty
+            WHERE file_id IN (SELECT file_id FROM verdicts WHERE status = 'valid')""",
+        "route_quarantine": w + """SELECT event_id, file_id, event_type FROM dirty
+            WHERE file_id IN (SELECT file_id FROM verdicts WHERE status = 'invalid')""",
+        "error_report": w + f"""SELECT v.file_id, 'validation_error' AS error_type, v.failed_fields,
+            s.sample_rank, s.event_id, {', '.join('s.' + c for c in RAW_SELECT.split(', '))}
+            FROM verdicts v JOIN samples s ON v.file_id = s.file_id WHERE v.status = 'invalid'""",
+    }

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmart.functions.columns import round_doubles
-from clickmart.operators import cleaning, metrics
+from clickmart.operators import cleaning, metrics, quality
 from clickmart.schema import RAW_COLUMNS
 from clickmart.sources import fixture
 
@@ -78,4 +78,81 @@ def registry() -> dict[str, Query]:
         "impute_time_on_page": q_impute_time,
         "impute_price": q_impute_price,
     }
+    q.update(validation_registry())
     return q
+
+
+# --- validation (fixture form: a "file" is one event type on one day) -----------------
+def checked_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = fixture.load_dirty(spark, sf_dir)
+    d = d.withColumn(
+        "row_bytes", F.octet_length(F.concat_ws(",", *[F.col(c) for c in fixture.RAW_TEXT_COLUMNS])) + 1
+    )
+    return quality.check_rows(d, columns={"timestamp": "ts_text"})
+
+
+def dirty_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.file_verdicts(checked_dirty(spark, sf_dir), size_agg=F.sum("row_bytes"))
+
+
+def _present_verdicts(v: DataFrame) -> DataFrame:
+    return v.withColumn("failed_fields", F.array_join("failed_fields", ","))
+
+
+def q_infer_event_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = fixture.load_dirty(spark, sf_dir).select("file_key").distinct()
+    return keys.select("file_key", quality.infer_event_type(F.col("file_key")).alias("inferred_event_type"))
+
+
+def _flags(event_type: str | None, *fields: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        c = checked_dirty(spark, sf_dir)
+        if event_type is not None:
+            c = c.where(F.col("event_type") == event_type)
+        extra = ["row_invalid"] if event_type is not None else []
+        return c.select("event_id", "file_id", *[quality.flag(f) for f in fields], *extra)
+    return run
+
+
+def q_file_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _present_verdicts(dirty_verdicts(spark, sf_dir))
+
+
+def q_ingest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_doubles(quality.ingest_metrics(dirty_verdicts(spark, sf_dir)))
+
+
+def _route(valid: bool):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = fixture.load_dirty(spark, sf_dir).select("event_id", "file_id", "event_type")
+        return quality.route(rows, dirty_verdicts(spark, sf_dir), valid=valid)
+    return run
+
+
+def q_error_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checked = checked_dirty(spark, sf_dir)
+    verdicts = quality.file_verdicts(checked, size_agg=F.sum("row_bytes"))
+    samples = quality.first_invalid_rows(checked, ["row_pos"])
+    bad = verdicts.where(F.col("status") == "invalid").select(
+        "file_id", F.lit("validation_error").alias("error_type"),
+        F.array_join("failed_fields", ",").alias("failed_fields"),
+    )
+    return bad.join(samples, "file_id").select(
+        "file_id", "error_type", "failed_fields", "sample_rank", "event_id", *fixture.RAW_TEXT_COLUMNS
+    )
+
+
+def validation_registry() -> dict[str, Query]:
+    return {
+        "infer_event_type": q_infer_event_type,
+        "validate_common": _flags(None, "user_id", "session_id", "timestamp"),
+        "validate_page_view": _flags("page_view", "page_type", "time_on_page_seconds"),
+        "validate_product_view": _flags("product_view", "price", "product_id"),
+        "validate_cart_event": _flags("cart_event", "action"),
+        "validate_click": _flags("click", "x_position", "y_position"),
+        "file_verdicts": q_file_verdicts,
+        "ingest_metrics": q_ingest_metrics,
+        "route_valid": _route(True),
+        "route_quarantine": _route(False),
+        "error_report": q_error_report,
+    }
