@@ -219,6 +219,7 @@ SELECT event_id, event_type, page_type, time_on_page_seconds FROM imp1"""
     q["impute_price"] = "WITH " + CLEAN_CTE + """
 SELECT event_id, event_type, category, price FROM clean"""
     q.update(validation_statements())
+    q.update(warehouse_statements())
     return q
 
 
@@ -351,3 +352,148 @@ def validation_statements() -> dict[str, str]:
             s.sample_rank, s.event_id, {', '.join('s.' + c for c in RAW_SELECT.split(', '))}
             FROM verdicts v JOIN samples s ON v.file_id = s.file_id WHERE v.status = 'invalid'""",
     }
+
+
+RUN_DATE = "DATE '2024-01-30'"
+
+
+def _dec(expr: str, p: int, s: int) -> str:
+    """Spark's double -> DECIMAL cast: half-up on the value's shortest decimal text."""
+    return f"TRY_CAST(CAST({expr} AS VARCHAR) AS DECIMAL({p},{s}))"
+
+
+WAREHOUSE_CTE = CLEAN_CTE + ", " + SESSIONS.strip() + ", " + BOUNCE.strip() + ", " + FUNNEL.strip() + ", " + \
+    PRODUCTS.strip() + ", " + PATHS.strip() + ", " + ANOMALY.strip() + f""", tp_raw AS (
+  SELECT page_url, {xavg("time_on_page_seconds")} AS avg_t, count(*) AS event_count
+  FROM clean WHERE event_type = 'page_view' AND page_url IS NOT NULL
+  GROUP BY page_url ORDER BY avg_t DESC, page_url LIMIT 20
+), f_top_pages AS (
+  SELECT {RUN_DATE} AS date, page_url, {_dec("avg_t", 8, 2)} AS avg_time_seconds,
+         CAST(event_count AS INTEGER) AS session_count,
+         CAST(row_number() OVER (ORDER BY avg_t DESC, page_url) AS INTEGER) AS rank
+  FROM tp_raw
+), br_raw AS (
+  SELECT page_type, bounced_sessions, total_sessions,
+         CASE WHEN total_sessions > 0 THEN CAST(bounced_sessions AS DOUBLE) / total_sessions * 100 END AS br
+  FROM bounce
+), f_bounce_rate AS (
+  SELECT {RUN_DATE} AS date, page_type, {_dec("br", 5, 2)} AS bounce_rate,
+         CAST(total_sessions AS INTEGER) AS total_sessions, CAST(bounced_sessions AS INTEGER) AS bounced_sessions
+  FROM br_raw
+), fn_raw AS (
+  SELECT s1 AS c1, s2 AS c2, s3 AS c3, s4 AS c4 FROM (
+    SELECT count(*) FILTER (WHERE s1) AS s1, count(*) FILTER (WHERE s2) AS s2,
+           count(*) FILTER (WHERE s3) AS s3, count(*) FILTER (WHERE s4) AS s4 FROM pu)
+), fn_long AS (
+  SELECT 'page_view' AS stage, c1 AS user_count, CAST(NULL AS DOUBLE) AS rate FROM fn_raw
+  UNION ALL SELECT 'product_view', c2, CASE WHEN c1 > 0 THEN CAST(c2 AS DOUBLE) / c1 * 100 / 100.0 END FROM fn_raw
+  UNION ALL SELECT 'cart_add', c3, CASE WHEN c2 > 0 THEN CAST(c3 AS DOUBLE) / c2 * 100 / 100.0 END FROM fn_raw
+  UNION ALL SELECT 'checkout', c4, CASE WHEN c3 > 0 THEN CAST(c4 AS DOUBLE) / c3 * 100 / 100.0 END FROM fn_raw
+), f_conversion_funnel AS (
+  SELECT {RUN_DATE} AS date, stage, CAST(user_count AS INTEGER) AS user_count,
+         {_dec("rate", 5, 4)} AS conversion_rate
+  FROM fn_long
+), f_high_view_low_cart AS (
+  SELECT {RUN_DATE} AS date, product_id, category, {_dec("avg_price", 10, 2)} AS avg_price,
+         CAST(view_count AS INTEGER) AS view_count, CAST(cart_add_count AS INTEGER) AS cart_add_count,
+         {_dec("CAST(cart_add_count AS DOUBLE) / view_count", 5, 4)} AS conversion_rate
+  FROM pm
+  WHERE view_count > coalesce((SELECT quantile_disc(view_count, 0.75) FROM pm), 0)
+    AND cart_add_count < coalesce((SELECT quantile_disc(cart_add_count, 0.25) FROM pm), 0)
+), f_navigation_paths AS (
+  SELECT {RUN_DATE} AS date, path, CAST(session_count AS INTEGER) AS session_count,
+         CAST(row_number() OVER (ORDER BY session_count DESC, path) AS INTEGER) AS rank
+  FROM paths
+), f_device_country_time AS (
+  SELECT {RUN_DATE} AS date, device_type, country, {_dec(xavg("time_on_page_seconds"), 8, 2)} AS avg_time_seconds,
+         CAST(count(DISTINCT session_id) AS INTEGER) AS session_count
+  FROM clean WHERE event_type = 'page_view' GROUP BY device_type, country
+), f_anomalies AS (
+  SELECT {RUN_DATE} AS date, session_id, user_id, page_type, {_dec("time_on_page_seconds", 8, 2)} AS time_on_page,
+         {_dec("z", 6, 3)} AS z_score, iqr AS is_iqr_outlier,
+         CASE WHEN abs(z) > 2 AND iqr THEN 'z_score_and_iqr' WHEN abs(z) > 2 THEN 'z_score'
+              WHEN iqr THEN 'iqr' END AS anomaly_type
+  FROM zj WHERE abs(z) > 2 OR iqr
+), d_product AS (
+  SELECT product_id, min(category) AS category, {_dec(xavg("price"), 10, 2)} AS avg_price
+  FROM clean WHERE event_type = 'product_view' AND product_id IS NOT NULL GROUP BY product_id
+), d_page AS (
+  SELECT page_url, min(page_type) AS page_type
+  FROM clean WHERE event_type = 'page_view' AND page_url IS NOT NULL GROUP BY page_url
+), d_date AS (
+  SELECT CAST(d AS DATE) AS date_id, CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
+         CAST(day(d) AS INTEGER) AS day, CAST(isodow(d) AS INTEGER) AS day_of_week
+  FROM (SELECT unnest(generate_series(min(CAST("timestamp" AS DATE)), max(CAST("timestamp" AS DATE)),
+                                      INTERVAL 1 DAY)) AS d FROM clean)
+)"""
+
+FACT_CTES = {
+    "fact_top_pages": "f_top_pages", "fact_bounce_rate": "f_bounce_rate",
+    "fact_conversion_funnel": "f_conversion_funnel", "fact_high_view_low_cart": "f_high_view_low_cart",
+    "fact_navigation_paths": "f_navigation_paths", "fact_device_country_time": "f_device_country_time",
+    "fact_anomalies": "f_anomalies", "dim_product": "d_product", "dim_page": "d_page", "dim_date": "d_date",
+}
+TABLE_COLUMNS = {
+    "fact_top_pages": ["date", "page_url", "avg_time_seconds", "session_count", "rank"],
+    "fact_bounce_rate": ["date", "page_type", "bounce_rate", "total_sessions", "bounced_sessions"],
+    "fact_conversion_funnel": ["date", "stage", "user_count", "conversion_rate"],
+    "fact_high_view_low_cart": ["date", "product_id", "category", "avg_price", "view_count",
+                                "cart_add_count", "conversion_rate"],
+    "fact_navigation_paths": ["date", "path", "session_count", "rank"],
+    "fact_device_country_time": ["date", "device_type", "country", "avg_time_seconds", "session_count"],
+    "fact_anomalies": ["date", "session_id", "user_id", "page_type", "time_on_page", "z_score",
+                       "is_iqr_outlier", "anomaly_type"],
+    "dim_product": ["product_id", "category", "avg_price"],
+    "dim_page": ["page_url", "page_type"],
+    "dim_date": ["date_id", "year", "month", "day", "day_of_week"],
+}
+DIM_KEYS = {"dim_product": "product_id", "dim_page": "page_url", "dim_date": "date_id"}
+
+
+def _scorecard_sql() -> str:
+    parts = []
+    for table, cte in FACT_CTES.items():
+        cols = TABLE_COLUMNS[table]
+        rules = []
+        if table not in DIM_KEYS:
+            rules.append(('ColumnExists "date"', "0" if "date" in cols else "count(*)"))
+        for c in ("date", "session_id", "user_id"):
+            if c in cols:
+                rules.append((f'ColumnValues "{c}" IS NOT NULL', f"count(*) FILTER (WHERE {c} IS NULL)"))
+        for c in ("time_on_page", "avg_time_seconds"):
+            if c in cols:
+                rules.append((f'ColumnValues "{c}" BETWEEN 0 AND 3600',
+                              f"count(*) FILTER (WHERE NOT coalesce({c} BETWEEN 0 AND 3600, false))"))
+        if table in DIM_KEYS:
+            k = DIM_KEYS[table]
+            rules.append((f'IsPrimaryKey "{k}"', f"count(*) - count(DISTINCT {k})"))
+        for name, expr in rules:
+            parts.append(
+                f"SELECT '{table}' AS table_name, '{name}' AS rule, count(*) AS rows_checked, "
+                f"CAST({expr} AS BIGINT) AS failed_rows FROM {cte}"
+            )
+    body = "\nUNION ALL ".join(parts)
+    return (f"SELECT table_name, rule, rows_checked, failed_rows, "
+            f"CASE WHEN failed_rows = 0 THEN 'pass' ELSE 'fail' END AS outcome FROM ({body})")
+
+
+def warehouse_statements() -> dict[str, str]:
+    w = "WITH " + WAREHOUSE_CTE + "\n"
+    q = {table: w + f"SELECT * FROM {cte}" for table, cte in FACT_CTES.items()}
+    q["valid_records"] = w + """SELECT * FROM f_anomalies WHERE date IS NOT NULL AND session_id IS NOT NULL
+        AND user_id IS NOT NULL AND coalesce(time_on_page BETWEEN 0 AND 3600, false)"""
+    q["dq_scorecard"] = w + _scorecard_sql()
+    q["report_pages_time"] = w + f"""SELECT page_url, CAST(avg_time_seconds AS DOUBLE) AS avg_time_seconds,
+        session_count, rank FROM f_top_pages WHERE date = {RUN_DATE} ORDER BY rank, page_url LIMIT 10"""
+    q["report_pages_bounce"] = w + f"""SELECT page_type, CAST(bounce_rate AS DOUBLE) AS bounce_rate,
+        total_sessions, bounced_sessions FROM f_bounce_rate WHERE date = {RUN_DATE}
+        ORDER BY bounce_rate DESC NULLS LAST, page_type LIMIT 10"""
+    q["report_sessions"] = w + f"""SELECT device_type, country, CAST(avg_time_seconds AS DOUBLE) AS avg_time_seconds,
+        session_count FROM f_device_country_time WHERE date = {RUN_DATE} AND device_type = 'mobile'
+        ORDER BY session_count DESC, device_type, country"""
+    q["report_anomalies"] = w + f"""SELECT session_id, user_id, page_type, CAST(z_score AS DOUBLE) AS z_score,
+        anomaly_type FROM f_anomalies WHERE date = {RUN_DATE}
+        ORDER BY abs(z_score) DESC, session_id, user_id, page_type, anomaly_type, z_score LIMIT 100"""
+    q["report_anomaly_total"] = w + f"""SELECT {RUN_DATE} AS date, count(*) AS total
+        FROM f_anomalies WHERE date = {RUN_DATE}"""
+    return q

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmart.functions.columns import round_doubles
-from clickmart.operators import cleaning, metrics, quality
-from clickmart.schema import RAW_COLUMNS
+from clickmart.operators import cleaning, metrics, quality, serving, warehouse
+from clickmart.schema import METRIC_TO_FACT, RAW_COLUMNS
 from clickmart.sources import fixture
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,7 @@ def registry() -> dict[str, Query]:
         "impute_price": q_impute_price,
     }
     q.update(validation_registry())
+    q.update(warehouse_registry())
     return q
 
 
@@ -156,3 +157,66 @@ def validation_registry() -> dict[str, Query]:
         "route_quarantine": _route(False),
         "error_report": q_error_report,
     }
+
+
+# --- warehouse and serving --------------------------------------------------------------
+RUN_DATE = fixture.FIXTURE_RUN_DATE
+
+METRIC_FUNCS = {
+    "top_pages": metrics.top_pages,
+    "bounce_rate": metrics.bounce_rate,
+    "conversion_funnel": metrics.conversion_funnel,
+    "high_view_low_cart": metrics.high_view_low_cart,
+    "navigation_paths": metrics.navigation_paths,
+    "device_country_time": metrics.device_country_time,
+    "anomalies": metrics.anomalies,
+}
+
+
+def _fact(metric: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return warehouse.build_fact(metric, METRIC_FUNCS[metric](cleaned(spark, sf_dir)), RUN_DATE)
+    return run
+
+
+def _dim(fn) -> Query:
+    return lambda spark, sf_dir: fn(cleaned(spark, sf_dir))
+
+
+def q_valid_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warehouse.valid_records(_fact("anomalies")(spark, sf_dir))
+
+
+def q_dq_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = cleaning.materialize(cleaned(spark, sf_dir))
+    tables = {
+        METRIC_TO_FACT[m]: warehouse.build_fact(m, fn(events), RUN_DATE) for m, fn in METRIC_FUNCS.items()
+    }
+    tables["dim_product"] = warehouse.dim_product(events)
+    tables["dim_page"] = warehouse.dim_page(events)
+    tables["dim_date"] = warehouse.dim_date(events)
+    return warehouse.dq_scorecard(tables)
+
+
+def _report(metric: str, fn) -> Query:
+    return lambda spark, sf_dir: fn(_fact(metric)(spark, sf_dir))
+
+
+def warehouse_registry() -> dict[str, Query]:
+    q: dict[str, Query] = {METRIC_TO_FACT[m]: _fact(m) for m in METRIC_FUNCS}
+    q.update({
+        "dim_product": _dim(warehouse.dim_product),
+        "dim_page": _dim(warehouse.dim_page),
+        "dim_date": _dim(warehouse.dim_date),
+        "valid_records": q_valid_records,
+        "dq_scorecard": q_dq_scorecard,
+        "report_pages_time": _report(
+            "top_pages", lambda f: serving.pages_top(f, "time_on_page", RUN_DATE, 10)),
+        "report_pages_bounce": _report(
+            "bounce_rate", lambda f: serving.pages_top(f, "bounce_rate", RUN_DATE, 10)),
+        "report_sessions": _report(
+            "device_country_time", lambda f: serving.sessions_summary(f, RUN_DATE, device="mobile")),
+        "report_anomalies": _report("anomalies", lambda f: serving.anomalies_report(f, RUN_DATE)),
+        "report_anomaly_total": _report("anomalies", lambda f: serving.anomalies_total(f, RUN_DATE)),
+    })
+    return q
