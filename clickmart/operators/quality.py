@@ -191,7 +191,8 @@ def file_verdicts(
     return per_file.select(
         file_col,
         event_type_col,
-        F.when((F.col("invalid_rows") > 0) | (F.size(failed) > 0), F.lit("invalid"))
+        F.when(F.col(event_type_col) == "", F.lit("unknown_event_type"))
+        .when((F.col("invalid_rows") > 0) | (F.size(failed) > 0), F.lit("invalid"))
         .otherwise(F.lit("valid")).alias("status"),
         failed.alias("failed_fields"),
         F.col("invalid_rows").cast("long").alias("invalid_rows"),
@@ -241,8 +242,8 @@ def route(
     if granularity == "row":
         flag_col = F.col("row_invalid")
         return rows.where(~flag_col if valid else flag_col)
-    status = "valid" if valid else "invalid"
-    keys = verdicts.where(F.col("status") == status).select(file_col)
+    is_valid = F.col("status") == "valid"
+    keys = verdicts.where(is_valid if valid else ~is_valid).select(file_col)
     return join_small(rows, keys, [file_col], "left_semi")
 
 
@@ -259,10 +260,11 @@ def error_reports(
             F.collect_list(F.struct(F.col("sample_rank"), *[F.col(c) for c in sample_cols]))
         ).alias("__rows")
     )
-    bad = verdicts.where(F.col("status") == "invalid")
+    bad = verdicts.where(F.col("status") != "valid")
     return bad.join(rows, file_col, "left").select(
         file_col,
-        F.lit("validation_error").alias("error_type"),
+        F.when(F.col("status") == "unknown_event_type", F.lit("unknown_event_type"))
+        .otherwise(F.lit("validation_error")).alias("error_type"),
         "failed_fields",
         F.coalesce(
             F.transform("__rows", lambda r: r.dropFields("sample_rank")),

@@ -220,6 +220,8 @@ SELECT event_id, event_type, page_type, time_on_page_seconds FROM imp1"""
 SELECT event_id, event_type, category, price FROM clean"""
     q.update(validation_statements())
     q.update(warehouse_statements())
+    q["stream_file_verdicts"] = ("WITH " + DIRTY_CTE + "\nSELECT file_id, event_type, status, failed_fields, "
+                                 "invalid_rows, total_rows FROM verdicts")
     return q
 
 

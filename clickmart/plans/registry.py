@@ -80,6 +80,7 @@ def registry() -> dict[str, Query]:
     }
     q.update(validation_registry())
     q.update(warehouse_registry())
+    q["stream_file_verdicts"] = q_stream_file_verdicts
     return q
 
 
@@ -220,3 +221,27 @@ def warehouse_registry() -> dict[str, Query]:
         "report_anomaly_total": _report("anomalies", lambda f: serving.anomalies_total(f, RUN_DATE)),
     })
     return q
+
+
+# --- streaming ----------------------------------------------------------------------------
+def q_stream_file_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1–T3 end to end: stage the dirty rows as raw CSV files on shared storage, validate
+    them with the file stream (availableNow, 50 files per micro-batch), read the verdicts."""
+    from clickmart.session import scratch_dir
+    from clickmart.streaming.validate_stream import read_verdicts, start_validation_stream
+
+    root = scratch_dir(spark, "stream")
+    fixture.write_dirty_csv(fixture.load_dirty(spark, sf_dir), f"{root}/raw")
+    query = start_validation_stream(
+        spark, f"{root}/raw", f"{root}/verdicts", f"{root}/checkpoint", max_files_per_trigger=50
+    )
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    v = read_verdicts(spark, f"{root}/verdicts")
+    return v.select(
+        fixture.file_id_from_path(F.col("source_file")).alias("file_id"),
+        "event_type", "status",
+        F.array_join("failed_fields", ",").alias("failed_fields"),
+        "invalid_rows", "total_rows",
+    )

@@ -154,3 +154,37 @@ def dirty_events(canon: DataFrame) -> DataFrame:
 
 def load_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dirty_events(load_canon(spark, sf_dir))
+
+
+def write_dirty_csv(dirty: DataFrame, path: str) -> None:
+    """Stage dirty rows as raw CSV files, one file per (day, event type), rows in file
+    order, under ``year=/month=/day=/event_type=`` directories."""
+    day = F.to_date(F.substring_index(F.col("file_id"), "/", -1))
+    staged = dirty.select(
+        F.year(day).alias("year"), F.month(day).alias("month"), F.dayofmonth(day).alias("day"),
+        "event_type", "row_pos",
+        "user_id", "session_id", F.col("ts_text").alias("timestamp"), "page_type",
+        "time_on_page_seconds", "price", "product_id", "action", "x_position", "y_position",
+    )
+    keys = ["year", "month", "day", "event_type"]
+    (
+        staged.repartition(*keys)
+        .sortWithinPartitions(*keys, "row_pos")
+        .drop("row_pos")
+        .write.mode("overwrite")
+        .option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .partitionBy(*keys)
+        .csv(path)
+    )
+
+
+def file_id_from_path(path: Column) -> Column:
+    """``.../year=2024/month=1/day=3/event_type=click/...`` -> ``click/2024-01-03``."""
+    m = r"year=(\d+)/month=(\d+)/day=(\d+)/"
+    y = F.regexp_extract(path, m, 1).cast("int")
+    mo = F.regexp_extract(path, m, 2).cast("int")
+    d = F.regexp_extract(path, m, 3).cast("int")
+    et = F.regexp_extract(path, r"event_type=([^/]+)/", 1)
+    return F.concat(et, F.lit("/"), F.format_string("%04d-%02d-%02d", y, mo, d))
