@@ -9,13 +9,15 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickmart.operators import cleaning, metrics, warehouse
 from clickmart.session import scratch_dir
 from clickmart.sinks.writers import load_warehouse, write_metric
 from clickmart.sources.csv_events import read_raw, typed_events
 
-ROW_ORDER = [F.col("source_file"), F.col("block_start"), F.col("row_id")]
+# Position of a raw row: file, split offset, read order inside the split.
+ROW_ORDER = ("source_file", "block_start", "row_id")
 
 
 def compute_metrics(events: DataFrame) -> dict[str, DataFrame]:
@@ -54,7 +56,7 @@ def run(
     if raw.rows is None:
         return {}
     events = typed_events(raw.rows)
-    cleaned = cleaning.clean_events(events, order_by=ROW_ORDER)
+    cleaned = cleaning.clean_events(events, order_by=[F.col(c) for c in ROW_ORDER])
     cleaned = clean_layer(spark, cleaned)
     results = compute_metrics(cleaned)
     for name, df in results.items():
@@ -63,12 +65,11 @@ def run(
         return {}
     from clickmart.sources.csv_events import read_metric
 
-    facts = {
-        warehouse._fact_table(name): warehouse.build_fact(
-            name, read_metric(spark, output_path, name, process_date).drop("date"), process_date
-        )
-        for name in results
-    }
+    facts = {}
+    for name, df in results.items():
+        schema = T.StructType(df.schema.fields + [T.StructField("date", T.DateType())])
+        stored = read_metric(spark, output_path, name, process_date, schema=schema).drop("date")
+        facts[warehouse._fact_table(name)] = warehouse.build_fact(name, stored, process_date)
     facts["dim_product"] = warehouse.dim_product(cleaned)
     facts["dim_page"] = warehouse.dim_page(cleaned)
     facts["dim_date"] = warehouse.dim_date(cleaned)

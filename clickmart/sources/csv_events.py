@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from clickmart.functions.columns import na_to_null, parse_number
 from clickmart.operators.quality import check_rows, infer_event_type
-from clickmart.schema import KNOWN_COLUMNS, all_string_schema
+from clickmart.schema import KNOWN_COLUMNS, TYPED_COLUMNS, all_string_schema
 
 
 @dataclass
@@ -208,24 +208,30 @@ def _missing_fields_expr(header: Column, event_type: Column) -> Column:
 
 
 def typed_events(rows: DataFrame) -> DataFrame:
-    """C6 on raw text: numbers parsed leniently (junk -> NULL); the timestamp stays text
-    until after de-duplication (C3 parses it)."""
-    numeric = {"time_on_page_seconds", "x_position", "y_position", "price", "results_count"}
+    """C6 on raw text: the full wide event schema (absent columns become typed NULLs),
+    numbers parsed leniently (junk -> NULL). The timestamp stays text until after
+    de-duplication (C3 parses it)."""
     out = []
-    for c in rows.columns:
-        if c in numeric:
-            expr = parse_number(F.col(c))
-            if c == "results_count":
-                expr = expr.cast(T.LongType())
-            out.append(expr.alias(c))
+    for name, dtype in TYPED_COLUMNS.items():
+        if name == "timestamp":
+            dtype = T.StringType()
+        if name not in rows.columns:
+            out.append(F.lit(None).cast(dtype).alias(name))
+        elif isinstance(dtype, (T.DoubleType, T.LongType)):
+            out.append(parse_number(F.col(name)).cast(dtype).alias(name))
         else:
-            out.append(F.col(c))
-    return rows.select(*out)
-
-
-def read_metric(spark: SparkSession, base: str, metric: str, date: str | None = None) -> DataFrame:
-    """A metric dataset, pruned to one ``date=`` partition when given."""
-    df = spark.read.parquet(f"{base.rstrip('/')}/{metric}")
+            out.append(F.col(name).cast(dtype).alias(name))
+    extra = [F.col(c) for c in rows.columns if c not in TYPED_COLUMNS]
+    return rows.select(*out, *extra)
+
+
+def read_metric(
+    spark: SparkSession, base: str, metric: str, date: str | None = None, schema: T.StructType | None = None
+) -> DataFrame:
+    """A metric dataset, pruned to one ``date=`` partition when given. With a
+    ``schema`` an empty dataset (no files) reads as an empty frame."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    df = reader.parquet(f"{base.rstrip('/')}/{metric}")
     if date is not None:
         df = df.where(F.col("date") == F.lit(date).cast("date"))
     return df
