@@ -1,28 +1,34 @@
 """Joins against small, derived tables (group statistics, verdict lists).
 
-The small side is materialised once and its row count checked. Under the limit it is
-broadcast, so the big side is never shuffled. Over the limit the join shuffles. Rows whose key is
-NULL can never match an equi-join, so they bypass the shuffle instead of all hashing
-into one task. AQE skew-join splitting covers any remaining hot key.
+The small side is computed once and fetched with a hard row bound (``limit(n + 1)``).
+If it fits, it becomes a local relation that is broadcast (exactly what a broadcast
+join does internally, with the size proven first), so the big side is never shuffled
+and the small side is not recomputed inside the main job. If it does not fit, the join
+shuffles; rows whose key is NULL can never match an equi-join, so they bypass that
+shuffle instead of all hashing into one task, and AQE skew-join splitting covers any
+remaining hot key.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Largest small side (rows) we broadcast. Group-statistics tables hold one row per
-# group (a few hundred bytes), so this stays far below executor memory.
-BROADCAST_MAX_ROWS = 200_000
+# group and verdict lists one short row per file, so this stays far below executor and
+# driver memory.
+BROADCAST_MAX_ROWS = 100_000
 
 
 def checked_small(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
-    """Persist ``small`` and report whether it is within the broadcast limit."""
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    return small, small.count() <= max_rows
+    """Fetch at most ``max_rows + 1`` rows of ``small``. Returns a local (literal) copy
+    when it fits, else the original plan and ``False``."""
+    head = small.limit(max_rows + 1).collect()
+    if len(head) > max_rows:
+        return small, False
+    return small.sparkSession.createDataFrame(head, small.schema), True
 
 
 def join_small(

@@ -20,10 +20,11 @@ from clickmart.sources.csv_events import read_raw, typed_events
 ROW_ORDER = ("source_file", "block_start", "row_id")
 
 
-def compute_metrics(events: DataFrame) -> dict[str, DataFrame]:
-    """All seven metrics from one cleaned layer. The per-session rollup is shared by
-    bounce rate and navigation paths (one shuffle on session_id for both)."""
-    sessions = metrics.session_rollup(events, with_path=True).persist(StorageLevel.MEMORY_AND_DISK)
+def compute_metrics(events: DataFrame, sessions: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All seven metrics from one cleaned layer. Pass a materialised per-session rollup
+    to share it between bounce rate and navigation paths (one shuffle on session_id)."""
+    if sessions is None:
+        sessions = metrics.session_rollup(events, with_path=True)
     return {
         "top_pages": metrics.top_pages(events),
         "bounce_rate": metrics.bounce_rate(events, sessions=sessions),
@@ -58,9 +59,11 @@ def run(
     events = typed_events(raw.rows)
     cleaned = cleaning.clean_events(events, order_by=[F.col(c) for c in ROW_ORDER])
     cleaned = clean_layer(spark, cleaned)
-    results = compute_metrics(cleaned)
+    sessions = metrics.session_rollup(cleaned, with_path=True).persist(StorageLevel.MEMORY_AND_DISK)
+    results = compute_metrics(cleaned, sessions)
     for name, df in results.items():
         write_metric(df, output_path, name, process_date)
+    sessions.unpersist()
     if not warehouse_path:
         return {}
     from clickmart.sources.csv_events import read_metric

@@ -189,7 +189,11 @@ def q_valid_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_dq_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = cleaning.materialize(cleaned(spark, sf_dir))
+    from clickmart.session import scratch_dir
+
+    # Ten tables derive from one cleaned layer: write it once to shared storage.
+    events = cleaning.materialize(cleaned(spark, sf_dir), path=f"{scratch_dir(spark, 'clean')}/events",
+                                  partition_by=["event_type"])
     tables = {
         METRIC_TO_FACT[m]: warehouse.build_fact(m, fn(events), RUN_DATE) for m, fn in METRIC_FUNCS.items()
     }

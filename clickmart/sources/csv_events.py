@@ -87,31 +87,37 @@ def _normal_path(c: Column) -> Column:
     return F.regexp_replace(c, r"^file:/+", "file:/")
 
 
+def list_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Every file matched by ``paths`` with its size, as a distributed listing (the
+    binary-file source with ``content`` pruned reads no file bytes)."""
+    return (
+        spark.read.format("binaryFile")
+        .load(paths)
+        .select(_normal_path(F.col("path")).alias("source_file"), F.col("length").alias("file_size"))
+    )
+
+
 def discover_files(spark: SparkSession, paths: list[str], base: str | None = None) -> DataFrame:
     """One row per file: source_file, name, size, header text (NULL when no header line),
     event type from the name.
 
-    Only header lines leave the scan stage (one per file). The file list itself is the
-    scan's own listing (metadata), so empty or header-less files are listed too.
+    Only header lines leave the text scan (one short row per file); the file list comes
+    from the listing, so empty or header-less files are included.
     """
     reader = spark.read
     if base:
         reader = reader.option("basePath", base)
-    text = reader.text(paths)
     headers = (
-        text.where(is_header_line(F.col("value")))
+        reader.text(paths)
+        .where(is_header_line(F.col("value")))
         .select(
             _normal_path(F.col("_metadata.file_path")).alias("source_file"),
-            F.col("_metadata.file_size").alias("file_size"),
             F.col("value").alias("header"),
         )
         .groupBy("source_file")
-        .agg(F.min("header").alias("header"), F.max("file_size").alias("file_size"))
+        .agg(F.min("header").alias("header"))
     )
-    listing = spark.createDataFrame([(p,) for p in text.inputFiles()], "source_file string").select(
-        _normal_path(F.col("source_file")).alias("source_file")
-    )
-    return listing.join(headers, "source_file", "left").select(
+    return list_files(spark, paths).join(headers, "source_file", "left").select(
         "source_file",
         F.regexp_extract("source_file", r"([^/]*)$", 1).alias("file_name"),
         "file_size",
@@ -165,16 +171,22 @@ def read_raw(
         )
         return RawEvents([], empty_files)
     files = discover_files(spark, paths, base).persist()
-    groups = (
-        files.where(F.col("header").isNotNull())
-        .groupBy("header")
-        .agg(F.collect_list("source_file").alias("paths"))
-        .collect()
-    )
+    # Distinct headers are few. Only when files disagree are per-group file lists
+    # (metadata) taken to the driver; the usual single-header case reads the globs.
+    headers = files.where(F.col("header").isNotNull()).select("header").distinct().limit(1001).collect()
+    if len(headers) > 1000:
+        raise ValueError("more than 1000 distinct CSV headers; refusing to plan one read per header")
+    headerless = files.where(F.col("header").isNull()).limit(1).count() > 0
+    if len(headers) == 1 and not headerless:
+        cols = header_columns(headers[0]["header"])
+        return RawEvents([(cols, read_group(spark, paths, cols, base))], files)
     frames = []
-    for g in groups:
-        cols = header_columns(g["header"])
-        frames.append((cols, read_group(spark, g["paths"], cols, base)))
+    for h in headers:
+        group_paths = [
+            r[0] for r in files.where(F.col("header") == h["header"]).select("source_file").collect()
+        ]
+        cols = header_columns(h["header"])
+        frames.append((cols, read_group(spark, group_paths, cols, base)))
     return RawEvents(frames, files)
 
 

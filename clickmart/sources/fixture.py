@@ -91,8 +91,21 @@ def canon_events(events: DataFrame) -> DataFrame:
     )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores.
+
+    The driver's tables are single small files (one Parquet row group), which would
+    put all per-row work (regexes, JSON parsing) into one task. A scan that already has
+    enough splits, as any large input does, is returned untouched (no shuffle).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def load_canon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return canon_events(read_table(spark, sf_dir, "events"))
+    return canon_events(spread(read_table(spark, sf_dir, "events")))
 
 
 def file_id_col(event_type: Column, ts: Column) -> Column:
