@@ -35,59 +35,58 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _pick(values: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
-
-
-def _pad(c: Column, width: int) -> Column:
-    return F.lpad(c.cast("string"), width, "0")
+def _sql_list(values: list[str]) -> str:
+    return "array(" + ", ".join(f"'{v}'" for v in values) + ")"
 
 
 def canon_events(events: DataFrame) -> DataFrame:
-    """Project driver ``events`` rows into canonical clickstream events."""
-    k = F.get_json_object(F.col("props"), "$.k").cast("int")
-    src = events.select(
-        "event_id", "ts", F.col("user_id").alias("src_user"),
-        F.col("event_type").alias("src_type"), "value", k.alias("k"),
-    )
-    user = _pad(F.col("src_user") * 10 + F.floor((F.dayofmonth("ts") - 1) / 7), 32)
-    etype = (
-        F.when(F.col("src_type") == "view", "page_view")
-        .when((F.col("src_type") == "error") & (F.col("k") >= 25), "page_view")
-        .when(F.col("src_type") == "error", "search")
-        .when(F.col("src_type") == "signup", "product_view")
-        .when(F.col("src_type") == "purchase", "cart_event")
-        .when(F.col("src_type") == "click", "click")
+    """Project driver ``events`` rows into canonical clickstream events.
+
+    Written as SQL expressions: one projection, three analysed steps, no per-column
+    round trips from Python.
+    """
+    src = events.selectExpr(
+        "event_id", "ts", "user_id AS src_user", "event_type AS src_type", "value",
+        "CAST(get_json_object(props, '$.k') AS INT) AS k",
     )
-    typed = src.select("*", user.alias("user_id"), etype.alias("event_type"))
-    et = F.col("event_type")
-    k = F.col("k")
-    kind = k % 5
-    url = (
-        F.when(kind == 0, F.lit("/"))
-        .when(kind == 1, F.concat(F.lit("/category/category_"), _pad(k % 10, 2)))
-        .when(kind == 2, F.concat(F.lit("/product/PROD-"), _pad(k, 4)))
-        .when(kind == 3, F.lit("/cart"))
-        .otherwise(F.lit("/checkout"))
+    typed = src.selectExpr(
+        "*",
+        "lpad(CAST(src_user * 10 + floor((dayofmonth(ts) - 1) / 7) AS STRING), 32, '0') AS user_id",
+        """CASE WHEN src_type = 'view' THEN 'page_view'
+                WHEN src_type = 'error' AND k >= 25 THEN 'page_view'
+                WHEN src_type = 'error' THEN 'search'
+                WHEN src_type = 'signup' THEN 'product_view'
+                WHEN src_type = 'purchase' THEN 'cart_event'
+                WHEN src_type = 'click' THEN 'click' END AS event_type""",
     )
-    is_pv = et == "page_view"
-    return typed.select(
+    return typed.selectExpr(
         "event_id",
         "user_id",
-        F.concat(F.lit("S"), F.col("user_id"), F.lit("-"), F.date_format("ts", "yyyyMMdd")).alias("session_id"),
-        F.col("ts").alias("timestamp"),
+        "concat('S', user_id, '-', date_format(ts, 'yyyyMMdd')) AS session_id",
+        "ts AS timestamp",
         "event_type",
-        F.when(is_pv | (et == "click"), url).alias("page_url"),
-        F.when(is_pv, _pick(FIXTURE_PAGE_TYPES, kind)).alias("page_type"),
-        F.when(et.isin("page_view", "product_view") & (k % 17 != 0), F.col("value")).alias("time_on_page_seconds"),
-        F.when(is_pv, _pick(FIXTURE_DEVICES, F.col("event_id") % 3)).alias("device_type"),
-        F.when(is_pv, _pick(FIXTURE_COUNTRIES, F.col("src_user") % 7)).alias("country"),
-        F.when(et.isin("product_view", "cart_event"), F.concat(F.lit("PROD-"), _pad(k, 4))).alias("product_id"),
-        F.when(et == "product_view", F.concat(F.lit("category_"), _pad(k % 10, 2))).alias("category"),
-        F.when((et == "product_view") & (k % 13 != 0), F.col("value")).alias("price"),
-        F.when(et == "cart_event", F.when(kind == 0, "remove").otherwise("add")).alias("action"),
-        F.when(et == "click", (F.col("event_id") % 1921).cast("double")).alias("x_position"),
-        F.when(et == "click", (F.col("event_id") % 1081).cast("double")).alias("y_position"),
+        """CASE WHEN event_type IN ('page_view', 'click') THEN
+             CASE k % 5 WHEN 0 THEN '/'
+                        WHEN 1 THEN concat('/category/category_', lpad(CAST(k % 10 AS STRING), 2, '0'))
+                        WHEN 2 THEN concat('/product/PROD-', lpad(CAST(k AS STRING), 4, '0'))
+                        WHEN 3 THEN '/cart' ELSE '/checkout' END END AS page_url""",
+        f"""CASE WHEN event_type = 'page_view'
+             THEN element_at({_sql_list(FIXTURE_PAGE_TYPES)}, k % 5 + 1) END AS page_type""",
+        """CASE WHEN event_type IN ('page_view', 'product_view') AND k % 17 <> 0 THEN value END
+             AS time_on_page_seconds""",
+        f"""CASE WHEN event_type = 'page_view'
+             THEN element_at({_sql_list(FIXTURE_DEVICES)}, CAST(event_id % 3 + 1 AS INT)) END AS device_type""",
+        f"""CASE WHEN event_type = 'page_view'
+             THEN element_at({_sql_list(FIXTURE_COUNTRIES)}, CAST(src_user % 7 + 1 AS INT)) END AS country""",
+        """CASE WHEN event_type IN ('product_view', 'cart_event')
+             THEN concat('PROD-', lpad(CAST(k AS STRING), 4, '0')) END AS product_id""",
+        """CASE WHEN event_type = 'product_view'
+             THEN concat('category_', lpad(CAST(k % 10 AS STRING), 2, '0')) END AS category""",
+        "CASE WHEN event_type = 'product_view' AND k % 13 <> 0 THEN value END AS price",
+        """CASE WHEN event_type = 'cart_event' THEN CASE WHEN k % 5 = 0 THEN 'remove' ELSE 'add' END END
+             AS action""",
+        "CASE WHEN event_type = 'click' THEN CAST(event_id % 1921 AS DOUBLE) END AS x_position",
+        "CASE WHEN event_type = 'click' THEN CAST(event_id % 1081 AS DOUBLE) END AS y_position",
     )
 
 
@@ -128,40 +127,37 @@ def dirty_events(canon: DataFrame) -> DataFrame:
     Output columns are all strings except the tie-break ``event_id`` and ``row_pos``
     (position of the row inside its file), plus ``file_id`` / ``file_key``.
     """
-    eid = F.col("event_id")
-    et = F.col("event_type")
-    dirty = F.dayofmonth("timestamp") % 3 == 0
-    t = F.col("time_on_page_seconds")
-    txt = lambda c: c.cast("string")
-    return canon.select(
+    flagged = canon.selectExpr("*", "dayofmonth(timestamp) % 3 = 0 AS dd")
+    return flagged.selectExpr(
         "event_id",
-        eid.alias("row_pos"),
+        "event_id AS row_pos",
         "event_type",
-        file_id_col(et, F.col("timestamp")).alias("file_id"),
-        file_key_col(et, F.col("timestamp")).alias("file_key"),
-        F.when(dirty & (eid % 97 == 0), F.concat(F.lit("bad-"), txt(eid)))
-        .when(dirty & (eid % 101 == 0), F.lit(None).cast("string"))
-        .otherwise(F.col("user_id")).alias("user_id"),
-        F.when(dirty & (eid % 89 == 0), F.lit("  ")).otherwise(F.col("session_id")).alias("session_id"),
-        F.when(dirty & (eid % 83 == 0), F.lit("not-a-date"))
-        .otherwise(F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss")).alias("ts_text"),
-        F.when((et == "page_view") & dirty & (eid % 41 == 0), F.lit("unknown"))
-        .otherwise(F.col("page_type")).alias("page_type"),
-        txt(
-            F.when((et == "page_view") & ~dirty, F.greatest(F.coalesce(t, F.lit(1.0)), F.lit(1.0)))
-            .otherwise(t)
-        ).alias("time_on_page_seconds"),
-        F.when(et == "product_view",
-               F.when(dirty & (eid % 29 == 0), F.lit("-1"))
-               .otherwise(txt(F.coalesce(F.col("price"), F.lit(9.5))))).alias("price"),
-        F.when((et == "product_view") & dirty & (eid % 43 == 0), F.lit(""))
-        .otherwise(F.col("product_id")).alias("product_id"),
-        F.when((et == "cart_event") & dirty & (eid % 47 == 0), F.lit("hold"))
-        .otherwise(F.col("action")).alias("action"),
-        F.when(et == "click",
-               F.when(dirty & (eid % 31 == 0), F.lit("-5")).otherwise(txt(eid % 1921))).alias("x_position"),
-        F.when(et == "click",
-               F.when(dirty & (eid % 37 == 0), F.lit("1.5")).otherwise(txt(eid % 1081))).alias("y_position"),
+        "concat(event_type, '/', date_format(timestamp, 'yyyy-MM-dd')) AS file_id",
+        """concat('events/year=', date_format(timestamp, 'yyyy'), '/month=', date_format(timestamp, 'MM'),
+                  '/day=', date_format(timestamp, 'dd'), '/', event_type, '.csv') AS file_key""",
+        """CASE WHEN dd AND event_id % 97 = 0 THEN concat('bad-', CAST(event_id AS STRING))
+                WHEN dd AND event_id % 101 = 0 THEN CAST(NULL AS STRING) ELSE user_id END AS user_id""",
+        "CASE WHEN dd AND event_id % 89 = 0 THEN '  ' ELSE session_id END AS session_id",
+        """CASE WHEN dd AND event_id % 83 = 0 THEN 'not-a-date'
+                ELSE date_format(timestamp, "yyyy-MM-dd'T'HH:mm:ss") END AS ts_text""",
+        """CASE WHEN event_type = 'page_view' AND dd AND event_id % 41 = 0 THEN 'unknown'
+                ELSE page_type END AS page_type""",
+        """CAST(CASE WHEN event_type = 'page_view' AND NOT dd
+                     THEN greatest(coalesce(time_on_page_seconds, 1.0D), 1.0D)
+                     ELSE time_on_page_seconds END AS STRING) AS time_on_page_seconds""",
+        """CASE WHEN event_type = 'product_view' THEN
+             CASE WHEN dd AND event_id % 29 = 0 THEN '-1' ELSE CAST(coalesce(price, 9.5D) AS STRING) END
+           END AS price""",
+        """CASE WHEN event_type = 'product_view' AND dd AND event_id % 43 = 0 THEN ''
+                ELSE product_id END AS product_id""",
+        """CASE WHEN event_type = 'cart_event' AND dd AND event_id % 47 = 0 THEN 'hold'
+                ELSE action END AS action""",
+        """CASE WHEN event_type = 'click' THEN
+             CASE WHEN dd AND event_id % 31 = 0 THEN '-5' ELSE CAST(event_id % 1921 AS STRING) END
+           END AS x_position""",
+        """CASE WHEN event_type = 'click' THEN
+             CASE WHEN dd AND event_id % 37 = 0 THEN '1.5' ELSE CAST(event_id % 1081 AS STRING) END
+           END AS y_position""",
     )
 
 
