@@ -8,7 +8,7 @@ whole-partition windows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickmart.functions.columns import exact_avg, safe_pct
@@ -42,33 +42,61 @@ def top_pages(events: DataFrame, k: int = TOP_PAGES_K) -> DataFrame:
     )
 
 
-# --- sessions (shared by M2 and M5) ---------------------------------------------------
-def session_rollup(events: DataFrame, with_path: bool = False) -> DataFrame:
-    """One row per session of page views: count, entry page type and (optionally) path.
+# --- sessions (M2 and M5) --------------------------------------------------------------
+# Page views per level-1 path chunk: bounds every collect_list in the path build.
+PATH_CHUNK = 10_000
+
+
+def session_rollup(events: DataFrame) -> DataFrame:
+    """One row per session of page views: count and entry page type.
 
     Entry page = page type of the earliest (timestamp, page_type) page view with a
-    page type; NULL timestamps sort first. The path is the page types in that order.
+    page type; NULL timestamps sort first. Both are partial aggregates (map-side).
     """
     pv = page_views(events)
     entry_key = F.when(
         F.col("page_type").isNotNull(), F.struct(F.col("timestamp"), F.col("page_type"))
     )
-    aggs = [
+    return pv.groupBy("session_id").agg(
         F.count(F.lit(1)).alias("page_view_count"),
         F.min_by(F.col("page_type"), entry_key).alias("entry_page_type"),
-    ]
-    if with_path:
-        aggs.append(
-            F.sort_array(
-                F.collect_list(F.struct(F.col("timestamp").alias("ts"), F.col("page_type").alias("pt")))
-            ).alias("__steps")
-        )
-    out = pv.groupBy("session_id").agg(*aggs)
-    if with_path:
-        out = out.withColumn(
-            "path", F.concat_ws(PATH_SEPARATOR, F.transform("__steps", lambda s: s["pt"]))
-        ).drop("__steps")
-    return out
+    )
+
+
+def session_paths(events: DataFrame, chunk: int = PATH_CHUNK) -> DataFrame:
+    """Per session: page types in (timestamp, page_type) order joined with "→".
+
+    Each page view gets its position in the session from a sort-based window (spills,
+    never buffers a session in memory). Positions are cut into chunks of ``chunk`` page
+    views; each chunk's piece is built from at most ``chunk`` values, and a session's
+    pieces are joined in chunk order. A NULL page type is skipped. A session's path is
+    its output value, so only that string, never its raw rows, is held per session.
+    """
+    pv = page_views(events).select("session_id", "timestamp", "page_type")
+    order = Window.partitionBy("session_id").orderBy(
+        F.col("timestamp").asc_nulls_first(), F.col("page_type").asc_nulls_first()
+    )
+    ranked = pv.withColumn("__pos", F.row_number().over(order) - 1)
+    pieces = ranked.groupBy("session_id", F.floor(F.col("__pos") / chunk).alias("__chunk")).agg(
+        F.concat_ws(
+            PATH_SEPARATOR,
+            F.transform(
+                F.sort_array(F.collect_list(F.struct(F.col("__pos"), F.col("page_type")))),
+                lambda s: s["page_type"],
+            ),
+        ).alias("__piece")
+    )
+    return pieces.groupBy("session_id").agg(
+        F.concat_ws(
+            PATH_SEPARATOR,
+            F.transform(
+                F.sort_array(F.collect_list(F.struct(
+                    F.col("__chunk"), F.nullif(F.col("__piece"), F.lit("")).alias("__piece")
+                ))),
+                lambda s: s["__piece"],
+            ),
+        ).alias("path")
+    )
 
 
 # --- M2 ------------------------------------------------------------------------------
@@ -173,11 +201,9 @@ def quantile_thresholds(events: DataFrame, accuracy: int = QUANTILE_ACCURACY) ->
 
 
 # --- M5 ------------------------------------------------------------------------------
-def navigation_paths(
-    events: DataFrame, k: int = TOP_PATHS_K, sessions: DataFrame | None = None
-) -> DataFrame:
+def navigation_paths(events: DataFrame, k: int = TOP_PATHS_K) -> DataFrame:
     """Most frequent page-type sequences per session (ties broken by ``path``)."""
-    sessions = sessions if sessions is not None else session_rollup(events, with_path=True)
+    sessions = session_paths(events)
     return (
         sessions.groupBy("path")
         .agg(F.count(F.lit(1)).alias("session_count"))

@@ -6,7 +6,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,17 +19,15 @@ from clickmart.sources.csv_events import read_raw, typed_events
 ROW_ORDER = ("source_file", "block_start", "row_id")
 
 
-def compute_metrics(events: DataFrame, sessions: DataFrame | None = None) -> dict[str, DataFrame]:
-    """All seven metrics from one cleaned layer. Pass a materialised per-session rollup
-    to share it between bounce rate and navigation paths (one shuffle on session_id)."""
-    if sessions is None:
-        sessions = metrics.session_rollup(events, with_path=True)
+def compute_metrics(events: DataFrame) -> dict[str, DataFrame]:
+    """All seven metrics from one cleaned layer (read from shared storage, so each
+    metric's scan prunes to its event type)."""
     return {
         "top_pages": metrics.top_pages(events),
-        "bounce_rate": metrics.bounce_rate(events, sessions=sessions),
+        "bounce_rate": metrics.bounce_rate(events),
         "conversion_funnel": metrics.conversion_funnel(events),
         "high_view_low_cart": metrics.high_view_low_cart(events),
-        "navigation_paths": metrics.navigation_paths(events, sessions=sessions),
+        "navigation_paths": metrics.navigation_paths(events),
         "device_country_time": metrics.device_country_time(events),
         "anomalies": metrics.anomalies(events),
     }
@@ -59,11 +56,9 @@ def run(
     events = typed_events(raw.rows)
     cleaned = cleaning.clean_events(events, order_by=[F.col(c) for c in ROW_ORDER])
     cleaned = clean_layer(spark, cleaned)
-    sessions = metrics.session_rollup(cleaned, with_path=True).persist(StorageLevel.MEMORY_AND_DISK)
-    results = compute_metrics(cleaned, sessions)
+    results = compute_metrics(cleaned)
     for name, df in results.items():
         write_metric(df, output_path, name, process_date)
-    sessions.unpersist()
     if not warehouse_path:
         return {}
     from clickmart.sources.csv_events import read_metric
