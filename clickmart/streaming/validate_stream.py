@@ -20,9 +20,14 @@ BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, cont
 from clickmart.sinks.writers import write_error_reports
 
 
+QUARANTINE_DIR = "quarantine"
+
+
 def _batch_files(batch: DataFrame) -> list[str]:
-    """File paths of one micro-batch (at most ``maxFilesPerTrigger`` names)."""
-    return sorted({r[0] for r in batch.select("path").collect()})
+    """File paths of one micro-batch (at most ``maxFilesPerTrigger`` names). Files under
+    a ``quarantine/`` directory are never validated again (S8)."""
+    paths = batch.where(~F.col("path").contains(f"/{QUARANTINE_DIR}/")).select("path")
+    return sorted({r[0] for r in paths.collect()})
 
 
 def validate_batch(
@@ -93,3 +98,14 @@ def start_validation_stream(
 def read_verdicts(spark: SparkSession, verdict_path: str) -> DataFrame:
     """The verdict table accumulated by the stream."""
     return spark.read.parquet(verdict_path)
+
+
+def batch_summary(verdicts: DataFrame) -> DataFrame:
+    """Per micro-batch, files processed and how many were valid / not valid."""
+    valid = F.col("status") == "valid"
+    return verdicts.groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("processed"),
+        F.count_if(valid).alias("valid_files"),
+        F.count_if(~valid).alias("invalid_files"),
+        F.sum(F.when(valid, F.col("total_rows")).otherwise(0)).alias("valid_records"),
+    )

@@ -75,3 +75,38 @@ def test_oracle_agrees_on_small_fixture(spark):
         have = sorted(map(str, (tuple(r[c] for c in sorted(got.columns)) for r in got.collect())))
         assert sorted(got.columns) == sorted(cols), name
         assert have == want, name
+
+
+def test_quarantine_dir_is_ignored_and_summary(spark, tmp_path):
+    from clickmart.streaming.validate_stream import batch_summary
+
+    base = csvtree.build(tmp_path / "raw")
+    csvtree.write(base, "quarantine/year=2025/month=06/day=01/click.csv", "user_id,session_id,timestamp\n")
+    out, ckpt = str(tmp_path / "verdicts"), str(tmp_path / "ckpt")
+    q = start_validation_stream(spark, str(base), out, ckpt, max_files_per_trigger=100)
+    q.awaitTermination()
+    v = read_verdicts(spark, out)
+    assert v.count() == 7
+    assert v.where(F.col("source_file").contains("/quarantine/")).count() == 0
+    s = batch_summary(v).collect()
+    assert len(s) == 1 and s[0].processed == 7 and s[0].valid_files == 3 and s[0].valid_records == 3
+
+
+def test_quarantine_and_error_report_sinks(spark, tmp_path):
+    import json
+
+    from clickmart.sinks.writers import write_error_reports, write_quarantine
+
+    base = csvtree.build(tmp_path / "raw")
+    v = validate_files(spark, base=str(base))
+    write_quarantine(v.checked, v.verdicts, str(tmp_path / "quarantine"))
+    q = spark.read.parquet(str(tmp_path / "quarantine"))
+    assert q.count() == v.checked.count() - 3
+    assert {r.event_type for r in q.select("event_type").distinct().collect()} == {
+        "page_view", "click", "product_view", None}
+    write_error_reports(v.error_reports(), str(tmp_path / "reports"))
+    docs = [json.loads(line) for f in (tmp_path / "reports").glob("*.json") for line in f.read_text().splitlines()]
+    assert len(docs) == 4
+    click = next(d for d in docs if d["file"].endswith("click.csv"))
+    assert set(click) == {"file", "processed_at", "error_type", "failed_fields", "first_invalid_rows"}
+    assert len(click["first_invalid_rows"]) == 3
