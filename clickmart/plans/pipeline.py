@@ -34,9 +34,17 @@ def compute_metrics(events: DataFrame) -> dict[str, DataFrame]:
 
 
 def clean_layer(spark: SparkSession, events: DataFrame, path: str | None = None) -> DataFrame:
-    """Cleaned events written once (Parquet by event type on shared storage)."""
+    """The expensive part (raw parse, de-duplication, timestamp parse) is written
+    once to shared storage as Parquet partitioned by event type. Medians are computed
+    from that layer (reading only the page_view / product_view partitions) and the
+    imputation stays a lazy broadcast join, fused into each metric's scan stage."""
     path = path or f"{scratch_dir(spark, 'clean')}/events"
-    return cleaning.materialize(events, path=path, partition_by=["event_type"])
+    deduped = cleaning.dedup_events(
+        events, [k for k in cleaning.DEDUP_KEYS if k in events.columns], [F.col(c) for c in ROW_ORDER]
+    )
+    deduped = cleaning.parse_timestamps(deduped, "timestamp")
+    stored = cleaning.materialize(deduped, path=path, partition_by=["event_type"])
+    return cleaning.impute_price(cleaning.impute_time_on_page(stored))
 
 
 def run(
@@ -46,16 +54,15 @@ def run(
     process_date: str,
     scope: str = "day",
     warehouse_path: str | None = None,
+    pattern: str = "*.csv",
 ) -> dict[str, int]:
     """Read -> clean -> metrics -> ``<output>/<metric>/date=<d>/``; optionally load the
     typed facts into ``warehouse_path``. Returns rows loaded per fact table (if loaded)."""
     dates = [process_date] if scope == "day" else None
-    raw = read_raw(spark, base=input_path, dates=dates)
+    raw = read_raw(spark, base=input_path, dates=dates, pattern=pattern)
     if raw.rows is None:
         return {}
-    events = typed_events(raw.rows)
-    cleaned = cleaning.clean_events(events, order_by=[F.col(c) for c in ROW_ORDER])
-    cleaned = clean_layer(spark, cleaned)
+    cleaned = clean_layer(spark, typed_events(raw.rows))
     results = compute_metrics(cleaned)
     for name, df in results.items():
         write_metric(df, output_path, name, process_date)

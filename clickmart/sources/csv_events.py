@@ -171,22 +171,26 @@ def read_raw(
         )
         return RawEvents([], empty_files)
     files = discover_files(spark, paths, base).persist()
-    # Distinct headers are few. Only when files disagree are per-group file lists
-    # (metadata) taken to the driver; the usual single-header case reads the globs.
-    headers = files.where(F.col("header").isNotNull()).select("header").distinct().limit(1001).collect()
-    if len(headers) > 1000:
+    # One small job: files per distinct header (a handful of groups). File names reach
+    # the driver only when files disagree on the header; the usual single-header case
+    # reads the original globs.
+    groups = files.groupBy("header").count().limit(1001).collect()
+    if len(groups) > 1000:
         raise ValueError("more than 1000 distinct CSV headers; refusing to plan one read per header")
-    headerless = files.where(F.col("header").isNull()).limit(1).count() > 0
-    if len(headers) == 1 and not headerless:
-        cols = header_columns(headers[0]["header"])
+    with_header = [g["header"] for g in groups if g["header"] is not None]
+    headerless = len(with_header) < len(groups)
+    if len(with_header) == 1 and not headerless:
+        cols = header_columns(with_header[0])
         return RawEvents([(cols, read_group(spark, paths, cols, base))], files)
+    listed = (
+        files.where(F.col("header").isNotNull())
+        .groupBy("header").agg(F.collect_list("source_file").alias("paths"))
+        .collect()
+    )
     frames = []
-    for h in headers:
-        group_paths = [
-            r[0] for r in files.where(F.col("header") == h["header"]).select("source_file").collect()
-        ]
-        cols = header_columns(h["header"])
-        frames.append((cols, read_group(spark, group_paths, cols, base)))
+    for g in listed:
+        cols = header_columns(g["header"])
+        frames.append((cols, read_group(spark, list(g["paths"]), cols, base)))
     return RawEvents(frames, files)
 
 
