@@ -20,16 +20,35 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for a large cluster (hundreds of TB). Shuffle partitions start high and
+# AQE coalesces them towards the advisory size; large input splits keep task counts
+# manageable; skew join splits partitions of hot keys.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.files.ignoreMissingFiles": "false",
+    "spark.task.maxFailures": "8",
+    "spark.stage.maxConsecutiveAttempts": "8",
+}
+
+
 def get_session(
     master: str | None = None,
     app_name: str = "clickmart",
     shuffle_partitions: int | None = None,
     conf: dict[str, str] | None = None,
+    cluster: bool = False,
 ) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     settings = dict(DEFAULT_CONF)
+    if cluster:
+        settings.update(CLUSTER_CONF)
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})
@@ -84,6 +103,7 @@ def local_path(path: str) -> str:
 
 __all__ = [
     "DEFAULT_CONF",
+    "CLUSTER_CONF",
     "get_session",
     "shared_dir",
     "scratch_dir",
