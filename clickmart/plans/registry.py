@@ -35,7 +35,12 @@ def _on_clean(fn) -> Query:
 def q_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = canon(spark, sf_dir).select(
         "event_id", "user_id", "session_id",
-        F.date_trunc("hour", F.col("timestamp")).alias("timestamp_hour"), "event_type",
+        # hour truncation in wall-clock (NTZ) arithmetic: independent of the session zone
+        F.make_timestamp_ntz(
+            F.year("timestamp"), F.month("timestamp"), F.dayofmonth("timestamp"),
+            F.hour("timestamp"), F.lit(0), F.lit(0),
+        ).alias("timestamp_hour"),
+        "event_type",
     )
     return cleaning.dedup_events(
         keyed, keys=("user_id", "session_id", "timestamp_hour", "event_type"), order_by=[F.col("event_id")]
