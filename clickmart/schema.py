@@ -23,6 +23,9 @@ NA_TOKENS = (
 )
 # Path separator used by the navigation-path metric.
 PATH_SEPARATOR = "→"
+# Error-report document keys (external JSON format), in document order:
+# processing time, error type, failed fields, first problematic rows.
+REPORT_KEYS = ("timestamp_proceso", "tipo_error", "campos_fallidos", "primeras_3_filas_problematicas")
 # --- end fixed values ---------------------------------------------------------------
 
 COMMON_COLUMNS = ("user_id", "session_id", "timestamp")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from clickmart.operators import quality
+from clickmart.schema import REPORT_KEYS
 
 
 def write_metric(df: DataFrame, base: str, metric: str, process_date: str) -> None:
@@ -79,15 +80,16 @@ def write_quarantine(rows: DataFrame, verdicts: DataFrame, path: str, file_col:
 
 
 def write_error_reports(reports: DataFrame, path: str) -> None:
-    """K6: one JSON document per invalid file: processing time, error type, failed fields
-    and the first invalid rows."""
+    """K6: one JSON document per invalid file (keys as in the established report format:
+    processing time, error type, failed fields, first invalid rows) plus the file."""
+    t_key, type_key, fields_key, rows_key = REPORT_KEYS
     (
         reports.select(
             F.col(reports.columns[0]).alias("file"),
-            F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("processed_at"),
-            "error_type",
-            "failed_fields",
-            "first_invalid_rows",
+            F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias(t_key),
+            F.col("error_type").alias(type_key),
+            F.col("failed_fields").alias(fields_key),
+            F.col("first_invalid_rows").alias(rows_key),
         )
         .write.mode("append")
         .json(path)

@@ -108,5 +108,7 @@ def test_quarantine_and_error_report_sinks(spark, tmp_path):
     docs = [json.loads(line) for f in (tmp_path / "reports").glob("*.json") for line in f.read_text().splitlines()]
     assert len(docs) == 4
     click = next(d for d in docs if d["file"].endswith("click.csv"))
-    assert set(click) == {"file", "processed_at", "error_type", "failed_fields", "first_invalid_rows"}
-    assert len(click["first_invalid_rows"]) == 3
+    assert set(click) == {"file", "timestamp_proceso", "tipo_error", "campos_fallidos",
+                          "primeras_3_filas_problematicas"}
+    assert click["tipo_error"] == "validation_error"
+    assert len(click["primeras_3_filas_problematicas"]) == 3
