@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickmart.functions.columns import exact_avg, safe_pct
-from clickmart.plans.joins import join_small
+from clickmart.plans.joins import fetch_small, join_small
 from clickmart.schema import PATH_SEPARATOR
 
 QUANTILE_ACCURACY = 10000
@@ -63,21 +63,47 @@ def session_rollup(events: DataFrame) -> DataFrame:
     )
 
 
-def session_paths(events: DataFrame, chunk: int = PATH_CHUNK) -> DataFrame:
-    """Per session: page types in (timestamp, page_type) order joined with "→".
+# Sessions with more page views than this get positions from a distributed global rank
+# instead of a per-session window (which would sort the whole session in one task).
+HOT_SESSION_EVENTS = 1_000_000
+
+
+def _ordering() -> list:
+    return [F.col("timestamp").asc_nulls_first(), F.col("page_type").asc_nulls_first()]
+
+
+def _positions_by_window(pv: DataFrame) -> DataFrame:
+    """Position of each page view in its session (one sort per session)."""
+    w = Window.partitionBy("session_id").orderBy(*_ordering())
+    return pv.withColumn("__pos", F.row_number().over(w) - 1)
 
-    Each page view gets its position in the session from a sort-based window (spills,
-    never buffers a session in memory). Positions are cut into chunks of ``chunk`` page
-    views; each chunk's piece is built from at most ``chunk`` values, and a session's
-    pieces are joined in chunk order. A NULL page type is skipped. A session's path is
-    its output value, so only that string, never its raw rows, is held per session.
+
+def _positions_by_range(pv: DataFrame, parts: int) -> DataFrame:
+    """Position of each page view in its session, for sessions too big for one task.
+
+    Rows are range-partitioned by (session, timestamp, page type), which splits a big
+    session over many partitions in order. Each (session, partition) piece is numbered
+    locally; a piece's offset is the size of the session's earlier pieces (a window over
+    at most ``parts`` counts per session).
     """
-    pv = page_views(events).select("session_id", "timestamp", "page_type")
-    order = Window.partitionBy("session_id").orderBy(
-        F.col("timestamp").asc_nulls_first(), F.col("page_type").asc_nulls_first()
+    ranged = pv.repartitionByRange(parts, F.col("session_id"), *_ordering()).withColumn(
+        "__pid", F.spark_partition_id()
+    )
+    local = ranged.withColumn(
+        "__lpos",
+        F.row_number().over(Window.partitionBy("session_id", "__pid").orderBy(*_ordering())) - 1,
+    )
+    counts = local.groupBy("session_id", "__pid").agg(F.count(F.lit(1)).alias("__cnt"))
+    before = Window.partitionBy("session_id").orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        "session_id", "__pid", F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__off")
     )
-    ranked = pv.withColumn("__pos", F.row_number().over(order) - 1)
-    pieces = ranked.groupBy("session_id", F.floor(F.col("__pos") / chunk).alias("__chunk")).agg(
+    joined = join_small(local, offsets, ["session_id", "__pid"], "inner", null_safe=True)
+    return joined.withColumn("__pos", F.col("__off") + F.col("__lpos")).drop("__pid", "__lpos", "__off")
+
+
+def _paths_from_positions(positioned: DataFrame, chunk: int) -> DataFrame:
+    pieces = positioned.groupBy("session_id", F.floor(F.col("__pos") / chunk).alias("__chunk")).agg(
         F.concat_ws(
             PATH_SEPARATOR,
             F.transform(
@@ -99,6 +125,40 @@ def session_paths(events: DataFrame, chunk: int = PATH_CHUNK) -> DataFrame:
     )
 
 
+def session_paths(
+    events: DataFrame, chunk: int = PATH_CHUNK, hot_threshold: int = HOT_SESSION_EVENTS
+) -> DataFrame:
+    """Per session: page types in (timestamp, page_type) order joined with "→".
+
+    Positions come from a sort-based window (spills; one sort per session), except for
+    sessions above ``hot_threshold`` page views, which are split over many tasks by a
+    range-partitioned global rank. Positions are cut into chunks of ``chunk`` page
+    views, so every collect holds at most ``chunk`` values, and a session's pieces are
+    joined in order. A NULL page type is skipped. Only the session's path string, its
+    output value, is assembled per session.
+    """
+    pv = page_views(events).select("session_id", "timestamp", "page_type")
+    hot = (
+        pv.groupBy("session_id").agg(F.count(F.lit(1)).alias("__n"))
+        .where(F.col("__n") > hot_threshold).select("session_id")
+    )
+    hot_rows = fetch_small(hot)
+    if hot_rows is not None and not hot_rows:
+        return _paths_from_positions(_positions_by_window(pv), chunk)
+    if hot_rows is not None:
+        hot = pv.sparkSession.createDataFrame(hot_rows, hot.schema)
+    cond = pv["session_id"].eqNullSafe(F.col("__hot"))
+    hot_keys = hot.select(F.col("session_id").alias("__hot"))
+    if hot_rows is not None:
+        hot_keys = F.broadcast(hot_keys)
+    normal = pv.join(hot_keys, cond, "left_anti")
+    big = pv.join(hot_keys, cond, "left_semi")
+    parts = int(pv.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return _paths_from_positions(_positions_by_window(normal), chunk).unionByName(
+        _paths_from_positions(_positions_by_range(big, parts), chunk)
+    )
+
+
 # --- M2 ------------------------------------------------------------------------------
 def bounce_rate(events: DataFrame, sessions: DataFrame | None = None) -> DataFrame:
     """Per entry page type: sessions with exactly one page view over all sessions (%)."""

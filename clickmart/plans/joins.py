@@ -22,6 +22,12 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 100_000
 
 
+def fetch_small(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS):
+    """The rows of ``small`` if there are at most ``max_rows`` of them, else ``None``."""
+    head = small.limit(max_rows + 1).collect()
+    return None if len(head) > max_rows else head
+
+
 def checked_small(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
     """Fetch at most ``max_rows + 1`` rows of ``small``. Returns a local (literal) copy
     when it fits, else the original plan and ``False``."""
