@@ -49,9 +49,10 @@ def uuid_like(c) -> Column:
     Accepts the usual spellings: plain, braces, ``urn:uuid:`` prefix and no hyphens.
     """
     c = col_of(c).cast("string")
-    stripped = F.regexp_replace(F.regexp_replace(c, "urn:", ""), "uuid:", "")
-    stripped = F.regexp_replace(stripped, r"^[{}]+|[{}]+$", "")
-    stripped = F.regexp_replace(stripped, "-", "")
+    # literal replacements (no regex engine) and a two-sided strip of brace characters
+    stripped = F.replace(F.replace(c, F.lit("urn:"), F.lit("")), F.lit("uuid:"), F.lit(""))
+    stripped = F.btrim(stripped, F.lit("{}"))
+    stripped = F.replace(stripped, F.lit("-"), F.lit(""))
     return F.coalesce(stripped.rlike(_HEX32_RE), F.lit(False))
 
 

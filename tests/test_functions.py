@@ -7,7 +7,7 @@ def test_uuid_spellings(spark):
     u = "12345678-1234-5678-1234-567812345678"
     cases = [
         (u, True), ("{" + u + "}", True), ("urn:uuid:" + u, True), (u.replace("-", ""), True),
-        (u.upper(), True), ("bad-1", False), (None, False), ("1234", False), ("g" * 32, False),
+        (u.upper(), True), ("{{" + u + "}}", True), ("urn:uuid:{" + u + "}", True), ("bad-1", False), (None, False), ("1234", False), ("g" * 32, False),
     ]
     df = spark.createDataFrame(cases, "v string, expected boolean")
     got = df.select(uuid_like("v").alias("got"), "expected").collect()
