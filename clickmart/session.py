@@ -83,31 +83,10 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return shared_dir(spark, "clickmart", f"{label}-{uuid.uuid4().hex[:12]}")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make sure ``DataFrame.checkpoint()`` has a reliable (shared) target."""
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    target = shared_dir(spark)
-    spark.sparkContext.setCheckpointDir(target)
-    return target
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 __all__ = [
     "DEFAULT_CONF",
     "CLUSTER_CONF",
     "get_session",
     "shared_dir",
     "scratch_dir",
-    "ensure_checkpoint_dir",
-    "is_local_path",
-    "local_path",
 ]

@@ -251,8 +251,3 @@ def read_metric(
     if date is not None:
         df = df.where(F.col("date") == F.lit(date).cast("date"))
     return df
-
-
-def to_raw_columns(events: DataFrame, extra: list[str] | None = None) -> list[str]:
-    keep = [c for c in events.columns if c in KNOWN_COLUMNS]
-    return keep + list(extra or [])

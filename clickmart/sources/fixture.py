@@ -107,20 +107,6 @@ def load_canon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canon_events(spread(read_table(spark, sf_dir, "events")))
 
 
-def file_id_col(event_type: Column, ts: Column) -> Column:
-    return F.concat(event_type, F.lit("/"), F.date_format(ts, "yyyy-MM-dd"))
-
-
-def file_key_col(event_type: Column, ts: Column) -> Column:
-    """Object-store style key of the raw CSV that would hold the row."""
-    return F.concat(
-        F.lit("events/year="), F.date_format(ts, "yyyy"),
-        F.lit("/month="), F.date_format(ts, "MM"),
-        F.lit("/day="), F.date_format(ts, "dd"),
-        F.lit("/"), event_type, F.lit(".csv"),
-    )
-
-
 def dirty_events(canon: DataFrame) -> DataFrame:
     """Raw-text events with rule violations on every third day (FIXTURES.md §4).
 
