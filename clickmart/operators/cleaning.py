@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickmart.operators.quantiles import exact_percentiles
 from clickmart.plans.joins import join_small
 
 DEDUP_KEYS = ("user_id", "session_id", "timestamp", "event_type")
@@ -50,12 +51,15 @@ def parse_timestamps(df: DataFrame, column: str = "timestamp", tz: str = "UTC")
 
 def group_medians(
     df: DataFrame, value: str, by: str, where: Column, accuracy: int = MEDIAN_ACCURACY,
-    name: str = "__median",
+    name: str = "__median", exact: bool = True,
 ) -> DataFrame:
-    return (
-        df.where(where)
-        .groupBy(by)
-        .agg(F.percentile_approx(F.col(value).cast("double"), 0.5, accuracy).alias(name))
+    """Median of ``value`` per ``by`` over rows matching ``where``: exact (lower median,
+    distributed, bounded memory) or, with ``exact=False``, the sketch estimate."""
+    rows = df.where(where)
+    if exact:
+        return exact_percentiles(rows, value, [by], [0.5], names=[name], accuracy=accuracy)
+    return rows.groupBy(by).agg(
+        F.percentile_approx(F.col(value).cast("double"), 0.5, accuracy).alias(name)
     )
 
 

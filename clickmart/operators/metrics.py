@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickmart.functions.columns import exact_avg, safe_pct
+from clickmart.operators.quantiles import exact_count_percentile, exact_percentiles
 from clickmart.plans.joins import fetch_small, join_small
 from clickmart.schema import PATH_SEPARATOR
 
@@ -233,36 +234,40 @@ def product_metrics(events: DataFrame) -> DataFrame:
     )
 
 
-def high_view_low_cart(events: DataFrame, accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
+def high_view_low_cart(events: DataFrame, accuracy: int = QUANTILE_ACCURACY, exact: bool = True) -> DataFrame:
     """Products viewed more than the 75th percentile but added less than the 25th.
 
-    Percentiles run as scalar subqueries inside the same plan (no driver round trip).
+    Thresholds are scalar subqueries inside the same plan (no driver round trip): exact
+    percentiles from the histogram of each count column, or sketches with ``exact=False``.
     """
     pm = product_metrics(events)
-    # Both percentiles in one scalar subquery: one extra pass over the products, not two.
-    th = pm.select(
-        F.struct(
-            F.percentile_approx("view_count", 0.75, accuracy).alias("views_p75"),
-            F.percentile_approx("cart_add_count", 0.25, accuracy).alias("adds_p25"),
-        )
-    ).scalar()
+    if exact:
+        views_p75 = exact_count_percentile(pm, "view_count", 0.75).scalar()
+        adds_p25 = exact_count_percentile(pm, "cart_add_count", 0.25).scalar()
+    else:
+        th = pm.select(
+            F.struct(
+                F.percentile_approx("view_count", 0.75, accuracy).alias("views_p75"),
+                F.percentile_approx("cart_add_count", 0.25, accuracy).alias("adds_p25"),
+            )
+        ).scalar()
+        views_p75, adds_p25 = th["views_p75"], th["adds_p25"]
     return (
         pm.where(
-            (F.col("view_count") > F.coalesce(th["views_p75"], F.lit(0)))
-            & (F.col("cart_add_count") < F.coalesce(th["adds_p25"], F.lit(0)))
+            (F.col("view_count") > F.coalesce(views_p75, F.lit(0)))
+            & (F.col("cart_add_count") < F.coalesce(adds_p25, F.lit(0)))
         )
         .select("product_id", "category", "avg_price", "view_count", "cart_add_count", "conversion_rate")
         .orderBy(F.desc("view_count"), F.asc("cart_add_count"), F.asc("product_id"))
     )
 
 
-def quantile_thresholds(events: DataFrame, accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
-    """The two thresholds as a one-row table."""
+def quantile_thresholds(events: DataFrame) -> DataFrame:
+    """The two exact thresholds as a one-row table."""
     pm = product_metrics(events)
-    return pm.agg(
-        F.percentile_approx("view_count", 0.75, accuracy).alias("views_p75"),
-        F.percentile_approx("cart_add_count", 0.25, accuracy).alias("cart_adds_p25"),
-    )
+    v = exact_count_percentile(pm, "view_count", 0.75).select(F.col("q").alias("views_p75"))
+    a = exact_count_percentile(pm, "cart_add_count", 0.25).select(F.col("q").alias("cart_adds_p25"))
+    return v.select("views_p75", a.select("cart_adds_p25").scalar().alias("cart_adds_p25"))
 
 
 # --- M5 ------------------------------------------------------------------------------
@@ -291,23 +296,27 @@ def device_country_time(events: DataFrame) -> DataFrame:
 
 
 # --- M7 ------------------------------------------------------------------------------
-def page_type_stats(events: DataFrame, accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
-    """M7a + M7b in one aggregation: mean, sample stddev and IQR fences per page type."""
+def page_type_stats(events: DataFrame, accuracy: int = QUANTILE_ACCURACY, exact: bool = True) -> DataFrame:
+    """M7a + M7b: mean, sample stddev and IQR fences per page type.
+
+    Quartiles are exact discrete percentiles (``exact_percentiles``) unless
+    ``exact=False``, which uses the sketch estimate in the same aggregation.
+    """
     t = F.col("time_on_page_seconds")
-    q = F.percentile_approx(t, F.array(F.lit(0.25), F.lit(0.75)), accuracy)
-    stats = page_views(events).groupBy("page_type").agg(
+    pv = page_views(events)
+    moments = pv.groupBy("page_type").agg(
         exact_avg(t).alias("mean_time"),
         F.stddev_samp(t).alias("std_time"),
-        q.alias("__q"),
+        *([] if exact else [F.percentile_approx(t, F.array(F.lit(0.25), F.lit(0.75)), accuracy).alias("__q")]),
     )
+    if exact:
+        quarts = exact_percentiles(pv, "time_on_page_seconds", ["page_type"], [0.25, 0.75],
+                                   names=["q1", "q3"], accuracy=accuracy)
+        stats = join_small(moments, quarts, ["page_type"], "left", null_safe=True)
+    else:
+        stats = moments.select("*", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("q3")).drop("__q")
     return stats.select(
-        "page_type",
-        "mean_time",
-        "std_time",
-        F.col("__q")[0].alias("q1"),
-        F.col("__q")[1].alias("q3"),
-    ).select(
-        "*",
+        "page_type", "mean_time", "std_time", "q1", "q3",
         (F.col("q3") - F.col("q1")).alias("iqr"),
         (F.col("q1") - F.lit(IQR_FACTOR) * (F.col("q3") - F.col("q1"))).alias("lower_bound"),
         (F.col("q3") + F.lit(IQR_FACTOR) * (F.col("q3") - F.col("q1"))).alias("upper_bound"),
