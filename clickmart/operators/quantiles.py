@@ -23,7 +23,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickmart.plans.joins import join_small
+from clickmart.plans.joins import fetch_small, join_small
 
 DEFAULT_ACCURACY = 10000
 
@@ -61,6 +61,11 @@ def exact_percentiles(
         keys = ["__one"]
     else:
         keys = list(by)
+    # One row per group: fetch it once (size-checked) and reuse the local copy in every
+    # join below, so the sketch pass is not recomputed.
+    fetched = fetch_small(bounds)
+    if fetched is not None:
+        bounds = df.sparkSession.createDataFrame(fetched, bounds.schema)
     tagged = join_small(rows, bounds.select(*keys, *[f"__lo{i}" for i in range(m)],
                                             *[f"__hi{i}" for i in range(m)]),
                         keys, "inner", null_safe=True)

@@ -25,7 +25,15 @@ def canon(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.clean_events(canon(spark, sf_dir), order_by=[F.col("event_id")])
+    """The production cleaning path: dedup written once to shared storage (partitioned
+    by event type), medians from that layer, imputation as lazy broadcast joins."""
+    from clickmart.session import scratch_dir
+
+    deduped = cleaning.dedup_events(canon(spark, sf_dir), order_by=[F.col("event_id")])
+    stored = cleaning.materialize(
+        deduped, path=f"{scratch_dir(spark, 'dedup')}/events", partition_by=["event_type"]
+    )
+    return cleaning.impute_price(cleaning.impute_time_on_page(stored))
 
 
 def _on_clean(fn) -> Query:
