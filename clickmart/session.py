@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -60,27 +61,51 @@ def get_session(
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
-    """A folder on the storage every executor shares.
+    """A folder on the storage every executor shares: the cluster's ``spark.checkpoint.dir``.
 
-    Uses the cluster's ``spark.checkpoint.dir``. Only when it is unset (local runs and
-    tests) a fresh local folder is created and registered as the checkpoint dir.
+    Where it is unset, a local master (one machine) gets a fresh local folder; any other
+    master is an error, since executors don't see each other's disks.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a shared folder (master is {master})")
         base = tempfile.mkdtemp(prefix="clickmart-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
-    path = base.rstrip("/")
-    for part in parts:
-        path = f"{path}/{part}"
-    return path
+    return "/".join([base.rstrip("/"), *parts])
+
+
+_SCRATCH: dict[str, list[str]] = {}
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new, unique folder under the shared dir for one run."""
-    return shared_dir(spark, "clickmart", f"{label}-{uuid.uuid4().hex[:12]}")
+    """A new, unique folder under the shared dir for one run. ``clear_scratch`` deletes it."""
+    path = shared_dir(spark, "clickmart", f"{label}-{uuid.uuid4().hex[:12]}")
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def delete_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder of ours through the file system it lies in (there is no public
+    DataFrame call for that; this is the one place that reaches for the JVM)."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def scratch_mark(spark: SparkSession) -> int:
+    """How many scratch folders there are now, for ``clear_scratch``."""
+    return len(_SCRATCH.get(spark.sparkContext.applicationId, []))
+
+
+def clear_scratch(spark: SparkSession, since: int = 0) -> None:
+    """Delete the scratch folders made since the mark. Frames that read them end with it, so
+    call it when their results are written or collected."""
+    paths = _SCRATCH.get(spark.sparkContext.applicationId, [])
+    for path in paths[since:]:
+        delete_dir(spark, path)
+    del paths[since:]
 
 
 __all__ = [
@@ -89,4 +114,7 @@ __all__ = [
     "get_session",
     "shared_dir",
     "scratch_dir",
+    "scratch_mark",
+    "clear_scratch",
+    "delete_dir",
 ]

@@ -14,9 +14,7 @@ from clickmart.session import get_session  # noqa: E402
 def spark():
     session = get_session("local[4]", app_name="clickmart-tests", shuffle_partitions=4)
     if not session.sparkContext.getCheckpointDir() and not session.conf.get("spark.checkpoint.dir", None):
-        ckpt = tempfile.mkdtemp(prefix="clickmart-test-ckpt-")
-        session.conf.set("spark.checkpoint.dir", ckpt)
-        session.sparkContext.setCheckpointDir(ckpt)
+        session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="clickmart-test-ckpt-"))
     yield session
 
 
