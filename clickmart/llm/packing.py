@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickmart.llm.common import ceil_div, plain_text, tokenizer_path
-from clickmart.llm.words import WordEncoder
+from clickmart.llm.words import encoder_of
 
 END_ID = 1
 WINDOW, PIECE, GROUP = 2048, 512, 1024
@@ -57,7 +57,7 @@ def tokenize(
     rows = docs.select(F.col(id_col).alias("id"), plain_text(text_col).alias("text"))
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer or tokenizer_path())
+        encoder = encoder_of(tokenizer or tokenizer_path())
         end = np.array([END_ID], dtype="<u4").tobytes()
         for b in batches:
             who, start, length, ids, total = [], [], [], [], []

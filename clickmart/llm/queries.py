@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmart.llm import exact_dedup, packing, sharding, simhash
+from clickmart.llm import bpe, exact_dedup, line_dedup, packing, sharding, simhash, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,11 +20,31 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.line_dedup(documents(spark, sf_dir))
+    return found.select("doc_id", "n_lines", "n_removed_lines", "text")
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.substring_dedup(documents(spark, sf_dir))
+    spans = F.coalesce("removed_spans", F.array().cast("array<struct<start:bigint,end:bigint>>"))
+    removed = F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id", F.size(spans).alias("n_removed_spans"), removed.alias("removed_bytes"),
+        F.transform(spans, lambda s: s["start"]).alias("span_starts"),
+        F.transform(spans, lambda s: s["end"]).alias("span_ends"), "text",
+    )
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_dedup(documents(spark, sf_dir), shingle=3, radius=3)
     return found.select("doc_id", simhash.hex16("fp").alias("fingerprint"), "component_id")
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_decode(documents(spark, sf_dir), digests=True)
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_rows(documents(spark, sf_dir), shards=8)
     return placed.select(
@@ -50,7 +70,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Query]:
     return {
+        "op2_line_dedup": op2_line_dedup,
+        "op3_substring_dedup": op3_substring_dedup,
         "op6_simhash": op6_simhash,
+        "op7_bpe": op7_bpe,
         "op8_sharding": op8_sharding,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_packing": op10_packing,

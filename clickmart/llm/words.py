@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import os
+from functools import lru_cache
 
 import numpy as np
 import regex
@@ -18,7 +19,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 
 
 class WordEncoder:
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -63,3 +64,9 @@ def special_tokens(spec: dict) -> dict[str, int]:
     if any(t.get("single_word") or t.get("lstrip") or t.get("rstrip") for t in tokens):
         raise ValueError("special tokens that strip or need word borders aren't supported")
     return {t["content"]: t["id"] for t in sorted(tokens, key=lambda t: -len(t["content"]))}
+
+
+@lru_cache(maxsize=2)
+def encoder_of(path: str) -> WordEncoder:
+    """One encoder for all tasks of a worker process."""
+    return WordEncoder(path)
