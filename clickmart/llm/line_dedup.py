@@ -46,9 +46,11 @@ def _selected(hashes: Column, window: int) -> Column:
     """Places of the window minima, each once."""
     last = F.size(hashes) - F.lit(window)
     starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    entry = [lambda i, k=k: F.struct(F.get(hashes, i + F.lit(k)).alias("h"), (-(i + F.lit(k))).alias("back"))
-             for k in range(window)]
-    least = entry[0] if window == 1 else (lambda i: F.least(*[e(i) for e in entry]))
+
+    def least(i: Column) -> Column:
+        entries = [F.struct(F.get(hashes, i + k).alias("h"), (-(i + k)).alias("back")) for k in range(window)]
+        return F.least(*entries) if window > 1 else entries[0]
+
     return F.array_distinct(F.transform(starts, lambda i: -least(i)["back"]))
 
 

@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmart.llm import bpe, exact_dedup, line_dedup, packing, sharding, simhash, substring_dedup
+import corpus_pipeline
+from clickmart.llm import (
+    bpe,
+    exact_dedup,
+    language_id,
+    line_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    simhash,
+    substring_dedup,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +32,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_classifier.classify(
+        documents(spark, sf_dir).select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.line_dedup(documents(spark, sf_dir))
     return found.select("doc_id", "n_lines", "n_removed_lines", "text")
@@ -36,6 +54,18 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(documents(spark, sf_dir))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.judge(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "rule",
+    )
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_dedup(documents(spark, sf_dir), shingle=3, radius=3)
     return found.select("doc_id", simhash.hex16("fp").alias("fingerprint"), "component_id")
@@ -70,13 +100,17 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Query]:
     return {
+        "op1_quality": op1_quality,
         "op2_line_dedup": op2_line_dedup,
         "op3_substring_dedup": op3_substring_dedup,
+        "op4_language_id": op4_language_id,
+        "op5_quality_rules": op5_quality_rules,
         "op6_simhash": op6_simhash,
         "op7_bpe": op7_bpe,
         "op8_sharding": op8_sharding,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_packing": op10_packing,
+        "pipeline": corpus_pipeline.run,
     }
 
 
@@ -94,4 +128,5 @@ ORACLE_SQL = {
 
 
 def statements() -> dict[str, str]:
-    return dict(ORACLE_SQL)
+    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {**ORACLE_SQL, **pipeline}
