@@ -99,13 +99,14 @@ def scratch_mark(spark: SparkSession) -> int:
     return len(_SCRATCH.get(spark.sparkContext.applicationId, []))
 
 
-def clear_scratch(spark: SparkSession, since: int = 0) -> None:
-    """Delete the scratch folders made since the mark. Frames that read them end with it, so
-    call it when their results are written or collected."""
+def clear_scratch(spark: SparkSession, since: int = 0, keep_last: bool = False) -> None:
+    """Delete the scratch folders made since the mark (but the newest, if that is to stay).
+    Frames that read them end with it, so call it when their results are written."""
     paths = _SCRATCH.get(spark.sparkContext.applicationId, [])
-    for path in paths[since:]:
+    until = len(paths) - 1 if keep_last else len(paths)
+    for path in paths[since:until]:
         delete_dir(spark, path)
-    del paths[since:]
+    del paths[since:until]
 
 
 __all__ = [
