@@ -25,7 +25,11 @@ from clickmart.llm.common import FILE, LOCATOR, ROW, plain_text, stored, with_lo
 from clickmart.session import scratch_dir
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    # no pre-allocated files: there is one store for each shuffle partition, most are small
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def sha256(text: Column) -> Column:
@@ -46,8 +50,9 @@ def _state_stream(intake: DataFrame, path: str, max_files_per_trigger: int | Non
     def emit(changed: DataFrame, batch: int) -> None:
         changed.write.mode("overwrite").parquet(f"{root}/changes/batch={batch}")
 
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in STATE_CONF}
+    for k, v in STATE_CONF.items():
+        spark.conf.set(k, v)
     try:
         query = (
             state.writeStream.outputMode("update").foreachBatch(emit)
@@ -55,7 +60,8 @@ def _state_stream(intake: DataFrame, path: str, max_files_per_trigger: int | Non
         )
         query.awaitTermination()
     finally:
-        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     schema = f"digest binary, holder {state.schema['holder'].dataType.simpleString()}, n bigint, batch bigint"
     changes = spark.read.schema(schema).parquet(f"{root}/changes")
     return changes.groupBy("digest").agg(F.max_by(F.struct("holder", "n"), "batch").alias("last")).select(
