@@ -72,10 +72,14 @@ class Automaton:
         self.arc: dict[tuple[int, int], bool] = {}
 
     def _gadget(self, u: int, v: int, w: int, rank: int) -> None:
-        self.removed.setdefault((u, v), rank)
-        self.state_from.setdefault(w, (v, rank))
-        self.arc_from.setdefault(w, (u, rank))
-        self.token.setdefault(self.label[w], w)
+        if w in self.arc_from:
+            raise ValueError("two merges that make the same token aren't supported")
+        if self.token.get(self.label[u]) != u or self.token.get(self.label[v]) != v or not self._walk(u, v):
+            return  # no state has u followed by v any more: the merge never applies, w has no arc
+        self.removed[u, v] = rank
+        self.state_from[w] = (v, rank)
+        self.arc_from[w] = (u, rank)
+        self.token[self.label[w]] = w
 
     def has_arc(self, s: int, t: int) -> bool:
         """May t follow s?"""

@@ -27,6 +27,7 @@ the fold; repeated rows count as often as they come; an empty table gives an emp
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -253,7 +254,7 @@ def identify(
     )
     model = learn(rows.where("not held_out and lang is not null"), bits)
     shared = spark.sparkContext.broadcast(model)
-    key = f"{spark.sparkContext.applicationId}-{id(shared)}"
+    key = uuid.uuid4().hex
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs = shared.value.langs

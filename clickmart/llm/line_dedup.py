@@ -112,7 +112,7 @@ def line_dedup(
         F.transform(F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), F.col("__gone")), lambda i: F.get(ls, i)), "\n"))
     return base.select(
         *[F.when(F.col("__gone").isNull(), F.col(c)).otherwise(left).alias(c) if c == text_col else F.col(c)
-          for c in base.columns if c != "__gone"],
+          for c in docs.columns if c not in ("n_lines", "n_removed_lines", "__gone")],
         F.size(lines).cast("long").alias("n_lines"),
         F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_removed_lines"),
     )

@@ -32,7 +32,7 @@ SYMBOLS = "[#*$%&|<>]"
 BLANKS = " \t\n\x0b\x0c\r"
 SPAN = 8  # words of a repeated window
 BINS, MOST_RULES, MOST_CONDITIONS = 32, 12, 4
-LEAST_PRECISION, LEAST_COVERED = 0.9, 8
+LEAST_PRECISION, LEAST_COVERED = 0.9, 3
 
 #: Ratios the rules may use, from the statistics.
 FEATURES = {

@@ -2,15 +2,17 @@
 
 The ring has ``cells`` equal arcs. Each shard owns ``vnodes`` of them, placed by hash, and a
 row starts in the arc of its id's hash. It goes to the first shard clockwise that isn't
-full; rows overflowing a full shard continue clockwise. Rows enter in ring order (arc, hash,
-id, text checksum, size, locator), so the result depends on the rows alone, not on how they
+full; rows overflowing a full shard continue clockwise. Rows enter in ring order (arc, salt,
+hash, id, text checksum, size), so the result depends on the rows alone, not on how they
 are partitioned.
 
-Only counts by arc and salt are gathered on the driver (``cells * salts`` numbers at most,
-whatever the size of the input). They give each arc its segments: so many rows to this shard,
-from this slot on. The rows find their rank inside (arc, salt) with a window, and their
-segment with a range condition beside the equal arc. The salt comes from the row's locator,
-so one id that holds a third of all rows is still spread over ``salts`` tasks.
+Equal rows (id, checksum, size) are counted first, so one that holds a third of all rows is
+one entry. Only counts by arc and salt are gathered on the driver (``cells * salts`` numbers
+at most, whatever the size of the input). They give each arc its segments: so many rows to
+this shard, from this slot on. The entries find their ranks inside (arc, salt) with a running
+sum, are cut into runs of at most ``RUN`` rows, dealt out, and unfolded to rows; a row's
+segment is the one of its arc that holds its rank. The salt comes from the whole entry, so one
+id with many texts is spread over ``salts`` tasks.
 
 ``law="rows"``: with no slack (the default) the capacities are n div shards, one more for the
 first n mod shards of them, so counts are at most one apart; ``slack`` above 0 trades balance
@@ -26,9 +28,9 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickmart.llm.common import LOCATOR, plain_text, with_locator
+from clickmart.llm.common import plain_text, stored
 
-CELLS, VNODES, SALTS = 8192, 64, 8
+CELLS, VNODES, SALTS, RUN = 2048, 64, 32, 10_000
 
 
 def _mix(x: int) -> int:
@@ -88,16 +90,18 @@ def shard_rows(
 ) -> DataFrame:
     """One row per document: id, ``size``, ``text_crc32``, ``shard``, ``slot``."""
     spark = docs.sparkSession
-    h = F.xxhash64(F.col(id_col))
-    rows = with_locator(docs).select(
-        F.col(id_col).alias("id"), *LOCATOR,
+    key = ("h", "id", "text_crc32", "size")
+    values = docs.select(
+        F.col(id_col).alias("id"),
         (F.octet_length(plain_text(text_col)).cast("long") + 1).alias("size"),
         F.crc32(plain_text(text_col).cast("binary")).alias("text_crc32"),
-        h.alias("h"),
-        F.pmod(h, F.lit(cells)).cast("int").alias("cell"),
-        F.pmod(F.xxhash64(*LOCATOR), F.lit(salts)).cast("int").alias("salt"),
-    )
-    found = rows.groupBy("cell", "salt").agg(F.count(F.lit(1)).alias("n")).collect()  # cells * salts rows at most
+    ).withColumn("h", F.xxhash64("id"))
+    values = values.groupBy(
+        F.pmod("h", F.lit(cells)).cast("int").alias("cell"),
+        F.pmod(F.xxhash64("id", "text_crc32", "size"), F.lit(salts)).cast("int").alias("salt"), *key,
+    ).agg(F.count(F.lit(1)).alias("m"))
+    values = stored(values, "llm-shards")
+    found = values.groupBy("cell", "salt").agg(F.sum("m").alias("n")).collect()  # cells * salts rows at most
     counts: dict[int, int] = {}
     starts = []
     for r in sorted(found, key=lambda r: (r["cell"], r["salt"])):
@@ -107,13 +111,20 @@ def shard_rows(
         segments(counts, shards, slack, cells, vnodes), "cell int, lo long, hi long, shard int, first_slot long"
     )
     offsets = spark.createDataFrame(starts, "cell int, salt int, start long")
-    w = Window.partitionBy("cell", "salt").orderBy("h", "id", "text_crc32", "size", *LOCATOR)
-    ranked = rows.withColumn("rank", F.row_number().over(w) - 1)
-    # both sides have at most cells * salts and cells * shards rows
-    placed = ranked.join(F.broadcast(offsets), ["cell", "salt"]).withColumn("rank", F.col("rank") + F.col("start"))
-    p = F.broadcast(parts).alias("p")
-    placed = placed.alias("r").join(
-        p, (F.col("r.cell") == F.col("p.cell")) & (F.col("r.rank") >= F.col("p.lo")) & (F.col("r.rank") < F.col("p.hi"))
+    before = Window.partitionBy("cell", "salt").orderBy(*key).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = values.withColumn("before", F.coalesce(F.sum("m").over(before), F.lit(0)))
+    # the broadcast sides have cells * salts and about cells + shards rows at most
+    runs = ranked.join(F.broadcast(offsets), ["cell", "salt"]).select(
+        "cell", *key, "m", (F.col("start") + F.col("before")).alias("first"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1, F.lit(RUN).cast("long"))).alias("at"),
+    )
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    runs = runs.repartition(n, "h", "id", "text_crc32", "at")
+    last = F.least(F.col("at") + RUN, F.col("m")) - 1
+    rows = runs.select("cell", *key, F.explode(F.sequence(F.col("first") + F.col("at"), F.col("first") + last)).alias("rank"))
+    placed = rows.alias("r").join(
+        F.broadcast(parts).alias("p"),
+        (F.col("r.cell") == F.col("p.cell")) & (F.col("r.rank") >= F.col("p.lo")) & (F.col("r.rank") < F.col("p.hi")),
     )
     return placed.select(
         F.col("r.id").alias(id_col), "r.size", "r.text_crc32", "p.shard",

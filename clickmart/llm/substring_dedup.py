@@ -188,15 +188,20 @@ def substring_dedup(
     rest = F.transform(cut, lambda s, i: between(
         s["end"], F.coalesce(F.get(cut, i + 1)["start"], F.octet_length(raw).cast("long"))))
     left = F.concat(head, F.array_join(rest, ""))
-    return base.withColumn(text_col, F.when(cut.isNull(), F.col(text_col)).otherwise(left))
+    out = F.when(cut.isNull(), F.col(text_col)).otherwise(left).alias(text_col)
+    kept = [out if c == text_col else F.col(c) for c in docs.columns if c != "removed_spans"]
+    return base.select(*kept, "removed_spans")
 
 
 def cut_repeats(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """``docs`` with repeated passages removed from the text (and its length set anew where a
     length column is there); columns as they came."""
-    out = substring_dedup(docs, text_col=text_col)
+    spans = "__spans"  # an own column may be called removed_spans
+    names = {c: f"__own_{i}" for i, c in enumerate(docs.columns) if c == "removed_spans"}
+    out = substring_dedup(docs.withColumnsRenamed(names), text_col=text_col).withColumnRenamed("removed_spans", spans)
+    out = out.withColumnsRenamed({v: k for k, v in names.items()})
     if length_col in docs.columns:
         kind = docs.schema[length_col].dataType
-        out = out.withColumn(length_col, F.when(F.col("removed_spans").isNull(), F.col(length_col)).otherwise(
+        out = out.withColumn(length_col, F.when(F.col(spans).isNull(), F.col(length_col)).otherwise(
             F.char_length(text_col).cast(kind)))
     return out.select(*docs.columns)
