@@ -81,58 +81,52 @@ def infer_event_type(path: Column) -> Column:
     return F.when(by_name != "", by_name).otherwise(by_dir)
 
 
-def missing_columns(present: set[str] | None, event_type: str) -> dict[str, list[str]]:
-    """V1: missing required columns, per rule group ('common' and the type's group)."""
-    if present is None:
-        return {}
-    out = {}
-    common = sorted(set(COMMON_RULES) - present)
-    if common:
-        out["common"] = common
-    typed = sorted(set(TYPE_RULES.get(event_type, {})) - present)
-    if typed:
-        out[event_type] = typed
-    return out
+def _lacking(header: Column, fields) -> Column:
+    """Names of ``fields`` that the header hasn't got."""
+    wanted = F.array(*[F.lit(f) for f in fields]).cast("array<string>")
+    return F.array_except(wanted, header)
+
+
+def missing_fields(header: Column, event_type: Column) -> Column:
+    """V1: ``missing_column:<c>`` for each required column that the header hasn't got."""
+    typed = F.array().cast("array<string>")
+    for t, rules in TYPE_RULES.items():
+        if rules:
+            typed = F.when(event_type == t, _lacking(header, rules)).otherwise(typed)
+    names = F.array_sort(F.array_distinct(F.concat(_lacking(header, COMMON_RULES), typed)))
+    return F.transform(names, lambda c: F.concat(F.lit("missing_column:"), c))
 
 
 def check_rows(
     df: DataFrame,
     event_type_col: str = "event_type",
     columns: dict[str, str] | None = None,
-    present: set[str] | None = None,
+    header: str | None = None,
 ) -> DataFrame:
     """Add one ``invalid_<field>`` flag per checked field, ``missing_fields`` and ``row_invalid``.
 
     ``columns`` maps a field name to the physical column holding it (e.g. the raw
-    timestamp text). ``present`` is the set of columns the file header carried; when a
-    rule group's required column is absent, every row of that group is invalid, the
-    group's other rules are skipped, and ``missing_column:<c>`` is reported.
+    timestamp text). ``header`` names an array column with the column names of the row's
+    file; when a rule group's required column is not among them, every row of that group is
+    invalid, the group's other rules are skipped, and ``missing_column:<c>`` is reported.
     """
     columns = columns or {}
     et = F.col(event_type_col)
     phys = lambda f: F.col(columns.get(f, f))
+
+    def complete(fields) -> Column:
+        return F.lit(True) if header is None else F.size(_lacking(F.col(header), fields)) == 0
+
     flags: dict[str, Column] = {}
-    missing_by_type: dict[str, list[str]] = {}
-    common_missing = []
-    if present is not None:
-        common_missing = sorted(set(COMMON_RULES) - present)
-        for t, rules in TYPE_RULES.items():
-            miss = sorted(set(rules) - present)
-            if miss:
-                missing_by_type[t] = miss
     for field, rule in COMMON_RULES.items():
-        flags[field] = F.lit(False) if common_missing else rule(phys(field))
+        flags[field] = complete(COMMON_RULES) & rule(phys(field))
     for t, rules in TYPE_RULES.items():
         for field, rule in rules.items():
-            expr = F.lit(False) if t in missing_by_type else rule(phys(field))
+            expr = complete(rules) & rule(phys(field))
             flags[field] = F.when(et == t, expr).otherwise(flags.get(field, F.lit(False)))
-    # Missing required columns: static per header group.
-    missing_expr = F.array(*[F.lit(f"missing_column:{c}") for c in common_missing]).cast("array<string>")
-    for t, miss in missing_by_type.items():
-        missing_expr = F.when(
-            et == t,
-            F.array(*[F.lit(f"missing_column:{c}") for c in sorted(set(common_missing) | set(miss))]),
-        ).otherwise(missing_expr)
+    missing_expr = (
+        F.array().cast("array<string>") if header is None else missing_fields(F.col(header), et)
+    )
     out = df.select(
         "*",
         *[flags.get(f, F.lit(False)).alias(flag(f)) for f in CHECKED_FIELDS],

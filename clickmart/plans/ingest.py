@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmart.operators import quality
-from clickmart.schema import all_string_schema
+from clickmart.schema import KNOWN_COLUMNS, all_string_schema
 from clickmart.sources.csv_events import RawEvents, check_raw, read_raw
 
 FILE_COL = "source_file"
@@ -32,7 +32,7 @@ class Validation:
         raw_cols = [
             c for c in self.checked.columns
             if c not in {"source_file", "file_size", "block_start", "row_id", "event_type", "row_invalid",
-                         "missing_fields", "year", "month", "day"}
+                         "missing_fields", "header"}
             and not c.startswith("invalid_")
         ]
         return quality.error_reports(self.verdicts, samples, raw_cols, file_col=FILE_COL)
@@ -42,8 +42,11 @@ class Validation:
 
 
 def _empty_checked(spark: SparkSession) -> DataFrame:
-    base = spark.createDataFrame([], all_string_schema(["source_file", "event_type"]))
-    return quality.check_rows(base, present=set()).withColumn("file_size", F.lit(None).cast("long"))
+    names = [*KNOWN_COLUMNS, "source_file", "event_type"]
+    base = spark.createDataFrame([], all_string_schema(names)).withColumn("header", F.array().cast("array<string>"))
+    for c in ("file_size", *ORDER_COLS):
+        base = base.withColumn(c, F.lit(None).cast("long"))
+    return quality.check_rows(base, header="header")
 
 
 def validate_raw(raw: RawEvents) -> Validation:

@@ -1,49 +1,42 @@
 """Raw event CSVs (S1–S5, S7, S8) and metric Parquet datasets.
 
-Layout: ``<base>/year=YYYY/month=MM/day=DD/<event_type>.csv``, one event type per file,
-each file with its own header line.
+Layout: ``<base>/year=YYYY/month=MM/day=DD/<event_type>.csv``, each file with a header line
+of its own. Files may carry columns that we don't know, in any order.
 
-Spark's CSV reader maps columns by position once a schema is given, so a file with a
-reordered or missing column would be read shifted without any error. The reader
-therefore works in two steps:
+One scan reads all files as lines and stages them as Parquet on the shared storage, so the
+raw bytes are read once, however often validation and cleaning come back to the rows. The
+first line of each file is its header (a partial aggregate over the files' first blocks). It
+is joined to the file's lines, which are cut into cells and mapped to columns by name. The
+number of different headers doesn't matter, and no list of paths is built.
 
-1. Header discovery: one text scan keeps only header lines (every token is a known
-   column name), i.e. one short row per file.
-2. Files are grouped by header text; each group is read with its own all-string schema
-   (header skipped) and the groups are unioned by name. The number of groups is the
-   number of distinct headers (a handful), not the number of files.
-
-Every row keeps its file (``source_file``), split offset and a read-order id, which give
-the row's position inside its file.
+Every row keeps its file (``source_file``), split offset and a read-order id, which give the
+row's position inside its file.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickmart.functions.columns import na_to_null, parse_number
-from clickmart.operators.quality import check_rows, infer_event_type
-from clickmart.schema import KNOWN_COLUMNS, TYPED_COLUMNS, all_string_schema
+from clickmart.operators.quality import check_rows, infer_event_type, missing_fields
+from clickmart.plans.joins import join_small
+from clickmart.schema import KNOWN_COLUMNS, TYPED_COLUMNS
+from clickmart.session import scratch_dir
 
 
 @dataclass
 class RawEvents:
-    """Raw rows (all strings), one frame per header group, plus the file list."""
+    """Raw rows (known columns as strings, ``header`` = the file's column names) and one row
+    per file; ``rows`` is None when no file matched."""
 
-    groups: list[tuple[list[str], DataFrame]]
+    rows: DataFrame | None
     files: DataFrame
 
-    @property
-    def rows(self) -> DataFrame | None:
-        out = None
-        for _, df in self.groups:
-            out = df if out is None else out.unionByName(df, allowMissingColumns=True)
-        return out
-
 
 def event_paths(base: str, dates: list[str] | None = None, pattern: str = "*.csv") -> list[str]:
     """glob(s) for all days, or only the given ``YYYY-MM-DD`` days (the
@@ -58,27 +51,28 @@ def event_paths(base: str, dates: list[str] | None = None, pattern: str = "*.csv
     return out
 
 
-def _tokens(line: Column) -> Column:
-    return F.transform(F.split(F.regexp_replace(line, '"', ""), ","), lambda t: F.trim(t))
+def cells(line: Column) -> Column:
+    """The cells of one CSV line; quoted cells may hold commas and doubled quotes."""
+    outside = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+    quoted = F.transform(F.split(line, outside), lambda c: F.when(
+        c.rlike('^".*"$'), F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c))
+    return F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.split(line, ","))
 
 
-def is_header_line(line: Column, known=KNOWN_COLUMNS) -> Column:
-    known_arr = F.array(*[F.lit(k) for k in known])
-    toks = _tokens(line)
-    return (F.length(F.trim(line)) > 0) & F.forall(toks, lambda t: F.array_contains(known_arr, t))
+def header_names(line: Column) -> Column:
+    return F.transform(cells(F.regexp_replace(line, "^\ufeff", "")), lambda t: F.trim(t))
 
 
 def _existing(spark: SparkSession, paths: list[str]) -> list[str]:
     """Globs that match at least one file (a day with no file is not an error)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     keep = []
     for p in paths:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        fs = path.getFileSystem(conf)
-        matches = fs.globStatus(path)
-        if matches is not None and len(matches) > 0:
+        try:
+            spark.read.format("binaryFile").load(p)  # lists, reads nothing
             keep.append(p)
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
     return keep
 
 
@@ -97,59 +91,10 @@ def list_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
 
 
-def discover_files(spark: SparkSession, paths: list[str], base: str | None = None) -> DataFrame:
-    """One row per file: source_file, name, size, header text (NULL when no header line),
-    event type from the name.
-
-    Only header lines leave the text scan (one short row per file); the file list comes
-    from the listing, so empty or header-less files are included.
-    """
-    reader = spark.read
-    if base:
-        reader = reader.option("basePath", base)
-    headers = (
-        reader.text(paths)
-        .where(is_header_line(F.col("value")))
-        .select(
-            _normal_path(F.col("_metadata.file_path")).alias("source_file"),
-            F.col("value").alias("header"),
-        )
-        .groupBy("source_file")
-        .agg(F.min("header").alias("header"))
-    )
-    return list_files(spark, paths).join(headers, "source_file", "left").select(
-        "source_file",
-        F.regexp_extract("source_file", r"([^/]*)$", 1).alias("file_name"),
-        "file_size",
-        "header",
-        infer_event_type(F.col("source_file")).alias("event_type"),
-    )
-
-
-def header_columns(header: str) -> list[str]:
-    return [t.strip().strip('"') for t in header.split(",")]
-
-
-def read_group(spark: SparkSession, paths: list[str], columns: list[str], base: str | None) -> DataFrame:
-    """Read files that share one header, all columns as strings, NA tokens -> NULL."""
-    reader = (
-        spark.read.schema(all_string_schema(columns))
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("mode", "PERMISSIVE")
-    )
-    if base:
-        reader = reader.option("basePath", base)
-    df = reader.csv(paths)
-    extra = [c for c in df.columns if c not in columns]  # partition columns (year, month, day)
-    return df.select(
-        *[na_to_null(F.col(c)).alias(c) for c in columns],
-        *extra,
-        _normal_path(F.col("_metadata.file_path")).alias("source_file"),
-        F.col("_metadata.file_size").alias("file_size"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("row_id"),
-    ).withColumn("event_type", infer_event_type(F.col("source_file")))
+def _stage(df: DataFrame, label: str) -> DataFrame:
+    path = f"{scratch_dir(df.sparkSession, label)}/rows"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def read_raw(
@@ -161,68 +106,59 @@ def read_raw(
 ) -> RawEvents:
     """Raw rows of every event file under ``base`` (or the given ``paths``).
 
-    ``pattern`` is the file glob inside a day directory.
+    ``pattern`` is the file glob inside a day directory. The staged lines and the file list
+    lie in scratch folders (``session.clear_scratch`` deletes them).
     """
-    paths = paths or event_paths(base, dates, pattern)
-    paths = _existing(spark, paths)
+    paths = _existing(spark, event_paths(base, dates, pattern)) if paths is None else paths
     if not paths:
-        empty_files = spark.createDataFrame(
-            [], "source_file string, file_name string, file_size long, header string, event_type string"
-        )
-        return RawEvents([], empty_files)
-    files = discover_files(spark, paths, base).persist()
-    # One small job: files per distinct header (a handful of groups). File names reach
-    # the driver only when files disagree on the header; the usual single-header case
-    # reads the original globs.
-    groups = files.groupBy("header").count().limit(1001).collect()
-    if len(groups) > 1000:
-        raise ValueError("more than 1000 distinct CSV headers; refusing to plan one read per header")
-    with_header = [g["header"] for g in groups if g["header"] is not None]
-    headerless = len(with_header) < len(groups)
-    if len(with_header) == 1 and not headerless:
-        cols = header_columns(with_header[0])
-        return RawEvents([(cols, read_group(spark, paths, cols, base))], files)
-    listed = (
-        files.where(F.col("header").isNotNull())
-        .groupBy("header").agg(F.collect_list("source_file").alias("paths"))
-        .collect()
+        return RawEvents(None, spark.createDataFrame(
+            [], "source_file string, file_size long, file_name string, header array<string>, "
+                "first_row long, event_type string"))
+    reader = spark.read.option("recursiveFileLookup", "false")
+    if base:
+        reader = reader.option("basePath", base)
+    lines = _stage(
+        reader.text(paths).where(F.length(F.trim("value")) > 0).select(
+            _normal_path(F.col("_metadata.file_path")).alias("source_file"),
+            F.col("_metadata.file_size").alias("file_size"),
+            F.col("_metadata.file_block_start").alias("block_start"),
+            F.monotonically_increasing_id().alias("row_id"),
+            "value",
+        ),
+        "raw-lines",
     )
-    frames = []
-    for g in listed:
-        cols = header_columns(g["header"])
-        frames.append((cols, read_group(spark, list(g["paths"]), cols, base)))
-    return RawEvents(frames, files)
+    # The first line of a file lies in its first block; the aggregate runs map-side.
+    first = lines.where("block_start = 0").groupBy("source_file").agg(
+        F.min("row_id").alias("first_row"), F.min_by("value", "row_id").alias("line"))
+    files = _stage(
+        list_files(spark, paths).join(first, "source_file", "left").select(
+            "source_file", "file_size",
+            F.regexp_extract("source_file", r"([^/]*)$", 1).alias("file_name"),
+            F.coalesce(header_names(F.col("line")), F.array().cast("array<string>")).alias("header"),
+            "first_row",
+            infer_event_type(F.col("source_file")).alias("event_type"),
+        ),
+        "raw-files",
+    )
+    rows = join_small(lines, files.select("source_file", "header", "first_row", "event_type"), ["source_file"], "inner")
+    rows = rows.where((F.col("block_start") != 0) | (F.col("row_id") != F.col("first_row")))
+    rows = rows.withColumn("__cells", cells(F.col("value")))
+    rows = rows.select(
+        # a name that the header hasn't got has position 0, and cell -1 is null
+        *[na_to_null(F.get("__cells", (F.array_position("header", c) - 1).cast("int"))).alias(c) for c in KNOWN_COLUMNS],
+        "source_file", "file_size", "block_start", "row_id", "header", "event_type",
+    )
+    return RawEvents(rows, files)
 
 
 def check_raw(raw: RawEvents) -> tuple[DataFrame | None, DataFrame]:
-    """V1–V12 on raw rows. Each header group is checked with its own column set, so a
-    missing required column is known at plan time (all rows of the group invalid, the
-    group's other rules skipped). Returns (checked rows, files with missing fields)."""
-    files = raw.files.withColumn(
-        "missing_fields", _missing_fields_expr(F.col("header"), F.col("event_type"))
-    )
-    checked = None
-    for cols, df in raw.groups:
-        part = check_rows(df, present=set(cols))
-        checked = part if checked is None else checked.unionByName(part, allowMissingColumns=True)
+    """V1–V12 on raw rows: each row is checked against the columns of its own file. Returns
+    (checked rows, files with missing fields)."""
+    files = raw.files.withColumn("missing_fields", missing_fields(F.col("header"), F.col("event_type")))
+    checked = None if raw.rows is None else check_rows(raw.rows, header="header")
     return checked, files
 
 
-def _missing_fields_expr(header: Column, event_type: Column) -> Column:
-    from clickmart.operators.quality import COMMON_RULES, TYPE_RULES
-
-    cols = F.coalesce(_tokens(header), F.array().cast("array<string>"))
-    required_common = F.array(*[F.lit(c) for c in COMMON_RULES])
-    typed = F.array().cast("array<string>")
-    for t, rules in TYPE_RULES.items():
-        if rules:
-            typed = F.when(event_type == t, F.array(*[F.lit(c) for c in rules])).otherwise(typed)
-    missing = F.array_sort(F.array_distinct(F.concat(
-        F.array_except(required_common, cols), F.array_except(typed, cols)
-    )))
-    return F.transform(missing, lambda c: F.concat(F.lit("missing_column:"), c))
-
-
 def typed_events(rows: DataFrame) -> DataFrame:
     """C6 on raw text: the full wide event schema (absent columns become typed NULLs),
     numbers parsed leniently (junk -> NULL). The timestamp stays text until after
