@@ -14,8 +14,8 @@ runs again gives the same sequences; ids of sequences are partition number and a
 number. Nothing is gathered beyond one group of a task.
 
 Defined results: null counts as empty (one end id); equal documents are packed one by one;
-very long texts are cut like any other; an empty table gives an empty result. Ids are
-encoded by the tokenizers library, one distinct word of the pre-tokeniser at a time.
+very long texts are cut like any other; an empty table gives an empty result. Ids are those
+of the tokenizers library (see ``words``).
 """
 
 from __future__ import annotations
