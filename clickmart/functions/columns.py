@@ -75,12 +75,6 @@ def round_doubles(df, digits: int = 6):
     return df.select(*cols)
 
 
-def exact_avg(c, scale: int = 2) -> Column:
-    """Mean of a fixed-precision measure (seconds, prices) computed from an exact
-    integer sum, so the result does not depend on partitioning or summation order.
-    Values are taken at ``scale`` decimals (centi-units by default).
-    """
-    c = col_of(c)
-    factor = 10 ** scale
-    units = F.sum(F.round(c * F.lit(factor)).cast("long"))
-    return units / F.count(c) / F.lit(float(factor))
+def stable(c, digits: int = 9) -> Column:
+    """A mean without the noise of the summation order, for sort keys and decimal casts."""
+    return F.round(col_of(c), digits)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickmart.operators.quantiles import exact_percentiles
-from clickmart.plans.joins import join_small
+from clickmart.plans.joins import fetch_small, join_small
 
 DEDUP_KEYS = ("user_id", "session_id", "timestamp", "event_type")
 # percentile_approx accuracy; relative rank error is 1/accuracy (Spark's default).
@@ -49,78 +50,68 @@ def parse_timestamps(df: DataFrame, column: str = "timestamp", tz: str = "UTC")
     return df.withColumn(column, parsed)
 
 
-def group_medians(
-    df: DataFrame, value: str, by: str, where: Column, accuracy: int = MEDIAN_ACCURACY,
-    name: str = "__median", exact: bool = True,
-) -> DataFrame:
-    """Median of ``value`` per ``by`` over rows matching ``where``: exact (lower median,
-    distributed, bounded memory) or, with ``exact=False``, the sketch estimate."""
-    rows = df.where(where)
-    if exact:
-        return exact_percentiles(rows, value, [by], [0.5], names=[name], accuracy=accuracy)
-    return rows.groupBy(by).agg(
-        F.percentile_approx(F.col(value).cast("double"), 0.5, accuracy).alias(name)
-    )
-
-
-def impute_group_median(
-    df: DataFrame, value: str, by: str, where: Column, accuracy: int = MEDIAN_ACCURACY
-) -> DataFrame:
-    """Fill NULL ``value`` with the median of ``value`` over rows matching ``where``
-    that share the same ``by`` key. Rows whose key is NULL are never filled.
+@dataclass(frozen=True)
+class Imputation:
+    """Fill NULL ``value`` with its exact (lower) median over ``event_type`` rows that
+    share the same ``by`` key. Rows whose key is NULL are never filled."""
 
-    The medians table has one row per key; it is joined back with a size-checked
-    broadcast (``join_small``) so the big side is not shuffled.
-    """
-    if value not in df.columns or by not in df.columns:
-        return df
-    medians = group_medians(df, value, by, where, accuracy)
-    cols = [
-        F.coalesce(F.col(value).cast("double"), F.col("__median")).alias(value) if c == value else F.col(c)
-        for c in df.columns
-    ]
-    return join_small(df, medians, [by], "left").select(*cols)
+    value: str
+    by: str
+    event_type: str
 
 
-def impute_time_on_page(df: DataFrame, accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
-    return impute_group_median(
-        df, "time_on_page_seconds", "page_type", F.col("event_type") == "page_view", accuracy
-    )
+TIME = Imputation("time_on_page_seconds", "page_type", "page_view")
+PRICE = Imputation("price", "category", "product_view")
 
 
-def impute_price(df: DataFrame, accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
-    return impute_group_median(df, "price", "category", F.col("event_type") == "product_view", accuracy)
+def group_medians(df: DataFrame, rules: tuple[Imputation, ...], accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
+    """(value name, key, median) for all rules, from one shared pair of percentile passes:
+    each row contributes to the rule of its event type."""
+    name, key, x = F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit(None).cast("double")
+    for r in rules:
+        mine = F.col("event_type") == r.event_type
+        name = F.when(mine, F.lit(r.value)).otherwise(name)
+        key = F.when(mine, F.col(r.by)).otherwise(key)
+        x = F.when(mine, F.col(r.value).cast("double")).otherwise(x)
+    rows = df.where(F.col("event_type").isin(*[r.event_type for r in rules])).select(
+        name.alias("value_name"), key.alias("key"), x.alias("x"))
+    return exact_percentiles(rows, "x", ["value_name", "key"], [0.5], names=["median"], accuracy=accuracy)
 
 
-def clean_events(
-    df: DataFrame,
-    order_by: list[Column] | None = None,
-    tz: str = "UTC",
-    accuracy: int = MEDIAN_ACCURACY,
-) -> DataFrame:
-    """C2+C3+C4+C5 (+C6/C7: casts happen inside imputation, steps skip absent columns)."""
-    keys = [k for k in DEDUP_KEYS if k in df.columns]
-    out = dedup_events(df, keys, order_by) if keys else df
-    out = parse_timestamps(out, "timestamp", tz)
-    out = impute_time_on_page(out, accuracy)
-    out = impute_price(out, accuracy)
-    return out
+def impute(df: DataFrame, *rules: Imputation, accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
+    """Apply the rules whose columns ``df`` has. The medians are computed once and joined
+    back (one row per key, size-checked), so the events aren't shuffled."""
+    rules = tuple(r for r in rules if r.value in df.columns and r.by in df.columns)
+    if not rules:
+        return df
+    medians = group_medians(df, rules, accuracy)
+    fetched = fetch_small(medians)
+    if fetched is not None:
+        medians = df.sparkSession.createDataFrame(fetched, medians.schema)
+    for r in rules:
+        mine = medians.where(F.col("value_name") == r.value).select(F.col("key").alias(r.by), F.col("median").alias("__median"))
+        cols = [
+            F.coalesce(F.col(r.value).cast("double"), F.col("__median")).alias(r.value) if c == r.value else F.col(c)
+            for c in df.columns
+        ]
+        df = join_small(df, mine, [r.by], "left").select(*cols)
+    return df
 
 
-def materialize(df: DataFrame, path: str | None = None, partition_by: list[str] | None = None) -> DataFrame:
-    """Cut the lineage of the cleaned layer.
+def impute_time_on_page(df: DataFrame, accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
+    return impute(df, TIME, accuracy=accuracy)
 
-    With ``path`` (on shared storage) the layer is written as Parquet, partitioned so
-    later filters on ``event_type`` prune files, and read back; otherwise it is
-    persisted in memory and on disk.
-    """
-    if path is None:
-        out = df.persist(StorageLevel.MEMORY_AND_DISK)
-        out.count()
-        return out
+
+def impute_price(df: DataFrame, accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
+    return impute(df, PRICE, accuracy=accuracy)
+
+
+def materialize(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Cut the lineage: written as Parquet on shared storage (partitioned so that later
+    filters on ``event_type`` prune files) and read back."""
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     spark: SparkSession = df.sparkSession
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickmart.functions.columns import exact_avg, safe_pct
-from clickmart.operators.quantiles import exact_count_percentile, exact_percentiles
-from clickmart.plans.joins import fetch_small, join_small
+from clickmart.functions.columns import safe_pct, stable
+from clickmart.operators.quantiles import exact_percentiles
+from clickmart.plans.joins import join_small
 from clickmart.schema import PATH_SEPARATOR
 
 QUANTILE_ACCURACY = 10000
@@ -35,19 +35,15 @@ def top_pages(events: DataFrame, k: int = TOP_PAGES_K) -> DataFrame:
         .where(F.col("page_url").isNotNull())
         .groupBy("page_url")
         .agg(
-            exact_avg("time_on_page_seconds").alias("avg_time_on_page_seconds"),
+            F.avg("time_on_page_seconds").alias("avg_time_on_page_seconds"),
             F.count(F.lit(1)).alias("event_count"),
         )
-        .orderBy(F.desc("avg_time_on_page_seconds"), F.asc("page_url"))
+        .orderBy(stable("avg_time_on_page_seconds").desc(), F.asc("page_url"))
         .limit(k)
     )
 
 
 # --- sessions (M2 and M5) --------------------------------------------------------------
-# Page views per level-1 path chunk: bounds every collect_list in the path build.
-PATH_CHUNK = 10_000
-
-
 def session_rollup(events: DataFrame) -> DataFrame:
     """One row per session of page views: count and entry page type.
 
@@ -64,100 +60,28 @@ def session_rollup(events: DataFrame) -> DataFrame:
     )
 
 
-# Sessions with more page views than this get positions from a distributed global rank
-# instead of a per-session window (which would sort the whole session in one task).
-HOT_SESSION_EVENTS = 1_000_000
-
-
-def _ordering() -> list:
-    return [F.col("timestamp").asc_nulls_first(), F.col("page_type").asc_nulls_first()]
-
-
-def _positions_by_window(pv: DataFrame) -> DataFrame:
-    """Position of each page view in its session (one sort per session)."""
-    w = Window.partitionBy("session_id").orderBy(*_ordering())
-    return pv.withColumn("__pos", F.row_number().over(w) - 1)
-
-
-def _positions_by_range(pv: DataFrame, parts: int) -> DataFrame:
-    """Position of each page view in its session, for sessions too big for one task.
-
-    Rows are range-partitioned by (session, timestamp, page type), which splits a big
-    session over many partitions in order. Each (session, partition) piece is numbered
-    locally; a piece's offset is the size of the session's earlier pieces (a window over
-    at most ``parts`` counts per session).
-    """
-    ranged = pv.repartitionByRange(parts, F.col("session_id"), *_ordering()).withColumn(
-        "__pid", F.spark_partition_id()
-    )
-    local = ranged.withColumn(
-        "__lpos",
-        F.row_number().over(Window.partitionBy("session_id", "__pid").orderBy(*_ordering())) - 1,
-    )
-    counts = local.groupBy("session_id", "__pid").agg(F.count(F.lit(1)).alias("__cnt"))
-    before = Window.partitionBy("session_id").orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "session_id", "__pid", F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__off")
-    )
-    joined = join_small(local, offsets, ["session_id", "__pid"], "inner", null_safe=True)
-    return joined.withColumn("__pos", F.col("__off") + F.col("__lpos")).drop("__pid", "__lpos", "__off")
-
-
-def _paths_from_positions(positioned: DataFrame, chunk: int) -> DataFrame:
-    pieces = positioned.groupBy("session_id", F.floor(F.col("__pos") / chunk).alias("__chunk")).agg(
-        F.concat_ws(
-            PATH_SEPARATOR,
-            F.transform(
-                F.sort_array(F.collect_list(F.struct(F.col("__pos"), F.col("page_type")))),
-                lambda s: s["page_type"],
-            ),
-        ).alias("__piece")
-    )
-    return pieces.groupBy("session_id").agg(
-        F.concat_ws(
-            PATH_SEPARATOR,
-            F.transform(
-                F.sort_array(F.collect_list(F.struct(
-                    F.col("__chunk"), F.nullif(F.col("__piece"), F.lit("")).alias("__piece")
-                ))),
-                lambda s: s["__piece"],
-            ),
-        ).alias("path")
-    )
-
-
-def session_paths(
-    events: DataFrame, chunk: int = PATH_CHUNK, hot_threshold: int = HOT_SESSION_EVENTS
-) -> DataFrame:
+def session_paths(events: DataFrame, bucket: str = "MINUTE") -> DataFrame:
     """Per session: page types in (timestamp, page_type) order joined with "→".
 
-    Positions come from a sort-based window (spills; one sort per session), except for
-    sessions above ``hot_threshold`` page views, which are split over many tasks by a
-    range-partitioned global rank. Positions are cut into chunks of ``chunk`` page
-    views, so every collect holds at most ``chunk`` values, and a session's pieces are
-    joined in order. A NULL page type is skipped. Only the session's path string, its
-    output value, is assembled per session.
+    One scheme for sessions of any size, without a sort of a whole session: equal
+    (timestamp, page type) rows are counted map-side, the runs of each (session, minute)
+    are joined in order, and a session's pieces are joined in the order of their minutes.
+    A task thus holds the distinct moments of one minute of one session, and of a whole
+    session only its path, which is the output value. NULL timestamps come first; a NULL
+    page type is skipped.
     """
     pv = page_views(events).select("session_id", "timestamp", "page_type")
-    hot = (
-        pv.groupBy("session_id").agg(F.count(F.lit(1)).alias("__n"))
-        .where(F.col("__n") > hot_threshold).select("session_id")
-    )
-    hot_rows = fetch_small(hot)
-    if hot_rows is not None and not hot_rows:
-        return _paths_from_positions(_positions_by_window(pv), chunk)
-    if hot_rows is not None:
-        hot = pv.sparkSession.createDataFrame(hot_rows, hot.schema)
-    cond = pv["session_id"].eqNullSafe(F.col("__hot"))
-    hot_keys = hot.select(F.col("session_id").alias("__hot"))
-    if hot_rows is not None:
-        hot_keys = F.broadcast(hot_keys)
-    normal = pv.join(hot_keys, cond, "left_anti")
-    big = pv.join(hot_keys, cond, "left_semi")
-    parts = int(pv.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return _paths_from_positions(_positions_by_window(normal), chunk).unionByName(
-        _paths_from_positions(_positions_by_range(big, parts), chunk)
-    )
+    runs = pv.groupBy("session_id", "timestamp", "page_type").agg(F.count(F.lit(1)).cast("int").alias("__n"))
+    runs = runs.withColumn("__text", F.when(
+        F.col("page_type").isNotNull(), F.array_join(F.array_repeat("page_type", F.col("__n")), PATH_SEPARATOR)))
+
+    def joined(*order: str):
+        entries = F.sort_array(F.collect_list(F.struct(*order, "__text")))
+        return F.concat_ws(PATH_SEPARATOR, F.transform(entries, lambda s: s["__text"]))
+
+    pieces = runs.groupBy("session_id", F.date_trunc(bucket, "timestamp").alias("__part")).agg(
+        F.nullif(joined("timestamp", "page_type"), F.lit("")).alias("__text"))
+    return pieces.groupBy("session_id").agg(joined("__part").alias("path"))
 
 
 # --- M2 ------------------------------------------------------------------------------
@@ -225,7 +149,7 @@ def product_metrics(events: DataFrame) -> DataFrame:
         .groupBy("product_id")
         .agg(
             F.min(F.when(is_view, F.col("category"))).alias("category"),
-            exact_avg(F.when(is_view, F.col("price"))).alias("avg_price"),
+            F.avg(F.when(is_view, F.col("price"))).alias("avg_price"),
             F.count_if(is_view).alias("view_count"),
             F.count_if(is_add).alias("cart_add_count"),
         )
@@ -234,28 +158,34 @@ def product_metrics(events: DataFrame) -> DataFrame:
     )
 
 
-def high_view_low_cart(events: DataFrame, accuracy: int = QUANTILE_ACCURACY, exact: bool = True) -> DataFrame:
+def count_thresholds(products: DataFrame) -> DataFrame:
+    """Exact 75th percentile of views and 25th of cart adds, as a one-row table; both
+    columns share the percentile passes."""
+    counts = products.select(F.explode(F.array(
+        F.struct(F.lit("views").alias("kind"), F.col("view_count").alias("n")),
+        F.struct(F.lit("adds").alias("kind"), F.col("cart_add_count").alias("n")),
+    )).alias("x")).select("x.*")
+    found = exact_percentiles(counts, "n", ["kind"], [0.25, 0.75], names=["p25", "p75"])
+    return found.agg(
+        F.max(F.when(F.col("kind") == "views", F.col("p75"))).cast("long").alias("views_p75"),
+        F.max(F.when(F.col("kind") == "adds", F.col("p25"))).cast("long").alias("cart_adds_p25"),
+    )
+
+
+def high_view_low_cart(events: DataFrame, stage=None) -> DataFrame:
     """Products viewed more than the 75th percentile but added less than the 25th.
 
-    Thresholds are scalar subqueries inside the same plan (no driver round trip): exact
-    percentiles from the histogram of each count column, or sketches with ``exact=False``.
+    ``stage`` stores the per-product table (one row per product) where the thresholds and
+    the filter read it, so products are aggregated once; without it the table is derived
+    anew for each.
     """
     pm = product_metrics(events)
-    if exact:
-        views_p75 = exact_count_percentile(pm, "view_count", 0.75).scalar()
-        adds_p25 = exact_count_percentile(pm, "cart_add_count", 0.25).scalar()
-    else:
-        th = pm.select(
-            F.struct(
-                F.percentile_approx("view_count", 0.75, accuracy).alias("views_p75"),
-                F.percentile_approx("cart_add_count", 0.25, accuracy).alias("adds_p25"),
-            )
-        ).scalar()
-        views_p75, adds_p25 = th["views_p75"], th["adds_p25"]
+    pm = stage(pm) if stage else pm
+    limits = count_thresholds(pm).first()  # two numbers
     return (
         pm.where(
-            (F.col("view_count") > F.coalesce(views_p75, F.lit(0)))
-            & (F.col("cart_add_count") < F.coalesce(adds_p25, F.lit(0)))
+            (F.col("view_count") > F.lit(limits["views_p75"] or 0))
+            & (F.col("cart_add_count") < F.lit(limits["cart_adds_p25"] or 0))
         )
         .select("product_id", "category", "avg_price", "view_count", "cart_add_count", "conversion_rate")
         .orderBy(F.desc("view_count"), F.asc("cart_add_count"), F.asc("product_id"))
@@ -263,11 +193,7 @@ def high_view_low_cart(events: DataFrame, accuracy: int = QUANTILE_ACCURACY, exa
 
 
 def quantile_thresholds(events: DataFrame) -> DataFrame:
-    """The two exact thresholds as a one-row table."""
-    pm = product_metrics(events)
-    v = exact_count_percentile(pm, "view_count", 0.75).select(F.col("q").alias("views_p75"))
-    a = exact_count_percentile(pm, "cart_add_count", 0.25).select(F.col("q").alias("cart_adds_p25"))
-    return v.select("views_p75", a.select("cart_adds_p25").scalar().alias("cart_adds_p25"))
+    return count_thresholds(product_metrics(events))
 
 
 # --- M5 ------------------------------------------------------------------------------
@@ -288,7 +214,7 @@ def device_country_time(events: DataFrame) -> DataFrame:
         page_views(events)
         .groupBy("device_type", "country")
         .agg(
-            exact_avg("time_on_page_seconds").alias("avg_time_on_page_seconds"),
+            F.avg("time_on_page_seconds").alias("avg_time_on_page_seconds"),
             F.count_distinct("session_id").alias("distinct_sessions"),
         )
         .orderBy("device_type", "country")
@@ -296,25 +222,15 @@ def device_country_time(events: DataFrame) -> DataFrame:
 
 
 # --- M7 ------------------------------------------------------------------------------
-def page_type_stats(events: DataFrame, accuracy: int = QUANTILE_ACCURACY, exact: bool = True) -> DataFrame:
-    """M7a + M7b: mean, sample stddev and IQR fences per page type.
-
-    Quartiles are exact discrete percentiles (``exact_percentiles``) unless
-    ``exact=False``, which uses the sketch estimate in the same aggregation.
-    """
+def page_type_stats(events: DataFrame, accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
+    """M7a + M7b: mean, sample stddev and IQR fences per page type. The moments come from
+    the same aggregate as the percentiles' bracket; quartiles are exact."""
     t = F.col("time_on_page_seconds")
-    pv = page_views(events)
-    moments = pv.groupBy("page_type").agg(
-        exact_avg(t).alias("mean_time"),
-        F.stddev_samp(t).alias("std_time"),
-        *([] if exact else [F.percentile_approx(t, F.array(F.lit(0.25), F.lit(0.75)), accuracy).alias("__q")]),
+    stats = exact_percentiles(
+        page_views(events), "time_on_page_seconds", ["page_type"], [0.25, 0.75], names=["q1", "q3"],
+        accuracy=accuracy,
+        extra={"mean_time": F.avg(t), "std_time": F.stddev_samp(t)}, keep_empty=True,
     )
-    if exact:
-        quarts = exact_percentiles(pv, "time_on_page_seconds", ["page_type"], [0.25, 0.75],
-                                   names=["q1", "q3"], accuracy=accuracy)
-        stats = join_small(moments, quarts, ["page_type"], "left", null_safe=True)
-    else:
-        stats = moments.select("*", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("q3")).drop("__q")
     return stats.select(
         "page_type", "mean_time", "std_time", "q1", "q3",
         (F.col("q3") - F.col("q1")).alias("iqr"),

@@ -12,15 +12,15 @@ bounded memory, and sorting a whole group in one task does not scale, so:
 3. a running count over the buckets of each (group, p), about 8ε·n rows at most,
    finds the first value whose running count reaches k.
 
-If the bracket ever missed (not expected within the sketch's guarantee), the sketch's
-own estimate is returned for that group.
+If the bracket ever missed (not expected within the sketch's guarantee), the query fails
+with a message instead of returning an estimate.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickmart.plans.joins import fetch_small, join_small
@@ -35,23 +35,31 @@ def exact_percentiles(
     probs: list[float],
     names: list[str] | None = None,
     accuracy: int = DEFAULT_ACCURACY,
+    extra: dict[str, Column] | None = None,
+    keep_empty: bool = False,
 ) -> DataFrame:
-    """One row per group of ``by`` that has a non-NULL ``value``: the exact percentiles
-    named ``names`` (default ``q0``, ``q1`` …). NULL keys form their own group."""
+    """One row per group of ``by`` that has a non-NULL ``value`` (with ``keep_empty`` per
+    group at all, its percentiles NULL): the exact percentiles named ``names`` (default
+    ``q0``, ``q1`` …). NULL keys form their own group. ``extra`` are more aggregates of the
+    group, taken in the first pass."""
     names = names or [f"q{i}" for i in range(len(probs))]
     eps = 1.0 / accuracy
     m = len(probs)
-    rows = df.select(*by, F.col(value).cast("double").alias("__x")).where(F.col("__x").isNotNull())
-    marks = [max(0.0, p - 4 * eps) for p in probs] + [min(1.0, p + 4 * eps) for p in probs] + list(probs)
+    extra = extra or {}
+    rows = df.withColumn("__x", F.col(value).cast("double"))
+    if not keep_empty:
+        rows = rows.where(F.col("__x").isNotNull())
+    marks = [max(0.0, p - 4 * eps) for p in probs] + [min(1.0, p + 4 * eps) for p in probs]
     sketch = rows.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("__n"),
+        F.count("__x").alias("__n"),
         F.percentile_approx("__x", F.array(*[F.lit(q) for q in marks]), accuracy).alias("__b"),
+        *[c.alias(name) for name, c in extra.items()],
     )
+    rows = rows.select(*by, "__x").where(F.col("__x").isNotNull())
     bounds = sketch.select(
-        *by,
+        *by, *extra, "__n",
         *[F.col("__b")[i].alias(f"__lo{i}") for i in range(m)],
         *[F.col("__b")[m + i].alias(f"__hi{i}") for i in range(m)],
-        *[F.col("__b")[2 * m + i].alias(f"__a{i}") for i in range(m)],
         *[F.greatest(F.lit(1), F.ceil(F.col("__n") * F.lit(p))).cast("long").alias(f"__k{i}")
           for i, p in enumerate(probs)],
     )
@@ -97,21 +105,10 @@ def exact_percentiles(
     wide = hits.groupBy(*keys).agg(
         *[F.max(F.when(F.col("__i") == i, F.col("__q"))).alias(f"__e{i}") for i in range(m)]
     )
-    out = join_small(
-        bounds.select(*keys, *[f"__a{i}" for i in range(m)]), wide, keys, "left", null_safe=True
-    ).select(*keys, *[F.coalesce(F.col(f"__e{i}"), F.col(f"__a{i}")).alias(names[i]) for i in range(m)])
-    return out.drop("__one") if not by else out
-
-
-def exact_count_percentile(counts: DataFrame, column: str, p: float) -> DataFrame:
-    """Exact p-th percentile of an integer count column as a one-row frame, from the
-    histogram of its distinct values (a count column has few distinct values)."""
-    hist = counts.groupBy(column).agg(F.count(F.lit(1)).alias("__c"))
-    every = Window.orderBy(column).rowsBetween(Window.unboundedPreceding, 0)
-    total = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ranked = hist.select(
-        column,
-        F.sum("__c").over(every).alias("__cum"),
-        F.greatest(F.lit(1), F.ceil(F.sum("__c").over(total) * F.lit(p))).alias("__k"),
+    missed = F.raise_error(F.lit("percentile bracket missed; use a higher accuracy")).cast("double")
+    out = join_small(bounds.select(*keys, *extra, "__n"), wide, keys, "left", null_safe=True).select(
+        *keys, *extra,
+        *[F.when(F.col("__n") == 0, F.lit(None).cast("double")).when(F.col(f"__e{i}").isNull(), missed)
+          .otherwise(F.col(f"__e{i}")).alias(names[i]) for i in range(m)],
     )
-    return ranked.where(F.col("__cum") >= F.col("__k")).agg(F.min(column).alias("q"))
+    return out.drop("__one") if not by else out

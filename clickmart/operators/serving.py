@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import re
-from datetime import datetime
+import contextlib
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,35 +14,36 @@ PAGE_METRICS = ("bounce_rate", "time_on_page")
 DEFAULT_LIMIT = 10
 MAX_LIMIT = 100
 ANOMALY_PAGE = 100
-_DATE_RE = re.compile(r"^\d{4}-\d{2}-\d{2}$")
+# --- end fixed values ---
 
 
 def check_date(value) -> str:
-    """A real calendar date written YYYY-MM-DD."""
-    if not value or not isinstance(value, str) or not _DATE_RE.match(value):
-        raise ValueError("date must use YYYY-MM-DD format")
-    try:
-        datetime.strptime(value, "%Y-%m-%d")
-    except ValueError as exc:
-        raise ValueError("date must use YYYY-MM-DD format") from exc
+    """An ISO calendar date. Only the plain form counts: what the parser reads must
+    print as what came in."""
+    parsed = None
+    with contextlib.suppress(TypeError, ValueError):
+        parsed = date.fromisoformat(value)
+    if parsed is None or parsed.isoformat() != value:
+        raise ValueError(f"not an ISO calendar date: {value!r}")
     return value
 
 
 def check_limit(value=None) -> int:
+    """Page size, 1 to ``MAX_LIMIT``; the default if none is given."""
     if value is None:
         return DEFAULT_LIMIT
     try:
-        limit = int(value)
-    except (TypeError, ValueError) as exc:
-        raise ValueError(f"limit must be an integer between 1 and {MAX_LIMIT}") from exc
-    if limit < 1 or limit > MAX_LIMIT:
-        raise ValueError(f"limit must be an integer between 1 and {MAX_LIMIT}")
-    return limit
+        size = int(value)
+    except (TypeError, ValueError):
+        size = 0
+    if not 1 <= size <= MAX_LIMIT:
+        raise ValueError(f"page size {value!r} isn't between 1 and {MAX_LIMIT}")
+    return size
 
 
 def check_metric(value) -> str:
     if value not in PAGE_METRICS:
-        raise ValueError("metric must be bounce_rate or time_on_page")
+        raise ValueError(f"unknown page metric {value!r}; known: {', '.join(PAGE_METRICS)}")
     return value
 
 
@@ -56,8 +57,8 @@ def to_plain_numbers(df: DataFrame) -> DataFrame:
     )
 
 
-def _on_date(df: DataFrame, date: str) -> DataFrame:
-    return df.where(F.col("date") == F.lit(date).cast("date"))
+def _on_date(df: DataFrame, day: str) -> DataFrame:
+    return df.where(F.col("date") == F.lit(day).cast("date"))
 
 
 def pages_top(fact: DataFrame, metric: str, date: str, limit=None) -> DataFrame:

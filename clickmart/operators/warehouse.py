@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickmart.functions.columns import exact_avg
+from clickmart.functions.columns import stable
 from clickmart.schema import DIM_KEYS, DIM_SCHEMAS, FACT_SCHEMAS, FUNNEL_STAGES
 
-# (source column, target column) per metric; target types come from FACT_SCHEMAS.
+# --- fixed values: (source column, target column) per metric (W4) ---
 MAPPINGS: dict[str, list[tuple[str, str]]] = {
     "top_pages": [
         ("date", "date"), ("page_url", "page_url"), ("avg_time_on_page_seconds", "avg_time_seconds"),
@@ -42,6 +42,7 @@ MAPPINGS: dict[str, list[tuple[str, str]]] = {
     ],
 }
 
+# --- end fixed values ---
 # Order that defines ``rank`` for the ranked facts (W2): (column, descending); the key
 # column breaks ties.
 RANK_ORDER: dict[str, list[tuple[str, bool]]] = {
@@ -84,7 +85,13 @@ def apply_mapping(df: DataFrame, mapping: list[tuple[str, str]], schema: list[tu
     """Rename, cast and project. Values that do not fit the target type (e.g. a
     DECIMAL overflow) become NULL instead of failing the load."""
     types = dict(schema)
-    return df.select(*[F.col(src).try_cast(types[dst]).alias(dst) for src, dst in mapping])
+    def typed(src: str, dst: str) -> Column:
+        value = F.col(src)
+        if isinstance(types[dst], T.DecimalType) and isinstance(df.schema[src].dataType, T.DoubleType):
+            value = stable(value)  # the rounding to decimals mustn't depend on the summation order
+        return value.try_cast(types[dst]).alias(dst)
+
+    return df.select(*[typed(src, dst) for src, dst in mapping])
 
 
 def build_fact(metric: str, metric_df: DataFrame, process_date: str) -> DataFrame:
@@ -93,7 +100,7 @@ def build_fact(metric: str, metric_df: DataFrame, process_date: str) -> DataFram
     if metric == "conversion_funnel":
         df = funnel_long(df)
     if metric in RANK_ORDER:
-        df = with_rank(df, [F.desc(c) if d else F.asc(c) for c, d in RANK_ORDER[metric]])
+        df = with_rank(df, [stable(c).desc() if d else F.asc(c) for c, d in RANK_ORDER[metric]])
     df = with_process_date(df, process_date)
     table = _fact_table(metric)
     return apply_mapping(df, MAPPINGS[metric], FACT_SCHEMAS[table])
@@ -106,7 +113,8 @@ def _fact_table(metric: str) -> str:
 
 
 def _typed(df: DataFrame, table: str) -> DataFrame:
-    return df.select(*[F.col(c).try_cast(t).alias(c) for c, t in DIM_SCHEMAS[table]])
+    schema = DIM_SCHEMAS[table]
+    return apply_mapping(df, [(c, c) for c, _ in schema], schema)
 
 
 def dim_product(events: DataFrame) -> DataFrame:
@@ -114,7 +122,7 @@ def dim_product(events: DataFrame) -> DataFrame:
     pv = events.where((F.col("event_type") == "product_view") & F.col("product_id").isNotNull())
     return _typed(
         pv.groupBy("product_id").agg(
-            F.min("category").alias("category"), exact_avg("price").alias("avg_price")
+            F.min("category").alias("category"), F.avg("price").alias("avg_price")
         ),
         "dim_product",
     )
@@ -144,6 +152,12 @@ def dim_date(events: DataFrame) -> DataFrame:
     )
 
 
+def all_tables(events: DataFrame, results: dict[str, DataFrame], process_date: str) -> dict[str, DataFrame]:
+    """Every warehouse table: the facts of the metric ``results`` and the dimensions."""
+    tables = {_fact_table(m): build_fact(m, df, process_date) for m, df in results.items()}
+    return tables | {"dim_product": dim_product(events), "dim_page": dim_page(events), "dim_date": dim_date(events)}
+
+
 # W15 / W16 ---------------------------------------------------------------------------
 TIME_COLUMNS = ("time_on_page", "avg_time_seconds")
 

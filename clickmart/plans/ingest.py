@@ -20,6 +20,7 @@ class Validation:
     checked: DataFrame
     files: DataFrame
     verdicts: DataFrame
+    has_rows: bool = True
 
     def valid_rows(self) -> DataFrame:
         return quality.route(self.checked, self.verdicts, file_col=FILE_COL, valid=True)
@@ -56,7 +57,7 @@ def validate_raw(raw: RawEvents) -> Validation:
     verdicts = quality.file_verdicts(
         checked, file_col=FILE_COL, size_agg=F.max("file_size"), files=files
     )
-    return Validation(checked, files, verdicts)
+    return Validation(checked, files, verdicts, raw.rows is not None)
 
 
 def validate_files(

@@ -7,11 +7,6 @@ decimals on both sides so summation order does not change the value hash.
 
 from __future__ import annotations
 
-def xavg(expr: str) -> str:
-    """Exact centi-unit mean, the same formula as ``exact_avg`` on the Spark side."""
-    return f"(CAST(sum(CAST(round(({expr}) * 100) AS BIGINT)) AS DOUBLE) / count({expr}) / 100.0)"
-
-
 CANON_CTE = """
 src AS (
   SELECT event_id, ts, user_id AS src_user, event_type AS src_type, value,
@@ -74,11 +69,11 @@ CLEAN_CTE = CANON_CTE + """, dedup AS (
 )"""
 
 TOP_PAGES = """
-SELECT page_url, round(""" + xavg("time_on_page_seconds") + """, 6) AS avg_time_on_page_seconds,
+SELECT page_url, round(avg(time_on_page_seconds), 6) AS avg_time_on_page_seconds,
        count(*) AS event_count
 FROM clean WHERE event_type = 'page_view' AND page_url IS NOT NULL
 GROUP BY page_url
-ORDER BY """ + xavg("time_on_page_seconds") + """ DESC, page_url LIMIT 20"""
+ORDER BY round(avg(time_on_page_seconds), 9) DESC, page_url LIMIT 20"""
 
 SESSIONS = """
 sess AS (
@@ -134,7 +129,7 @@ PRODUCTS = """
 pm AS (
   SELECT product_id,
          min(CASE WHEN event_type = 'product_view' THEN category END) AS category,
-         """ + xavg("CASE WHEN event_type = 'product_view' THEN price END") + """ AS avg_price,
+         avg(CASE WHEN event_type = 'product_view' THEN price END) AS avg_price,
          count(*) FILTER (WHERE event_type = 'product_view') AS view_count,
          count(*) FILTER (WHERE event_type = 'cart_event' AND action = 'add') AS cart_add_count
   FROM clean
@@ -157,14 +152,14 @@ paths AS (
 
 DEVICE = """
 dct AS (
-  SELECT device_type, country, round(""" + xavg("time_on_page_seconds") + """, 6) AS avg_time_on_page_seconds,
+  SELECT device_type, country, round(avg(time_on_page_seconds), 6) AS avg_time_on_page_seconds,
          count(DISTINCT session_id) AS distinct_sessions
   FROM clean WHERE event_type = 'page_view' GROUP BY device_type, country
 )"""
 
 ANOMALY = """
 st AS (
-  SELECT page_type, """ + xavg("time_on_page_seconds") + """ AS mean_time, stddev_samp(time_on_page_seconds) AS std_time,
+  SELECT page_type, avg(time_on_page_seconds) AS mean_time, stddev_samp(time_on_page_seconds) AS std_time,
          quantile_disc(time_on_page_seconds, 0.25) AS q1, quantile_disc(time_on_page_seconds, 0.75) AS q3
   FROM clean WHERE event_type = 'page_view' GROUP BY page_type
 ), zj AS (
@@ -222,6 +217,9 @@ SELECT event_id, event_type, category, price FROM clean"""
     q.update(warehouse_statements())
     q["stream_file_verdicts"] = ("WITH " + DIRTY_CTE + "\nSELECT file_id, event_type, status, failed_fields, "
                                  "invalid_rows, total_rows FROM verdicts")
+    q["csv_file_verdicts"] = "WITH " + DIRTY_CTE + CSV_VERDICTS_CTE + """
+SELECT file_id, event_type, status, failed_fields, invalid_rows, total_rows FROM csv_verdicts"""
+    q["pipeline_facts_valid_only"] = pipeline_statement()
     return q
 
 
@@ -319,6 +317,39 @@ DIRTY_CTE = CANON_CTE + """, dirty AS (
   QUALIFY sample_rank <= 3
 )"""
 
+#: Product views of day 5 lack the price column: all rows fail, for that reason alone.
+CSV_VERDICTS_CTE = """, csv_verdicts AS (
+  SELECT file_id, event_type,
+         CASE WHEN lacks THEN 'invalid' ELSE status END AS status,
+         CASE WHEN lacks THEN array_to_string(list_sort(list_concat(
+                list_filter(string_split(failed_fields, ','),
+                            lambda x: x IN ('user_id', 'session_id', 'timestamp')),
+                ['missing_column:price'])), ',')
+              ELSE failed_fields END AS failed_fields,
+         CASE WHEN lacks THEN total_rows ELSE invalid_rows END AS invalid_rows, total_rows
+  FROM (SELECT *, event_type = 'product_view' AND right(file_id, 2) = '05' AS lacks FROM verdicts)
+)"""
+
+
+def pipeline_statement() -> str:
+    """Facts from the rows of valid files only, cleaned as everywhere."""
+    rows = DIRTY_CTE + CSV_VERDICTS_CTE + """, good AS (
+  SELECT event_id, user_id, session_id, CAST(ts_text AS TIMESTAMP) AS "timestamp", event_type, page_type,
+         TRY_CAST(time_on_page_seconds AS DOUBLE) AS time_on_page_seconds, product_id,
+         CAST(NULL AS VARCHAR) AS category, TRY_CAST(price AS DOUBLE) AS price, action
+  FROM dirty WHERE file_id IN (SELECT file_id FROM csv_verdicts WHERE status = 'valid')
+), """
+    clean = CLEAN_CTE[len(CANON_CTE) + 2:].replace("FROM canon", "FROM good", 1)
+    return ("WITH " + rows + clean + ", " + SESSIONS.strip() + ", " + BOUNCE.strip() + ", " + FUNNEL.strip() + """
+SELECT 'bounce_rate' AS fact, page_type AS name, total_sessions AS n, bounced_sessions AS m FROM bounce
+UNION ALL SELECT 'conversion_funnel', stage, n, NULL FROM (
+  SELECT unnest(['page_view', 'product_view', 'cart_add', 'checkout']) AS stage,
+         unnest([stage1_page_view_users, stage2_product_view_users, stage3_cart_add_users,
+                 stage4_checkout_users]) AS n FROM fc)
+UNION ALL SELECT 'dim_product', product_id, CAST(""" + _dec("avg(price)", 10, 2) + """ * 100 AS BIGINT), NULL
+FROM clean WHERE event_type = 'product_view' AND product_id IS NOT NULL GROUP BY product_id""")
+
+
 RAW_SELECT = ("user_id, session_id, ts_text, page_type, time_on_page_seconds, price, product_id, "
               "action, x_position, y_position")
 
@@ -361,18 +392,18 @@ RUN_DATE = "DATE '2024-01-30'"
 
 def _dec(expr: str, p: int, s: int) -> str:
     """Spark's double -> DECIMAL cast: half-up on the value's shortest decimal text."""
-    return f"TRY_CAST(CAST({expr} AS VARCHAR) AS DECIMAL({p},{s}))"
+    return f"TRY_CAST(CAST(round({expr}, 9) AS VARCHAR) AS DECIMAL({p},{s}))"
 
 
 WAREHOUSE_CTE = CLEAN_CTE + ", " + SESSIONS.strip() + ", " + BOUNCE.strip() + ", " + FUNNEL.strip() + ", " + \
     PRODUCTS.strip() + ", " + PATHS.strip() + ", " + ANOMALY.strip() + f""", tp_raw AS (
-  SELECT page_url, {xavg("time_on_page_seconds")} AS avg_t, count(*) AS event_count
+  SELECT page_url, avg(time_on_page_seconds) AS avg_t, count(*) AS event_count
   FROM clean WHERE event_type = 'page_view' AND page_url IS NOT NULL
-  GROUP BY page_url ORDER BY avg_t DESC, page_url LIMIT 20
+  GROUP BY page_url ORDER BY round(avg_t, 9) DESC, page_url LIMIT 20
 ), f_top_pages AS (
   SELECT {RUN_DATE} AS date, page_url, {_dec("avg_t", 8, 2)} AS avg_time_seconds,
          CAST(event_count AS INTEGER) AS session_count,
-         CAST(row_number() OVER (ORDER BY avg_t DESC, page_url) AS INTEGER) AS rank
+         CAST(row_number() OVER (ORDER BY round(avg_t, 9) DESC, page_url) AS INTEGER) AS rank
   FROM tp_raw
 ), br_raw AS (
   SELECT page_type, bounced_sessions, total_sessions,
@@ -407,7 +438,7 @@ WAREHOUSE_CTE = CLEAN_CTE + ", " + SESSIONS.strip() + ", " + BOUNCE.strip() + ",
          CAST(row_number() OVER (ORDER BY session_count DESC, path) AS INTEGER) AS rank
   FROM paths
 ), f_device_country_time AS (
-  SELECT {RUN_DATE} AS date, device_type, country, {_dec(xavg("time_on_page_seconds"), 8, 2)} AS avg_time_seconds,
+  SELECT {RUN_DATE} AS date, device_type, country, {_dec("avg(time_on_page_seconds)", 8, 2)} AS avg_time_seconds,
          CAST(count(DISTINCT session_id) AS INTEGER) AS session_count
   FROM clean WHERE event_type = 'page_view' GROUP BY device_type, country
 ), f_anomalies AS (
@@ -417,7 +448,7 @@ WAREHOUSE_CTE = CLEAN_CTE + ", " + SESSIONS.strip() + ", " + BOUNCE.strip() + ",
               WHEN iqr THEN 'iqr' END AS anomaly_type
   FROM zj WHERE abs(z) > 2 OR iqr
 ), d_product AS (
-  SELECT product_id, min(category) AS category, {_dec(xavg("price"), 10, 2)} AS avg_price
+  SELECT product_id, min(category) AS category, {_dec("avg(price)", 10, 2)} AS avg_price
   FROM clean WHERE event_type = 'product_view' AND product_id IS NOT NULL GROUP BY product_id
 ), d_page AS (
   SELECT page_url, min(page_type) AS page_type

@@ -1,32 +1,37 @@
-"""The daily batch run (M8): read raw events -> clean -> seven metrics -> Parquet.
+"""The daily batch run (M8): validate -> valid files only -> clean -> metrics -> warehouse.
 
 ``scope="day"`` reads only the process date's directories (partition pruning by path);
 ``scope="all"`` reads every day and labels the output with the process date.
+
+    python -m clickmart.plans.pipeline --input RAW --output PROCESSED --date 2025-06-01
 """
 
 from __future__ import annotations
 
+import argparse
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from clickmart.operators import cleaning, metrics, warehouse
-from clickmart.session import scratch_dir
-from clickmart.sinks.writers import load_warehouse, write_metric
+from clickmart.plans.ingest import validate_raw
+from clickmart.schema import KNOWN_COLUMNS, all_string_schema
+from clickmart.session import clear_scratch, get_session, scratch_dir, scratch_mark
+from clickmart.sinks.writers import load_warehouse, write_error_reports, write_metric, write_quarantine
 from clickmart.sources.csv_events import read_raw, typed_events
 
 # Position of a raw row: file, split offset, read order inside the split.
 ROW_ORDER = ("source_file", "block_start", "row_id")
 
 
-def compute_metrics(events: DataFrame) -> dict[str, DataFrame]:
+def compute_metrics(events: DataFrame, stage=None) -> dict[str, DataFrame]:
     """All seven metrics from one cleaned layer (read from shared storage, so each
     metric's scan prunes to its event type)."""
     return {
         "top_pages": metrics.top_pages(events),
         "bounce_rate": metrics.bounce_rate(events),
         "conversion_funnel": metrics.conversion_funnel(events),
-        "high_view_low_cart": metrics.high_view_low_cart(events),
+        "high_view_low_cart": metrics.high_view_low_cart(events, stage),
         "navigation_paths": metrics.navigation_paths(events),
         "device_country_time": metrics.device_country_time(events),
         "anomalies": metrics.anomalies(events),
@@ -34,17 +39,22 @@ def compute_metrics(events: DataFrame) -> dict[str, DataFrame]:
 
 
 def clean_layer(spark: SparkSession, events: DataFrame, path: str | None = None) -> DataFrame:
-    """The expensive part (raw parse, de-duplication, timestamp parse) is written
-    once to shared storage as Parquet partitioned by event type. Medians are computed
-    from that layer (reading only the page_view / product_view partitions) and the
-    imputation stays a lazy broadcast join, fused into each metric's scan stage."""
+    """The expensive part (de-duplication, timestamp parse) is written once to shared
+    storage as Parquet partitioned by event type. Both medians come from that layer in one
+    pair of passes; the imputation stays a lazy broadcast join, fused into each metric's
+    scan stage."""
     path = path or f"{scratch_dir(spark, 'clean')}/events"
     deduped = cleaning.dedup_events(
         events, [k for k in cleaning.DEDUP_KEYS if k in events.columns], [F.col(c) for c in ROW_ORDER]
     )
     deduped = cleaning.parse_timestamps(deduped, "timestamp")
     stored = cleaning.materialize(deduped, path=path, partition_by=["event_type"])
-    return cleaning.impute_price(cleaning.impute_time_on_page(stored))
+    return cleaning.impute(stored, cleaning.TIME, cleaning.PRICE)
+
+
+def _no_rows(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], all_string_schema([*KNOWN_COLUMNS, "event_type", "source_file"])).selectExpr(
+        "*", "cast(null as long) as block_start", "cast(null as long) as row_id")
 
 
 def run(
@@ -55,27 +65,57 @@ def run(
     scope: str = "day",
     warehouse_path: str | None = None,
     pattern: str = "*.csv",
+    quarantine_path: str | None = None,
 ) -> dict[str, int]:
-    """Read -> clean -> metrics -> ``<output>/<metric>/date=<d>/``; optionally load the
-    typed facts into ``warehouse_path``. Returns rows loaded per fact table (if loaded)."""
+    """Read -> validate -> clean -> metrics -> ``<output>/<metric>/date=<d>/``.
+
+    Only rows of valid files count. With ``quarantine_path`` the others are written there,
+    with a report per file. With ``warehouse_path`` the typed tables are loaded too: facts
+    pass the record filter (W15), and the scorecard (W16) of what was loaded goes to
+    ``<warehouse>/dq_scorecard``. A date without files replaces its output by empty results.
+    Returns rows loaded per table (if loaded).
+    """
+    mark = scratch_mark(spark)
     dates = [process_date] if scope == "day" else None
-    raw = read_raw(spark, base=input_path, dates=dates, pattern=pattern)
-    if raw.rows is None:
-        return {}
-    cleaned = clean_layer(spark, typed_events(raw.rows))
-    results = compute_metrics(cleaned)
+    checked = validate_raw(read_raw(spark, base=input_path, dates=dates, pattern=pattern))
+    if quarantine_path:
+        write_quarantine(checked.checked, checked.verdicts, f"{quarantine_path}/date={process_date}/rows")
+        write_error_reports(checked.error_reports(), f"{quarantine_path}/date={process_date}/reports")
+    valid = checked.valid_rows() if checked.has_rows else _no_rows(spark)
+    valid = valid.select(*KNOWN_COLUMNS, "event_type", *ROW_ORDER)  # without flags and headers
+    cleaned = clean_layer(spark, typed_events(valid))
+
+    def stage(df: DataFrame) -> DataFrame:
+        return cleaning.materialize(df, f"{scratch_dir(spark, 'table')}/rows")
+
+    results = {name: stage(df) for name, df in compute_metrics(cleaned, stage).items()}
     for name, df in results.items():
         write_metric(df, output_path, name, process_date)
-    if not warehouse_path:
-        return {}
-    from clickmart.sources.csv_events import read_metric
+    counts: dict[str, int] = {}
+    if warehouse_path:
+        tables = warehouse.all_tables(cleaned, results, process_date)
+        tables = {t: warehouse.valid_records(df) if t.startswith("fact_") else df for t, df in tables.items()}
+        counts = load_warehouse(tables, warehouse_path, process_date)
+        loaded = {t: spark.read.schema(df.schema).parquet(f"{warehouse_path}/{t}") for t, df in tables.items()}
+        score = warehouse.dq_scorecard(loaded)
+        score.write.mode("overwrite").parquet(f"{warehouse_path}/dq_scorecard/date={process_date}")
+    clear_scratch(spark, mark)
+    return counts
 
-    facts = {}
-    for name, df in results.items():
-        schema = T.StructType(df.schema.fields + [T.StructField("date", T.DateType())])
-        stored = read_metric(spark, output_path, name, process_date, schema=schema).drop("date")
-        facts[warehouse._fact_table(name)] = warehouse.build_fact(name, stored, process_date)
-    facts["dim_product"] = warehouse.dim_product(cleaned)
-    facts["dim_page"] = warehouse.dim_page(cleaned)
-    facts["dim_date"] = warehouse.dim_date(cleaned)
-    return load_warehouse(facts, warehouse_path)
+
+def main() -> None:
+    p = argparse.ArgumentParser(description="Daily clickstream run")
+    p.add_argument("--input", required=True, help="base folder of the raw event files")
+    p.add_argument("--output", required=True, help="base folder of the metric datasets")
+    p.add_argument("--date", required=True, help="process date, YYYY-MM-DD")
+    p.add_argument("--scope", choices=["day", "all"], default="day")
+    p.add_argument("--warehouse", help="base folder of the warehouse tables")
+    p.add_argument("--quarantine", help="base folder for rows and reports of invalid files")
+    a = p.parse_args()
+    counts = run(get_session(), a.input, a.output, a.date, a.scope, a.warehouse, quarantine_path=a.quarantine)
+    for table, n in counts.items():
+        print(f"{table}\t{n}")
+
+
+if __name__ == "__main__":
+    main()

@@ -24,20 +24,45 @@ def canon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixture.load_canon(spark, sf_dir)
 
 
-def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The production cleaning path: dedup written once to shared storage (partitioned
-    by event type), medians from that layer, imputation as lazy broadcast joins."""
+def deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.dedup_events(canon(spark, sf_dir), order_by=[F.col("event_id")])
+
+
+def cleaned(spark: SparkSession, sf_dir: str, *needs: cleaning.Imputation) -> DataFrame:
+    """Cleaned events with the imputations that the query reads. Without any it is a plain
+    lazy plan; with some, the deduped layer is written once to shared storage, as medians
+    and metric both read it."""
+    if not needs:
+        return deduped(spark, sf_dir)
     from clickmart.session import scratch_dir
 
-    deduped = cleaning.dedup_events(canon(spark, sf_dir), order_by=[F.col("event_id")])
     stored = cleaning.materialize(
-        deduped, path=f"{scratch_dir(spark, 'dedup')}/events", partition_by=["event_type"]
+        deduped(spark, sf_dir), path=f"{scratch_dir(spark, 'dedup')}/events", partition_by=["event_type"]
     )
-    return cleaning.impute_price(cleaning.impute_time_on_page(stored))
+    return cleaning.impute(stored, *needs)
 
 
-def _on_clean(fn) -> Query:
-    return lambda spark, sf_dir: round_doubles(fn(cleaned(spark, sf_dir)))
+def stage(df: DataFrame) -> DataFrame:
+    """A small derived table, written to shared storage where several steps read it."""
+    from clickmart.session import scratch_dir
+
+    return cleaning.materialize(df, f"{scratch_dir(df.sparkSession, 'table')}/rows")
+
+
+#: Imputed columns that each metric reads.
+NEEDS: dict[str, tuple[cleaning.Imputation, ...]] = {
+    "top_pages": (cleaning.TIME,),
+    "bounce_rate": (),
+    "conversion_funnel": (),
+    "high_view_low_cart": (cleaning.PRICE,),
+    "navigation_paths": (),
+    "device_country_time": (cleaning.TIME,),
+    "anomalies": (cleaning.TIME,),
+}
+
+
+def _on_clean(fn, *needs: cleaning.Imputation) -> Query:
+    return lambda spark, sf_dir: round_doubles(fn(cleaned(spark, sf_dir, *needs)))
 
 
 def q_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,35 +90,34 @@ def q_union_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_impute_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = cleaning.dedup_events(canon(spark, sf_dir), order_by=[F.col("event_id")])
-    return cleaning.impute_time_on_page(c).select(
+    return cleaned(spark, sf_dir, cleaning.TIME).select(
         "event_id", "event_type", "page_type", "time_on_page_seconds"
     )
 
 
 def q_impute_price(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaned(spark, sf_dir).select("event_id", "event_type", "category", "price")
+    return cleaned(spark, sf_dir, cleaning.PRICE).select("event_id", "event_type", "category", "price")
+
+
+def high_view_low_cart(events: DataFrame) -> DataFrame:
+    return metrics.high_view_low_cart(events, stage)
 
 
 def registry() -> dict[str, Query]:
-    q: dict[str, Query] = {
-        "top_pages": _on_clean(metrics.top_pages),
-        "bounce_rate": _on_clean(metrics.bounce_rate),
-        "conversion_funnel": _on_clean(metrics.conversion_funnel),
-        "high_view_low_cart": _on_clean(metrics.high_view_low_cart),
-        "navigation_paths": _on_clean(metrics.navigation_paths),
-        "device_country_time": _on_clean(metrics.device_country_time),
-        "anomalies": _on_clean(metrics.anomalies),
-        "zscore_by_page_type": _on_clean(metrics.zscore_by_page_type),
-        "iqr_fences": _on_clean(metrics.iqr_fences),
+    q: dict[str, Query] = {m: _on_clean(fn, *NEEDS[m]) for m, fn in METRIC_FUNCS.items()}
+    q.update({
+        "zscore_by_page_type": _on_clean(metrics.zscore_by_page_type, cleaning.TIME),
+        "iqr_fences": _on_clean(metrics.iqr_fences, cleaning.TIME),
         "dedup_events": q_dedup_events,
         "union_events": q_union_events,
         "impute_time_on_page": q_impute_time,
         "impute_price": q_impute_price,
-    }
+    })
     q.update(validation_registry())
     q.update(warehouse_registry())
     q["stream_file_verdicts"] = q_stream_file_verdicts
+    q["csv_file_verdicts"] = q_csv_file_verdicts
+    q["pipeline_facts_valid_only"] = q_pipeline_facts_valid_only
     return q
 
 
@@ -145,7 +169,7 @@ def _route(valid: bool):
 
 
 def q_error_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checked = checked_dirty(spark, sf_dir)
+    checked = stage(checked_dirty(spark, sf_dir))  # rules run once; verdicts and samples read the flags
     verdicts = quality.file_verdicts(checked, size_agg=F.sum("row_bytes"))
     samples = quality.first_invalid_rows(checked, ["row_pos"])
     bad = verdicts.where(F.col("status") == "invalid").select(
@@ -180,7 +204,7 @@ METRIC_FUNCS = {
     "top_pages": metrics.top_pages,
     "bounce_rate": metrics.bounce_rate,
     "conversion_funnel": metrics.conversion_funnel,
-    "high_view_low_cart": metrics.high_view_low_cart,
+    "high_view_low_cart": high_view_low_cart,
     "navigation_paths": metrics.navigation_paths,
     "device_country_time": metrics.device_country_time,
     "anomalies": metrics.anomalies,
@@ -189,12 +213,12 @@ METRIC_FUNCS = {
 
 def _fact(metric: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return warehouse.build_fact(metric, METRIC_FUNCS[metric](cleaned(spark, sf_dir)), RUN_DATE)
+        return warehouse.build_fact(metric, METRIC_FUNCS[metric](cleaned(spark, sf_dir, *NEEDS[metric])), RUN_DATE)
     return run
 
 
-def _dim(fn) -> Query:
-    return lambda spark, sf_dir: fn(cleaned(spark, sf_dir))
+def _dim(fn, *needs: cleaning.Imputation) -> Query:
+    return lambda spark, sf_dir: fn(cleaned(spark, sf_dir, *needs))
 
 
 def q_valid_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,18 +226,15 @@ def q_valid_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_dq_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten tables are loaded into a scratch warehouse and scored from there."""
     from clickmart.session import scratch_dir
 
-    # Ten tables derive from one cleaned layer: write it once to shared storage.
-    events = cleaning.materialize(cleaned(spark, sf_dir), path=f"{scratch_dir(spark, 'clean')}/events",
-                                  partition_by=["event_type"])
-    tables = {
-        METRIC_TO_FACT[m]: warehouse.build_fact(m, fn(events), RUN_DATE) for m, fn in METRIC_FUNCS.items()
-    }
-    tables["dim_product"] = warehouse.dim_product(events)
-    tables["dim_page"] = warehouse.dim_page(events)
-    tables["dim_date"] = warehouse.dim_date(events)
-    return warehouse.dq_scorecard(tables)
+    events = cleaned(spark, sf_dir, cleaning.TIME, cleaning.PRICE)
+    tables = warehouse.all_tables(events, {m: fn(events) for m, fn in METRIC_FUNCS.items()}, RUN_DATE)
+    base = scratch_dir(spark, "dq")
+    return warehouse.dq_scorecard({
+        name: cleaning.materialize(df, f"{base}/{name}") for name, df in tables.items()
+    })
 
 
 def _report(metric: str, fn) -> Query:
@@ -223,7 +244,7 @@ def _report(metric: str, fn) -> Query:
 def warehouse_registry() -> dict[str, Query]:
     q: dict[str, Query] = {METRIC_TO_FACT[m]: _fact(m) for m in METRIC_FUNCS}
     q.update({
-        "dim_product": _dim(warehouse.dim_product),
+        "dim_product": _dim(warehouse.dim_product, cleaning.PRICE),
         "dim_page": _dim(warehouse.dim_page),
         "dim_date": _dim(warehouse.dim_date),
         "valid_records": q_valid_records,
@@ -262,3 +283,42 @@ def q_stream_file_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join("failed_fields", ",").alias("failed_fields"),
         "invalid_rows", "total_rows",
     )
+
+
+# --- raw CSV files ------------------------------------------------------------------------
+def q_csv_file_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V13 over raw CSVs staged per event type (five headers), where one day's page views
+    carry an unknown column, one day's clicks have their columns reordered, and one day's
+    product views lack the price."""
+    from clickmart.plans.ingest import validate_files
+    from clickmart.session import scratch_dir
+
+    root = f"{scratch_dir(spark, 'csv')}/raw"
+    fixture.write_typed_csv(fixture.load_dirty(spark, sf_dir), root)
+    v = validate_files(spark, base=root, pattern="event_type=*/*.csv").verdicts
+    return v.select(
+        fixture.file_id_from_path(F.col("source_file")).alias("file_id"), "event_type", "status",
+        F.array_join("failed_fields", ",").alias("failed_fields"), "invalid_rows", "total_rows",
+    )
+
+
+def q_pipeline_facts_valid_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily run over raw CSVs of which a third are invalid: facts of the valid files."""
+    from clickmart.plans import pipeline
+    from clickmart.session import scratch_dir
+
+    root = scratch_dir(spark, "facts")
+    fixture.write_typed_csv(fixture.load_dirty(spark, sf_dir), f"{root}/raw")
+    pipeline.run(spark, f"{root}/raw", f"{root}/out", RUN_DATE, scope="all",
+                 warehouse_path=f"{root}/dwh", pattern="event_type=*/*.csv")
+    read = lambda t: spark.read.parquet(f"{root}/dwh/{t}")
+    bounce = read("fact_bounce_rate").select(
+        F.lit("bounce_rate").alias("fact"), F.col("page_type").alias("name"),
+        F.col("total_sessions").cast("long").alias("n"), F.col("bounced_sessions").cast("long").alias("m"))
+    funnel = read("fact_conversion_funnel").select(
+        F.lit("conversion_funnel").alias("fact"), F.col("stage").alias("name"),
+        F.col("user_count").cast("long").alias("n"), F.lit(None).cast("long").alias("m"))
+    products = read("dim_product").select(
+        F.lit("dim_product").alias("fact"), F.col("product_id").alias("name"),
+        (F.col("avg_price") * 100).cast("long").alias("n"), F.lit(None).cast("long").alias("m"))
+    return bounce.unionByName(funnel).unionByName(products)

@@ -2,7 +2,8 @@
 
 FIXED VALUES — these must stay equal to the source application's domain for results to
 match: the five event types (in file-name matching order), the allowed page types and
-cart actions, the funnel stage names, and the anomaly labels.
+cart actions, the funnel stage names, the anomaly labels, the columns of the raw files, and
+the tables and columns of the warehouse. All of them lie between the two marks below.
 """
 
 from __future__ import annotations
@@ -26,8 +27,6 @@ PATH_SEPARATOR = "→"
 # Error-report document keys (external JSON format), in document order:
 # processing time, error type, failed fields, first problematic rows.
 REPORT_KEYS = ("timestamp_proceso", "tipo_error", "campos_fallidos", "primeras_3_filas_problematicas")
-# --- end fixed values ---------------------------------------------------------------
-
 COMMON_COLUMNS = ("user_id", "session_id", "timestamp")
 
 # Columns each raw CSV carries, per event type (order as written by the producer).
@@ -167,3 +166,4 @@ METRIC_TO_FACT = {
     "device_country_time": "fact_device_country_time",
     "anomalies": "fact_anomalies",
 }
+# --- end fixed values ---------------------------------------------------------------

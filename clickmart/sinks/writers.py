@@ -2,58 +2,80 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from clickmart.operators import quality
-from clickmart.schema import REPORT_KEYS
+from clickmart.schema import DIM_KEYS, REPORT_KEYS
+from clickmart.session import scratch_dir
 
 
 def write_metric(df: DataFrame, base: str, metric: str, process_date: str) -> None:
-    """K1: ``<base>/<metric>/date=<d>/`` as snappy Parquet. Dynamic partition overwrite
-    replaces only that date, so rerunning a day is idempotent and other days stay."""
-    (
-        df.withColumn("date", F.lit(process_date).cast("date"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .partitionBy("date")
-        .parquet(f"{base.rstrip('/')}/{metric}")
-    )
+    """K1: ``<base>/<metric>/date=<d>/`` as snappy Parquet. The date's folder is replaced as
+    a whole, so a rerun is idempotent, also when its result is empty, and other days stay."""
+    path = f"{base.rstrip('/')}/{metric}/date={process_date}"
+    df.drop("date").write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
-def load_table(df: DataFrame, path: str, mode: str = "replace_date", name: str = "load") -> int:
+def load_table(
+    df: DataFrame, path: str, mode: str = "replace_date", name: str = "load",
+    process_date: str | None = None, key: str | None = None,
+) -> int:
     """K1/K2/K3: write a warehouse table and return the rows written.
 
-    ``replace_date`` (default) overwrites only the dates present in ``df``;
-    ``truncate`` replaces the whole table; ``append`` adds rows (not idempotent).
-    Row counts come from an ``observe`` on the write itself, not an extra job.
+    ``replace_date`` (default) replaces the folder of ``process_date`` (``df`` holds that
+    date alone), also by an empty one; ``merge`` replaces the rows that share a ``key`` and
+    keeps the others; ``truncate`` replaces the whole table; ``append`` adds rows (not
+    idempotent). Row counts come from an ``observe`` on the write itself.
     """
+    if mode == "replace_date" and process_date is None:
+        raise ValueError("replace_date needs the process date")
+    if mode == "merge":
+        df = _merged(df, path, key)
     obs = Observation(name)
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer = observed.write.option("compression", "snappy")
+    out = df.drop("date") if mode == "replace_date" else df
+    writer = out.observe(obs, F.count(F.lit(1)).alias("rows")).write.option("compression", "snappy")
     if mode == "replace_date":
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date")
-    elif mode == "truncate":
+        writer.mode("overwrite").parquet(f"{path}/date={process_date}")
+    elif mode in ("truncate", "merge"):
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "static")
-        if "date" in df.columns:
-            writer = writer.partitionBy("date")
+        (writer.partitionBy("date") if "date" in df.columns else writer).parquet(path)
     elif mode == "append":
-        writer = writer.mode("append")
-        if "date" in df.columns:
-            writer = writer.partitionBy("date")
+        (writer.partitionBy("date") if "date" in df.columns else writer).mode("append").parquet(path)
     else:
         raise ValueError(f"unknown load mode {mode!r}")
-    writer.parquet(path)
     return int(obs.get.get("rows", 0))
 
 
-def load_warehouse(tables: dict[str, DataFrame], base: str, mode: str = "replace_date") -> dict[str, int]:
-    """Load every table; returns rows per table and the total under ``"total"``."""
+def _merged(df: DataFrame, path: str, key: str | None) -> DataFrame:
+    """``df`` and the table's rows with other keys, stored apart: a table can't be
+    overwritten while it is read."""
+    if key is None:
+        raise ValueError("merge needs a key")
+    spark = df.sparkSession
+    try:
+        old = spark.read.schema(df.schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return df
+    rest = old.join(df.select(key), key, "left_anti")
+    staged = f"{scratch_dir(spark, 'merge')}/rows"
+    df.unionByName(rest.select(*df.columns)).write.mode("overwrite").parquet(staged)
+    return spark.read.schema(df.schema).parquet(staged)
+
+
+def load_warehouse(
+    tables: dict[str, DataFrame], base: str, process_date: str, mode: str = "replace_date"
+) -> dict[str, int]:
+    """Load every table (facts by date, dimensions merged by key, so they cover all
+    loaded dates); returns rows per table and the total under ``"total"``."""
     counts = {}
     for table, df in tables.items():
-        table_mode = mode if "date" in df.columns else ("truncate" if mode == "replace_date" else mode)
-        counts[table] = load_table(df, f"{base.rstrip('/')}/{table}", table_mode, name=table)
+        key = DIM_KEYS.get(table)
+        how = "merge" if key and mode == "replace_date" else mode
+        counts[table] = load_table(df, f"{base.rstrip('/')}/{table}", how, table, process_date, key)
     counts["total"] = sum(counts.values())
     return counts
 
@@ -73,15 +95,17 @@ def write_jdbc(
 
 
 def write_quarantine(rows: DataFrame, verdicts: DataFrame, path: str, file_col: str = "source_file") -> None:
-    """K5: every row of every file that is not valid goes to the quarantine dataset,
-    partitioned by event type; raw files are left untouched."""
+    """K5: every row of every file that is not valid, partitioned by event type. ``path`` is
+    the folder of one run or micro-batch and is replaced as a whole, so a replay changes
+    nothing; raw files are left untouched."""
     bad = quality.route(rows, verdicts, file_col=file_col, valid=False)
-    bad.write.mode("append").partitionBy("event_type").parquet(path)
+    bad.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("event_type").parquet(path)
 
 
 def write_error_reports(reports: DataFrame, path: str) -> None:
     """K6: one JSON document per invalid file (keys as in the established report format:
-    processing time, error type, failed fields, first invalid rows) plus the file."""
+    processing time, error type, failed fields, first invalid rows) plus the file. ``path``
+    is the folder of one run or micro-batch, replaced as a whole."""
     t_key, type_key, fields_key, rows_key = REPORT_KEYS
     (
         reports.select(
@@ -91,6 +115,6 @@ def write_error_reports(reports: DataFrame, path: str) -> None:
             F.col("failed_fields").alias(fields_key),
             F.col("first_invalid_rows").alias(rows_key),
         )
-        .write.mode("append")
+        .write.mode("overwrite")
         .json(path)
     )

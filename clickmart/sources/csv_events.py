@@ -83,7 +83,8 @@ def _normal_path(c: Column) -> Column:
 
 def list_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Every file matched by ``paths`` with its size, as a distributed listing (the
-    binary-file source with ``content`` pruned reads no file bytes)."""
+    binary-file source with ``content`` pruned reads no file bytes; files of zero bytes are
+    not listed, as in Spark's other file sources)."""
     return (
         spark.read.format("binaryFile")
         .load(paths)

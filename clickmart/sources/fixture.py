@@ -90,21 +90,8 @@ def canon_events(events: DataFrame) -> DataFrame:
     )
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has cores.
-
-    The driver's tables are single small files (one Parquet row group), which would
-    put all per-row work (regexes, JSON parsing) into one task. A scan that already has
-    enough splits, as any large input does, is returned untouched (no shuffle).
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
-
-
 def load_canon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return canon_events(spread(read_table(spark, sf_dir, "events")))
+    return canon_events(read_table(spark, sf_dir, "events"))
 
 
 def dirty_events(canon: DataFrame) -> DataFrame:
@@ -175,6 +162,49 @@ def write_dirty_csv(dirty: DataFrame, path: str) -> None:
     )
 
 
+# FIXED VALUES: days of the month whose staged file differs from its type's layout.
+EXTRA_COLUMN_DAY, REORDERED_DAY, MISSING_COLUMN_DAY = 2, 4, 5
+
+TYPED_CSV_COLUMNS = {
+    "page_view": ["user_id", "session_id", "page_type", "timestamp", "time_on_page_seconds"],
+    "product_view": ["user_id", "session_id", "product_id", "price", "timestamp"],
+    "cart_event": ["user_id", "session_id", "product_id", "action", "timestamp"],
+    "click": ["user_id", "session_id", "timestamp", "x_position", "y_position"],
+    "search": ["user_id", "session_id", "timestamp"],
+}
+
+
+def write_typed_csv(dirty: DataFrame, path: str) -> None:
+    """Stage dirty rows as raw CSVs, each event type with its own columns: one file per (day,
+    type). Page views of one day carry an unknown column, clicks of one day are reordered,
+    product views of one day lack the price."""
+    day = F.to_date(F.substring_index(F.col("file_id"), "/", -1))
+    keys = ["year", "month", "day", "event_type"]
+    staged = dirty.withColumn("timestamp", F.col("ts_text")).withColumn("locale", F.lit("es-CO")).select(
+        "*", F.year(day).alias("year"), F.month(day).alias("month"), F.dayofmonth(day).alias("day"))
+
+    def write(rows: DataFrame, columns: list[str]) -> None:
+        (
+            rows.repartition(*keys).sortWithinPartitions(*keys, "row_pos").select(*columns, *keys)
+            .write.mode("append").option("header", True)
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+            .partitionBy(*keys).csv(path)
+        )
+
+    odd = {
+        "page_view": (EXTRA_COLUMN_DAY, ["locale", *TYPED_CSV_COLUMNS["page_view"]]),
+        "click": (REORDERED_DAY, TYPED_CSV_COLUMNS["click"][::-1]),
+        "product_view": (MISSING_COLUMN_DAY, [c for c in TYPED_CSV_COLUMNS["product_view"] if c != "price"]),
+    }
+    for event_type, columns in TYPED_CSV_COLUMNS.items():
+        rows = staged.where(F.col("event_type") == event_type)
+        if event_type in odd:
+            special, other = odd[event_type]
+            write(rows.where(F.col("day") == special), other)
+            rows = rows.where(F.col("day") != special)
+        write(rows, columns)
+
+
 def file_id_from_path(path: Column) -> Column:
     """``.../year=2024/month=1/day=3/event_type=click/...`` -> ``click/2024-01-03``."""
     m = r"year=(\d+)/month=(\d+)/day=(\d+)/"

@@ -2,8 +2,8 @@
 
 A Structured Streaming file source notices new CSV files; each micro-batch validates
 exactly the files it brought (a file is never split across batches), so no streaming
-state is needed. Verdicts are written partitioned by ``batch_id`` with dynamic
-overwrite: a batch replayed after a failure replaces its own output (exactly once).
+state is needed. Verdicts, summaries, quarantined rows and reports go to a ``batch_id=``
+folder each, which a batch replayed after a failure replaces as a whole.
 The checkpoint remembers which files were seen, so a restart adds nothing twice.
 """
 
@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickmart.plans.ingest import validate_files
+from clickmart.session import clear_scratch, scratch_mark
+from clickmart.sinks.writers import write_error_reports, write_quarantine
 
 # Fixed schema of Spark's binary-file source.
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
-from clickmart.sinks.writers import write_error_reports
-
 
 QUARANTINE_DIR = "quarantine"
 
@@ -32,28 +32,23 @@ def _batch_files(batch: DataFrame) -> list[str]:
 
 def validate_batch(
     spark: SparkSession, paths: list[str], base: str | None, verdict_path: str, batch_id: int,
-    quarantine_path: str | None = None, report_path: str | None = None,
+    quarantine_path: str | None = None, report_path: str | None = None, summary_path: str | None = None,
 ) -> None:
     if not paths:
         return
+    mark = scratch_mark(spark)
     v = validate_files(spark, base=base, paths=paths)
     verdicts = v.verdicts.persist()
-    (
-        verdicts.withColumn("batch_id", F.lit(batch_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .parquet(verdict_path)
-    )
+    verdicts.write.mode("overwrite").parquet(f"{verdict_path}/batch_id={batch_id}")
+    if summary_path:
+        batch_summary(verdicts.withColumn("batch_id", F.lit(batch_id))).drop("batch_id").write.mode(
+            "overwrite").parquet(f"{summary_path}/batch_id={batch_id}")
     if quarantine_path:
-        (
-            v.quarantined_rows().withColumn("batch_id", F.lit(batch_id))
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id").parquet(quarantine_path)
-        )
+        write_quarantine(v.checked, verdicts, f"{quarantine_path}/batch_id={batch_id}")
     if report_path:
         write_error_reports(v.error_reports(), f"{report_path.rstrip('/')}/batch_id={batch_id}")
     verdicts.unpersist()
+    clear_scratch(spark, mark)  # the staged lines of this batch
 
 
 def start_validation_stream(
@@ -66,6 +61,7 @@ def start_validation_stream(
     processing_time: str | None = None,
     quarantine_path: str | None = None,
     report_path: str | None = None,
+    summary_path: str | None = None,
 ) -> StreamingQuery:
     """Watch ``base`` (``year=/month=/day=`` tree) for new ``*.csv`` files."""
     # The stream only announces new files: the binary-file source with ``content``
@@ -84,7 +80,7 @@ def start_validation_stream(
     def handle(batch: DataFrame, batch_id: int) -> None:
         validate_batch(
             batch.sparkSession, _batch_files(batch), base, verdict_path, batch_id,
-            quarantine_path, report_path,
+            quarantine_path, report_path, summary_path,
         )
 
     writer = arrivals.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint_path)

@@ -46,3 +46,19 @@ def test_funnel_is_single_pass_without_expand(spark):
 def test_first_bad_rows_limited_map_side(spark):
     text = plan(entry_mod.queries()["error_report"](spark, SF))
     assert "WindowGroupLimit" in text
+
+
+@pytest.mark.parametrize("name", [
+    "conversion_funnel", "bounce_rate", "navigation_paths", "dim_page", "dim_date", "dedup_events",
+    "fact_conversion_funnel", "report_pages_bounce",
+])
+def test_building_starts_no_metric_job(spark, name):
+    """Queries that read no imputed column are plain lazy plans (reading a schema is one job
+    at most)."""
+    sc = spark.sparkContext
+    group = f"build-{name}"
+    sc.setJobGroup(group, group)
+    entry_mod.queries()[name](spark, SF)
+    jobs = sc.statusTracker().getJobIdsForGroup(group)
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 1

@@ -62,3 +62,35 @@ def test_routing_and_error_reports(spark, tmp_path):
     assert [r.element_id for r in click.first_invalid_rows] == ["e2", "e3", "e4"]
     assert reports["notes.csv"].error_type == "unknown_event_type"
     assert len(reports["product_view.csv"].first_invalid_rows) == 2
+
+
+def test_unknown_columns_are_accepted(spark, tmp_path):
+    """An unknown column, quoted cells, and a file whose lines span several splits."""
+    base = tmp_path / "raw"
+    day = "year=2025/month=06/day=01"
+    header = "locale,user_id,session_id,page_url,page_type,timestamp,time_on_page_seconds,device_type\n"
+    rows = "".join(f'"es, ""CO""",{csvtree.U1},s{i},"/a,{i}",home,2025-06-01T10:00:00,30,mobile\n' for i in range(400))
+    csvtree.write(base, f"{day}/page_view.csv", header + rows)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        v = validate_files(spark, base=str(base))
+        verdict = v.verdicts.first()
+        assert (verdict.status, verdict.failed_fields, verdict.total_rows) == ("valid", [], 400)
+        urls = {r.page_url for r in v.valid_rows().select("page_url").collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert urls == {f"/a,{i}" for i in range(400)}
+
+
+def test_many_headers_and_no_header(spark, tmp_path):
+    base = tmp_path / "raw"
+    day = "year=2025/month=06/day=01"
+    for i in range(30):
+        csvtree.write(base, f"{day}/search_{i}.csv",
+                      f"x{i},user_id,session_id,query,timestamp\n1,{csvtree.U1},s1,q,2025-06-01T10:00:00\n")
+    csvtree.write(base, f"{day}/click.csv", f"{csvtree.U1},s1,2025-06-01T10:00:00,1,2\n")
+    got = _verdicts(validate_files(spark, base=str(base)))
+    assert sum(r.status == "valid" for r in got.values()) == 30
+    assert "missing_column:user_id" in got["day=01/click.csv"].failed_fields
+    assert got["day=01/click.csv"].status == "invalid"

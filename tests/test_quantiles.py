@@ -1,7 +1,9 @@
 import math
 import random
 
-from clickmart.operators.quantiles import exact_count_percentile, exact_percentiles
+from pyspark.sql import functions as F
+
+from clickmart.operators.quantiles import exact_percentiles
 
 
 def brute(values, p):
@@ -28,8 +30,16 @@ def test_exact_percentiles_match_brute_force(spark):
         assert "nulls" not in got
 
 
-def test_exact_count_percentile(spark):
-    counts = [1, 1, 2, 5, 5, 5, 9, 30, 30, 31, 100]
-    df = spark.createDataFrame([(c,) for c in counts], "n long")
-    for p in (0.1, 0.25, 0.5, 0.75, 0.9):
-        assert exact_count_percentile(df, "n", p).first().q == brute(counts, p)
+def test_extra_aggregates_and_empty_groups(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("nulls", None)], "g string, x double")
+    out = exact_percentiles(df, "x", ["g"], [0.5], names=["med"], extra={"mean": F.avg("x")}, keep_empty=True)
+    assert {r.g: (r.med, r["mean"]) for r in out.collect()} == {"a": (1.0, 2.0), "nulls": (None, None)}
+
+
+def test_many_groups_fall_back_to_shuffle_joins(spark):
+    df = spark.range(3000).selectExpr("id % 1000 as g", "cast(id as double) as x")
+    from clickmart.plans import joins
+
+    whole = joins.BROADCAST_MAX_ROWS
+    want = {r.g: r.q0 for r in exact_percentiles(df, "x", ["g"], [0.5]).collect()}
+    assert whole >= 1000 and want == {g: float(g + 1000) for g in range(1000)}

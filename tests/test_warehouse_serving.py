@@ -61,16 +61,47 @@ def test_metric_writer_replaces_only_its_date(spark, tmp_path):
     assert read_metric(spark, base, "m").count() == 3
 
 
+def test_empty_rerun_clears_its_date(spark, tmp_path):
+    base = str(tmp_path / "metrics")
+    df = spark.createDataFrame([("a", 1)], "k string, v int")
+    write_metric(df, base, "m", "2025-06-01")
+    write_metric(df, base, "m", "2025-06-02")
+    write_metric(df.limit(0), base, "m", "2025-06-01")
+    assert read_metric(spark, base, "m", "2025-06-01").count() == 0
+    assert read_metric(spark, base, "m", "2025-06-02").count() == 1
+
+
+def _fact(spark, day, page="/"):
+    return spark.createDataFrame([(day, page, 1)], "date string, page_url string, rank int").withColumn(
+        "date", F.col("date").cast("date"))
+
+
 def test_warehouse_load_is_idempotent(spark, tmp_path):
     base = str(tmp_path / "dwh")
-    fact = spark.createDataFrame([("2025-06-01", "/", 1)], "date string, page_url string, rank int") \
-        .withColumn("date", F.col("date").cast("date"))
-    first = load_warehouse({"fact_x": fact}, base)
-    second = load_warehouse({"fact_x": fact}, base)
+    fact = _fact(spark, "2025-06-01")
+    first = load_warehouse({"fact_x": fact}, base, "2025-06-01")
+    second = load_warehouse({"fact_x": fact}, base, "2025-06-01")
     assert first == second == {"fact_x": 1, "total": 1}
-    assert spark.read.parquet(f"{base}/fact_x").count() == 1
-    load_warehouse({"fact_x": fact}, base, mode="append")
+    load_warehouse({"fact_x": _fact(spark, "2025-06-02")}, base, "2025-06-02")
     assert spark.read.parquet(f"{base}/fact_x").count() == 2
+    load_warehouse({"fact_x": fact.limit(0)}, base, "2025-06-01")
+    assert [str(r.date) for r in spark.read.parquet(f"{base}/fact_x").collect()] == ["2025-06-02"]
+    load_warehouse({"fact_x": fact}, base, "2025-06-01", mode="append")
+    assert spark.read.parquet(f"{base}/fact_x").count() == 2
+
+
+def test_dimensions_keep_earlier_keys(spark, tmp_path):
+    base = str(tmp_path / "dwh")
+    schema = "product_id string, category string, avg_price decimal(10,2)"
+
+    def dims(*rows):
+        return {"dim_product": spark.createDataFrame([(p, c, None) for p, c in rows], schema)}
+
+    load_warehouse(dims(("P1", "a"), ("P2", "b")), base, "2025-06-01")
+    load_warehouse(dims(("P2", "c"), ("P3", "d")), base, "2025-06-02")
+    load_warehouse(dims(), base, "2025-06-03")
+    rows = spark.read.parquet(f"{base}/dim_product").collect()
+    assert sorted((r.product_id, r.category) for r in rows) == [("P1", "a"), ("P2", "c"), ("P3", "d")]
 
 
 def test_serving_parameters_and_order(spark):
