@@ -63,13 +63,14 @@ def safe_pct(numerator, denominator, scale: float = 100.0) -> Column:
 
 
 def round_doubles(df, digits: int = 6):
-    """Round every double column (result presentation; hides summation-order noise)."""
+    """Round every double column (result presentation), without the noise of the summation
+    order: that goes first, so it can't tip a value between two results."""
     from pyspark.sql import types as T
 
     cols = []
     for field in df.schema.fields:
         if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(F.round(F.col(field.name), digits).alias(field.name))
+            cols.append(F.round(stable(field.name), digits).alias(field.name))
         else:
             cols.append(F.col(field.name))
     return df.select(*cols)

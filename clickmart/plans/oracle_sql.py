@@ -1,8 +1,9 @@
 """DuckDB SQL equivalents of the registered queries (the correctness oracle).
 
 Every statement starts from the same CTE chain as the Spark side: the adapter
-(``canon``, ``dirty``) and the cleaned layer (``clean``). Doubles are rounded to six
-decimals on both sides so summation order does not change the value hash.
+(``canon``, ``dirty``) and the cleaned layer (``clean``). Means are plain ``avg``. Doubles are
+rounded to nine and then to six decimals on both sides: the first step takes away the noise of
+the summation order, which could otherwise tip a value that lies between two six-digit ones.
 """
 
 from __future__ import annotations
@@ -69,7 +70,7 @@ CLEAN_CTE = CANON_CTE + """, dedup AS (
 )"""
 
 TOP_PAGES = """
-SELECT page_url, round(avg(time_on_page_seconds), 6) AS avg_time_on_page_seconds,
+SELECT page_url, round(round(avg(time_on_page_seconds), 9), 6) AS avg_time_on_page_seconds,
        count(*) AS event_count
 FROM clean WHERE event_type = 'page_view' AND page_url IS NOT NULL
 GROUP BY page_url
@@ -92,8 +93,8 @@ bounce AS (
   FROM sess GROUP BY entry_page_type
 ), bounce_rate AS (
   SELECT page_type, bounced_sessions, total_sessions,
-         round(CASE WHEN total_sessions > 0
-                    THEN CAST(bounced_sessions AS DOUBLE) / total_sessions * 100 END, 6) AS bounce_rate
+         round(round(CASE WHEN total_sessions > 0
+                    THEN CAST(bounced_sessions AS DOUBLE) / total_sessions * 100 END, 9), 6) AS bounce_rate
   FROM bounce
 )"""
 
@@ -113,14 +114,14 @@ pu AS (
   FROM pu
 ), funnel AS (
   SELECT *,
-    round(CASE WHEN stage1_page_view_users > 0
-          THEN CAST(stage2_product_view_users AS DOUBLE) / stage1_page_view_users * 100 END, 6)
+    round(round(CASE WHEN stage1_page_view_users > 0
+          THEN CAST(stage2_product_view_users AS DOUBLE) / stage1_page_view_users * 100 END, 9), 6)
           AS stage2_over_stage1_pct,
-    round(CASE WHEN stage2_product_view_users > 0
-          THEN CAST(stage3_cart_add_users AS DOUBLE) / stage2_product_view_users * 100 END, 6)
+    round(round(CASE WHEN stage2_product_view_users > 0
+          THEN CAST(stage3_cart_add_users AS DOUBLE) / stage2_product_view_users * 100 END, 9), 6)
           AS stage3_over_stage2_pct,
-    round(CASE WHEN stage3_cart_add_users > 0
-          THEN CAST(stage4_checkout_users AS DOUBLE) / stage3_cart_add_users * 100 END, 6)
+    round(round(CASE WHEN stage3_cart_add_users > 0
+          THEN CAST(stage4_checkout_users AS DOUBLE) / stage3_cart_add_users * 100 END, 9), 6)
           AS stage4_over_stage3_pct
   FROM fc
 )"""
@@ -137,8 +138,8 @@ pm AS (
     AND product_id IS NOT NULL
   GROUP BY product_id HAVING count(*) FILTER (WHERE event_type = 'product_view') > 0
 ), hvlc AS (
-  SELECT product_id, category, round(avg_price, 6) AS avg_price, view_count, cart_add_count,
-         round(CAST(cart_add_count AS DOUBLE) / view_count, 6) AS conversion_rate
+  SELECT product_id, category, round(round(avg_price, 9), 6) AS avg_price, view_count, cart_add_count,
+         round(round(CAST(cart_add_count AS DOUBLE) / view_count, 9), 6) AS conversion_rate
   FROM pm
   WHERE view_count > coalesce((SELECT quantile_disc(view_count, 0.75) FROM pm), 0)
     AND cart_add_count < coalesce((SELECT quantile_disc(cart_add_count, 0.25) FROM pm), 0)
@@ -152,7 +153,7 @@ paths AS (
 
 DEVICE = """
 dct AS (
-  SELECT device_type, country, round(avg(time_on_page_seconds), 6) AS avg_time_on_page_seconds,
+  SELECT device_type, country, round(round(avg(time_on_page_seconds), 9), 6) AS avg_time_on_page_seconds,
          count(DISTINCT session_id) AS distinct_sessions
   FROM clean WHERE event_type = 'page_view' GROUP BY device_type, country
 )"""
@@ -171,7 +172,7 @@ st AS (
   FROM clean c LEFT JOIN st ON c.page_type IS NOT DISTINCT FROM st.page_type
   WHERE c.event_type = 'page_view'
 ), anomalies AS (
-  SELECT session_id, user_id, page_type, time_on_page_seconds, round(z, 6) AS z_score,
+  SELECT session_id, user_id, page_type, time_on_page_seconds, round(round(z, 9), 6) AS z_score,
          iqr AS is_iqr_outlier,
          CASE WHEN abs(z) > 2 AND iqr THEN 'z_score_and_iqr'
               WHEN abs(z) > 2 THEN 'z_score'
@@ -196,7 +197,7 @@ def statements() -> dict[str, str]:
     q["anomalies"] = with_clean(ANOMALY, select="SELECT * FROM anomalies")
     q["zscore_by_page_type"] = with_clean(
         ANOMALY,
-        select="SELECT page_type, round(mean_time, 6) AS mean_time, round(std_time, 6) AS std_time FROM st",
+        select="SELECT page_type, round(round(mean_time, 9), 6) AS mean_time, round(round(std_time, 9), 6) AS std_time FROM st",
     )
     q["iqr_fences"] = with_clean(
         ANOMALY,
@@ -374,7 +375,7 @@ def validation_statements() -> dict[str, str]:
         "file_verdicts": w + "SELECT * FROM verdicts",
         "ingest_metrics": w + """SELECT count(*) FILTER (WHERE status = 'valid') AS files_processed,
             CAST(coalesce(sum(total_rows) FILTER (WHERE status = 'valid'), 0) AS BIGINT) AS valid_records,
-            round(coalesce(sum(file_bytes) FILTER (WHERE status = 'valid'), 0) / 1048576.0, 6) AS size_mb,
+            round(round(coalesce(sum(file_bytes) FILTER (WHERE status = 'valid'), 0) / 1048576.0, 9), 6) AS size_mb,
             count(*) FILTER (WHERE status = 'invalid') AS invalid_files
             FROM verdicts""",
         "route_valid": w + """SELECT event_id, file_id, event_type FROM dirty
