@@ -66,9 +66,14 @@ def gram_counts(learnable: DataFrame, most: int = 200_000) -> DataFrame:
             lang, gram, n = [], [], []
             for name, counter in runs.items():
                 total: Counter = Counter()
+                same: dict[int, list[str]] = {}  # runs by how often they came: most came once
                 for run, k in counter.items():
-                    for g in grams(run):
-                        total[g] += k
+                    same.setdefault(k, []).append(run)
+                for k, once in same.items():
+                    part = Counter(g for run in once for g in grams(run))
+                    for g in part:
+                        part[g] *= k
+                    total.update(part)
                 lang += [name] * len(total)
                 gram += total.keys()
                 n += total.values()
@@ -188,45 +193,70 @@ def learn(learnable: DataFrame, bits: int = BITS) -> Model:
 
 
 class Scorer:
-    """Cross-entropies of texts; keeps the sums of the letter runs it has seen."""
+    """Cross-entropies of texts. Keeps the log probabilities of the grams and the sums of the
+    letter runs that it has seen; both tables are emptied at a fixed size."""
 
-    def __init__(self, model: Model, most: int = 500_000):
+    def __init__(self, model: Model, most: int = 800_000):
         self.model, self.most = model, most
-        self._clear()
-
-    def _clear(self) -> None:
+        self.runs = _Rows(len(model.langs) + 1)  # sum by language; predicted characters
+        self.grams = _Rows(len(model.langs))
+
+    def entropies(self, texts: list[str]) -> list[np.ndarray | None]:
+        """Cross-entropy per language of each text; None without a letter."""
+        found = [letter_runs(t) for t in texts]
+        flat = [r for runs in found for r in runs]
+        if not flat:
+            return [None] * len(texts)
+        new = {r for r in flat if r not in self.runs.place}
+        if new:
+            if len(self.runs.place) + len(new) > self.most:
+                self.runs.clear()
+                new = set(flat)
+            self._add(list(new))
+        at = np.fromiter(map(self.runs.place.__getitem__, flat), dtype=np.int64, count=len(flat))
+        sizes = np.array([len(runs) for runs in found])
+        some = np.flatnonzero(sizes)
+        starts = np.concatenate([[0], np.cumsum(sizes[some])[:-1]])
+        sums = np.add.reduceat(self.runs.rows[at], starts)
+        out: list[np.ndarray | None] = [None] * len(texts)
+        for i, row in zip(some.tolist(), sums, strict=True):
+            out[i] = -row[:-1] / row[-1]
+        return out
+
+    def _add(self, runs: list[str], at_once: int = 50_000) -> None:
+        for start in range(0, len(runs), at_once):
+            part = runs[start:start + at_once]
+            lists = [grams(r) for r in part]
+            sizes = np.array([len(x) for x in lists])
+            flat = [g for x in lists for g in x]
+            new = list({g for g in flat if g not in self.grams.place})
+            if len(self.grams.place) + len(new) > self.most:
+                self.grams.clear()
+                new = list(set(flat))
+            if new:
+                self.grams.add(new, self.model.log_prob(new))
+            at = np.fromiter(map(self.grams.place.__getitem__, flat), dtype=np.int64, count=len(flat))
+            sums = np.add.reduceat(self.grams.rows[at], np.concatenate([[0], np.cumsum(sizes)[:-1]]))
+            self.runs.add(part, np.column_stack([sums, sizes]))
+
+
+class _Rows:
+    """Rows of numbers by name."""
+
+    def __init__(self, width: int):
+        self.width = width
+        self.clear()
+
+    def clear(self) -> None:
         self.place: dict[str, int] = {}
-        self.sums = np.zeros((1 << 12, len(self.model.langs)))
-        self.length = np.zeros(1 << 12, dtype=np.int64)
-
-    def entropy(self, text: str) -> tuple[np.ndarray, int] | None:
-        """(cross-entropy per language, predicted characters); None without a letter."""
-        runs = letter_runs(text)
-        if not runs:
-            return None
-        at = list(map(self.place.get, runs))
-        if None in at:
-            if len(self.place) + len(runs) > self.most:
-                self._clear()
-            self._add([r for r in dict.fromkeys(runs) if r not in self.place])
-            at = [self.place[r] for r in runs]
-        n = int(self.length[at].sum())
-        return -self.sums[at].sum(axis=0) / n, n
-
-    def _add(self, runs: list[str]) -> None:
-        lists = [grams(r) for r in runs]
-        sizes = np.array([len(x) for x in lists])
-        flat = [g for x in lists for g in x]
-        distinct = {g: i for i, g in enumerate(dict.fromkeys(flat))}
-        logs = self.model.log_prob(list(distinct))
-        sums = np.add.reduceat(logs[[distinct[g] for g in flat]], np.concatenate([[0], np.cumsum(sizes)[:-1]]))
+        self.rows = np.zeros((1 << 12, self.width))
+
+    def add(self, names: list[str], values: np.ndarray) -> None:
         first = len(self.place)
-        while first + len(runs) > len(self.sums):
-            self.sums = np.concatenate([self.sums, np.zeros_like(self.sums)])
-            self.length = np.concatenate([self.length, np.zeros_like(self.length)])
-        self.sums[first:first + len(runs)] = sums
-        self.length[first:first + len(runs)] = sizes
-        self.place.update((r, first + i) for i, r in enumerate(runs))
+        while first + len(names) > len(self.rows):
+            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+        self.rows[first:first + len(names)] = values
+        self.place.update(zip(names, range(first, first + len(names)), strict=True))
 
 
 _SCORERS: dict[str, Scorer] = {}
@@ -240,6 +270,18 @@ def _scorer(key: str, model: Model) -> Scorer:
     return _SCORERS[key]
 
 
+def _scored(scorer: Scorer, texts: pa.Array, most: int = 4_000_000) -> Iterator[np.ndarray | None]:
+    """Cross-entropies of each text, in groups of about ``most`` characters."""
+    group, size = [], 0
+    for t in texts:
+        group.append(t.as_py())
+        size += len(group[-1])
+        if size >= most:
+            yield from scorer.entropies(group)
+            group, size = [], 0
+    yield from scorer.entropies(group)
+
+
 def identify(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
     folds: int = 3, held_fold: int = 1, bits: int = BITS,
@@ -261,14 +303,12 @@ def identify(
         scorer = _scorer(key, shared.value)
         for b in batches:
             pred, score, entropy = [], [], []
-            for t in b.column("text"):
-                found = scorer.entropy(t.as_py()) if langs else None
-                if found is None:
+            for h in _scored(scorer, b.column("text")):
+                if h is None or not langs:
                     pred.append("und")
                     score.append(0.0)
                     entropy.append(None)
                     continue
-                h = found[0]
                 best = int(np.argmin(h))
                 pred.append(langs[best])
                 score.append(float(1.0 / np.exp(h[best] - h).sum()))
