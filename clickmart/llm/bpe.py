@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -81,16 +82,8 @@ class Automaton:
         self.arc_from[w] = (u, rank)
         self.token[self.label[w]] = w
 
-    def has_arc(self, s: int, t: int) -> bool:
-        """May t follow s?"""
-        known = self.arc.get((s, t))
-        if known is None:
-            if len(self.arc) > 2_000_000:
-                self.arc.clear()
-            known = self.arc[s, t] = self._walk(s, t)
-        return known
-
     def _walk(self, s: int, t: int) -> bool:
+        """May t follow s?"""
         built = []  # t and what its arcs were built on, with the rank of building
         a, limit = t, NEVER
         while True:
@@ -110,22 +103,48 @@ class Automaton:
 
     def encode(self, word: bytes) -> list[int]:
         """The accepted path that spells ``word``."""
-        n = len(word)
-        last = [-1] * (n + 1)  # last token of the path of each prefix
-        token = self.token
-        for end in range(1, n + 1):
-            for start in range(max(0, end - self.longest), end):
-                t = token.get(word[start:end])
-                if t is not None and (start == 0 or (last[start] >= 0 and self.has_arc(last[start], t))):
-                    last[end] = t
+        return self.encode_sorted([word])[0]
+
+    def encode_sorted(self, words: list[bytes]) -> list[list[int]]:
+        """The paths of many words. Neighbours that share a prefix share its run through the
+        automaton, so sorted words cost little more than their new endings."""
+        token, label, longest, arc, walk = self.token, self.label, self.longest, self.arc, self._walk
+        last, before, out = [-1], b"", []  # last token of the path of each prefix
+        for word in words:
+            n = len(word)
+            same, most = 0, min(n, len(before))
+            while same < most and word[same] == before[same]:
+                same += 1
+            before = word
+            del last[same + 1:]
+            for end in range(same + 1, n + 1):
+                found = -1
+                for start in range(end - longest if end > longest else 0, end):
+                    t = token.get(word[start:end])
+                    if t is None:
+                        continue
+                    if start:
+                        s = last[start]
+                        if s < 0:
+                            continue
+                        known = arc.get((s, t))
+                        if known is None:
+                            if len(arc) > 2_000_000:
+                                arc.clear()
+                            known = arc[s, t] = walk(s, t)
+                        if not known:
+                            continue
+                    found = t
                     break
-        path = []
-        while n:
-            if last[n] < 0:
-                raise ValueError("the vocabulary has no path for these bytes")
-            path.append(last[n])
-            n -= len(self.label[last[n]])
-        return path[::-1]
+                last.append(found)
+            path = []
+            while n:
+                if last[n] < 0:
+                    raise ValueError("the vocabulary has no path for these bytes")
+                path.append(last[n])
+                n -= len(label[last[n]])
+            out.append(path[::-1])
+        return out
 
 
 class Codec:
@@ -145,27 +164,36 @@ class Codec:
         self.kept: dict[str, bytes] = {}  # word -> ids, as little-endian 32-bit numbers
 
     def encode(self, text: str) -> list[int]:
-        if self.cut is None or not any(s in text for s in self.special):
-            return self._plain(text)
-        out: list[int] = []
-        for part in self.cut.split(text):
-            out += [self.special[part]] if part in self.special else self._plain(part)
+        return self.encode_many([text])[0]
+
+    def encode_many(self, texts: list[str]) -> list[list[int]]:
+        parts, of = [], []  # plain parts and special tokens, in order, and their texts
+        for i, text in enumerate(texts):
+            if self.cut is None or not any(s in text for s in self.special):
+                parts.append(self.words.findall(text))
+                of.append(i)
+                continue
+            for part in self.cut.split(text):
+                parts.append([part] if part in self.special else self.words.findall(part))
+                of.append(i)
+        kept = self.kept
+        new = {w for ws in parts for w in ws if w not in kept}
+        if new:
+            if len(kept) + len(new) > self.most:
+                kept.clear()
+                new = {w for ws in parts for w in ws}
+            self._learn(new)
+        out: list[list[int]] = [[] for _ in texts]
+        for i, ws in zip(of, parts, strict=True):
+            out[i] += np.frombuffer(b"".join([kept[w] for w in ws]), dtype="<u4").tolist()
         return out
 
-    def _plain(self, text: str) -> list[int]:
-        found = self.words.findall(text)
-        out = list(map(self.kept.get, found))
-        if None in out:
-            out = [self._word(w) if ids is None else ids for w, ids in zip(found, out, strict=True)]
-        return np.frombuffer(b"".join(out), dtype="<u4").tolist()
-
-    def _word(self, w: str) -> bytes:
-        ids = self.kept.get(w)
-        if ids is None:
-            if len(self.kept) >= self.most:
-                self.kept.clear()
-            ids = self.kept[w] = np.array(self.automaton.encode(w.encode("utf-8")), dtype="<u4").tobytes()
-        return ids
+    def _learn(self, words: set[str]) -> None:
+        for w in words & self.special.keys():
+            self.kept[w] = np.array([self.special[w]], dtype="<u4").tobytes()
+        plain = sorted((w.encode("utf-8"), w) for w in words - self.special.keys())
+        for (_, w), ids in zip(plain, self.automaton.encode_sorted([raw for raw, _ in plain]), strict=True):
+            self.kept[w] = array("I", ids).tobytes()
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.label.__getitem__, ids)).decode("utf-8", "replace")
@@ -177,6 +205,18 @@ def codec_of(path: str) -> Codec:
     return Codec(path)
 
 
+def _encoded(codec: Codec, texts: pa.Array, most: int = 4_000_000) -> Iterator[list[int]]:
+    """Ids of each text, encoded together in groups of about ``most`` characters."""
+    group, size = [], 0
+    for t in texts:
+        group.append(t.as_py())
+        size += len(group[-1])
+        if size >= most:
+            yield from codec.encode_many(group)
+            group, size = [], 0
+    yield from codec.encode_many(group)
+
+
 def encode_decode(
     docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text",
     digests: bool = False,
@@ -197,8 +237,7 @@ def encode_decode(
         names: dict[int, str] = {i: str(i) for i in codec.label}
         for b in batches:
             out = []
-            for text in b.column("text"):
-                ids = codec.encode(text.as_py())
+            for ids in _encoded(codec, b.column("text")):
                 decoded = codec.decode(ids)
                 if digests:
                     joined = ",".join(map(names.__getitem__, ids))
