@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickmart.llm.common import stored
+from clickmart.session import clear_scratch, scratch_mark
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -40,10 +41,12 @@ def components(edges: DataFrame) -> DataFrame:
     themselves; root is the smallest node of the component. Loops, repeats and both
     directions of an edge are allowed; no edges give no rows."""
     edges = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct()
+    spark, mark = edges.sparkSession, scratch_mark(edges.sparkSession)
     edges = stored(edges, "llm-edges")
     last = _fingerprint(edges)
     while last[0]:
         edges = stored(_star(_star(edges, large=True), large=False), "llm-edges")
+        clear_scratch(spark, mark, keep_last=True)  # the round before
         now = _fingerprint(edges)
         if now == last:
             break

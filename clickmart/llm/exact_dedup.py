@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickmart.llm.common import FILE, LOCATOR, ROW, plain_text, stored, with_locator
-from clickmart.session import scratch_dir
+from clickmart.session import clear_scratch, scratch_dir, scratch_mark
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_CONF = {
@@ -83,6 +83,7 @@ def exact_dedup(
     spark = docs.sparkSession
     base = with_locator(docs)
     texts = base.select(*LOCATOR, plain_text(text_col).alias("text"))
+    mark = scratch_mark(spark)
     path = f"{scratch_dir(spark, 'llm-exact-intake')}/rows"
     base.select(F.col(id_col).alias("id"), *LOCATOR, digest(plain_text(text_col)).alias("digest")).write.parquet(path)
     intake_schema = base.select(F.col(id_col).alias("id"), *LOCATOR, F.lit(b"").alias("digest")).schema
@@ -94,6 +95,7 @@ def exact_dedup(
     state = _state_stream(intake, path, max_files_per_trigger)
     held = F.col(f"holder.{FILE}").eqNullSafe(F.col(FILE)) & F.col(f"holder.{ROW}").eqNullSafe(F.col(ROW))
     rows = stored(intake.join(state, "digest").withColumn("kept", held), "llm-exact-rows")
+    clear_scratch(spark, mark, keep_last=True)  # the intake and the state, now in the rows
 
     # Hits: rows that share a digest. Only their texts are compared.
     shared = texts.join(rows.where("n > 1").select("digest", "kept", *LOCATOR), list(LOCATOR))

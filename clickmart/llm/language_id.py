@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickmart.llm.common import crc_mod, plain_text, stored
+from clickmart.session import clear_scratch, scratch_mark
 
 ORDER, BITS = 4, 18
 START, END = "\x02", "\x03"
@@ -150,6 +151,8 @@ def _look(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarra
 
 def learn(learnable: DataFrame, bits: int = BITS) -> Model:
     """The model of the languages of ``learnable`` (lang, text; no nulls)."""
+    spark = learnable.sparkSession
+    mark = scratch_mark(spark)
     counts = stored(gram_counts(learnable), "llm-grams")
     orders = [stored(o, "llm-grams") if i else o for i, o in enumerate(_orders(counts))][::-1]
     tables, figures = [], []
@@ -167,6 +170,7 @@ def learn(learnable: DataFrame, bits: int = BITS) -> Model:
         rows = rows.unionByName(t)
     # at most 2 * ORDER * 2**bits rows per language
     found = rows.toArrow().to_pandas()
+    clear_scratch(spark, mark)
     langs = sorted(found["lang"].unique())
     model = Model(langs, bits)
     column = {name: i for i, name in enumerate(langs)}

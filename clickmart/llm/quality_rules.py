@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickmart.llm.common import crc_mod, let, plain_text, stored
+from clickmart.session import clear_scratch, scratch_mark
 
 SPACE = "[\\x20\\x09-\\x0D]+"
 WORD = "[^\\x20\\x09-\\x0D]"
@@ -173,6 +174,13 @@ class _Counts:
 
 def learn(stats: DataFrame, labels: DataFrame, folds: int = 3) -> list[Rule]:
     """The ordered rules for bad documents from ``stats`` and ``labels`` (doc_id, quality)."""
+    mark = scratch_mark(stats.sparkSession)
+    rules = _learn(stats, labels, folds)
+    clear_scratch(stats.sparkSession, mark)
+    return rules
+
+
+def _learn(stats: DataFrame, labels: DataFrame, folds: int) -> list[Rule]:
     known = labels.select(F.col("doc_id").alias("id"), F.col("quality").alias("y")).where("id is not null and y in (0, 1)")
     rows = stats.where(~base_failed()).join(known, "id").select(
         (F.col("y") == 0).alias("bad"), (crc_mod("id", folds) != 0).alias("grow"),
