@@ -15,8 +15,8 @@ Training runs Adam for a fixed number of steps with a fixed seed.
 
 Defined results: null and empty texts are one empty chunk and get that chunk's score; with
 no labelled row the network is untrained and scores the prior, 0.5; rows with a null id can't
-match a label; repeated labels count as often as they come; repeated rows get equal scores;
-an empty table gives an empty result.
+match a label; repeated labels, and labelled rows with a repeated id, count once (the smallest
+text); repeated rows get equal scores; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -166,10 +166,12 @@ def training_rows(
 ) -> tuple[list[bytes], np.ndarray]:
     known = labels.select(F.col(id_col).alias("id"), F.col("quality").cast("int").alias("y"))
     known = known.where(F.col("y").isin(0, 1) & (crc_mod("id", folds) != held_fold))
-    known = known.orderBy(F.xxhash64("id", "y"), "id", "y").limit(most_rows)
+    known = known.distinct().orderBy(F.xxhash64("id", "y"), "id", "y").limit(most_rows)
     rows = docs.select(F.col(id_col).alias("id"), F.substring(
         plain_text(text_col).cast("binary"), 1, most_bytes).alias("raw"))
-    found = rows.join(F.broadcast(known), "id").select("id", "y", "raw").toArrow().sort_by([("id", "ascending"), ("y", "ascending"), ("raw", "ascending")])
+    # one row for each label, also where an id is repeated: at most most_rows * most_bytes
+    found = rows.join(F.broadcast(known), "id").groupBy("id", "y").agg(F.min("raw").alias("raw"))
+    found = found.toArrow().sort_by([("id", "ascending"), ("y", "ascending")])
     return [bytes(x) for x in found.column("raw").to_pylist()], np.array(found.column("y").to_pylist(), dtype=np.int64)
 
 
