@@ -213,32 +213,3 @@ def file_id_from_path(path: Column) -> Column:
     d = F.regexp_extract(path, m, 3).cast("int")
     et = F.regexp_extract(path, r"event_type=([^/]+)/", 1)
     return F.concat(et, F.lit("/"), F.format_string("%04d-%02d-%02d", y, mo, d))
-
-
-def write_canon_csv(canon: DataFrame, path: str) -> None:
-    """Stage canonical events as raw CSV: per event type only that type's columns (so
-    each type has its own header), one file per (day, type), rows in event order."""
-    from clickmart.schema import RAW_COLUMNS
-
-    keys = ["year", "month", "day", "event_type"]
-    dated = canon.select(
-        "*",
-        F.year("timestamp").alias("year"), F.month("timestamp").alias("month"),
-        F.dayofmonth("timestamp").alias("day"),
-        F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss").alias("__ts"),
-    )
-    for et, cols in RAW_COLUMNS.items():
-        present = [
-            (F.col("__ts") if c == "timestamp" else F.col(c)).alias(c)
-            for c in cols if c == "timestamp" or c in canon.columns
-        ]
-        part = dated.where(F.col("event_type") == et).select(*keys, "event_id", *present)
-        (
-            part.repartition(*keys)
-            .sortWithinPartitions(*keys, "event_id")
-            .drop("event_id")
-            .write.mode("append")
-            .option("header", True)
-            .partitionBy(*keys)
-            .csv(path)
-        )
