@@ -1,16 +1,16 @@
-"""Line dedup (operator 2): winnowing over line hashes.
+"""Line dedup (operator 2): repeated windows of line hashes.
 
-The lines of a text that hold a word are hashed in order. In every window of ``window``
-hashes the smallest one is selected (the last of equals), so two documents that share a run
-of ``window`` lines or more select the same hash in it: the fingerprints are guaranteed.
-Each fingerprint is joined with its first occurrence (smallest id, then locator, then line).
-The match is extended both ways along the two sequences of hashes, as far as the lines
-agree, and the later run is deleted if it has ``window`` lines or more. A deleted line
-thus always has an equal line in an earlier place, and the first occurrence stays.
+The lines of a text that hold a word are hashed in order. Every run of ``window`` lines in a
+row is keyed by all its hashes and joined with the first place of that key (smallest id, then
+locator, then line). The lines of every later place go. So exactly the lines go that belong
+to ``window`` lines or more in a row which stand, as such a run, in an earlier place; longer
+runs are the union of their windows, so nothing has to be extended. A deleted line always has
+an equal line in an earlier place, and the first occurrence stays.
 
-Matches that lie on the same diagonal of the same two documents are one seed, so a pair of
-copies is extended once. A fingerprint with many occurrences gives one match for each, not
-one for each pair; copies that point at one document are split by Spark's skew join.
+Windows aren't thinned out by winnowing: a fingerprint of one line leads to that line's first
+occurrence, which may have other neighbours than the earlier copy of the run. A window with
+many occurrences gives one match for each, not one for each pair; Spark's skew join splits
+them.
 
 Defined results: null counts as empty; lines without a word are never compared or deleted;
 texts shorter than a window of lines come back unchanged; single repeated lines stay;
@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickmart.llm.common import FILE, LOCATOR, ROW, let, plain_text, stored, with_locator
+from clickmart.llm.common import LOCATOR, let, plain_text, stored, with_locator
 
 WINDOW = 2
 WORD = "[^\\x20\\x09-\\x0D]"
@@ -42,28 +42,13 @@ def _sequences(base: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.select("id", *LOCATOR, F.col("kept.h").alias("hashes"), F.col("kept.i").alias("at"))
 
 
-def _selected(hashes: Column, window: int) -> Column:
-    """Places of the window minima, each once."""
-    last = F.size(hashes) - F.lit(window)
+def _windows(window: int) -> Column:
+    """The runs of ``window`` lines: place, ``key`` (their hashes) and ``lines`` (their numbers)."""
+    last = F.size("hashes") - F.lit(window)
     starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-
-    def least(i: Column) -> Column:
-        entries = [F.struct(F.get(hashes, i + k).alias("h"), (-(i + k)).alias("back")) for k in range(window)]
-        return F.least(*entries) if window > 1 else entries[0]
-
-    return F.array_distinct(F.transform(starts, lambda i: -least(i)["back"]))
-
-
-def _agree(a: Column, b: Column) -> Column:
-    """How many leading elements of the arrays are equal."""
-    n = F.least(F.size(a), F.size(b))
-    same = F.zip_with(F.slice(a, F.lit(1), n), F.slice(b, F.lit(1), n), lambda x, y: x == y)
-    return let(same, lambda s: F.when(F.array_contains(s, False), F.array_position(s, False) - 1).otherwise(F.size(s)))
-
-
-def _tail(a: Column, start: Column) -> Column:
-    """Elements from ``start`` (0-based) on."""
-    return F.slice(a, start + 1, F.greatest(F.size(a) - start, F.lit(0)))
+    return F.transform(starts, lambda i: F.struct(
+        i.alias("pos"), F.slice("hashes", i + 1, F.lit(window)).alias("key"),
+        F.slice("at", i + 1, F.lit(window)).alias("lines")))
 
 
 def repeated_lines(
@@ -71,31 +56,14 @@ def repeated_lines(
 ) -> DataFrame:
     """(locator, ``lines``): numbers of the lines of a document that belong to repeated runs."""
     seqs = stored(_sequences(with_locator(docs), id_col, text_col), "llm-lines")
-    marks = seqs.select(F.col("id").isNull().alias("none"), "id", *LOCATOR, F.explode(_selected(F.col("hashes"), window)).alias("pos"),
-                        "hashes").select("none", "id", *LOCATOR, "pos", F.get("hashes", F.col("pos")).alias("h"))
-    firsts = marks.groupBy("h").agg(
+    marks = seqs.select(F.col("id").isNull().alias("none"), "id", *LOCATOR, F.explode(_windows(window)).alias("w"))
+    marks = marks.select("none", "id", *LOCATOR, "w.*")
+    firsts = marks.groupBy("key").agg(
         F.min(F.struct("none", "id", *LOCATOR, "pos")).alias("first"), F.count(F.lit(1)).alias("n")
-    ).where("n > 1")
-    matches = marks.join(firsts, "h").where(
-        ~F.struct("none", "id", *LOCATOR, "pos").eqNullSafe(F.col("first"))
-    ).select(
-        *LOCATOR, F.col(f"first.{FILE}").alias("from_file"), F.col(f"first.{ROW}").alias("from_row"),
-        (F.col("pos") - F.col("first.pos")).alias("shift"), "pos",
-    )
-    seeds = matches.groupBy(*LOCATOR, "from_file", "from_row", "shift").agg(
-        F.collect_set("pos").alias("seeds"))
-    mine = seqs.select(*LOCATOR, F.col("hashes").alias("a"), "at")
-    theirs = seqs.select(F.col(FILE).alias("from_file"), F.col(ROW).alias("from_row"), F.col("hashes").alias("b"))
-    pairs = seeds.join(mine, list(LOCATOR)).join(theirs, ["from_file", "from_row"])
-    pairs = pairs.select(*LOCATOR, "a", "at", "b", "shift", F.explode("seeds").alias("pos"))
-    there = F.col("pos") - F.col("shift")
-    right = _agree(_tail(F.col("a"), F.col("pos")), _tail(F.col("b"), there))
-    left = _agree(F.reverse(F.slice("a", F.lit(1), F.col("pos"))), F.reverse(F.slice("b", F.lit(1), there)))
-    runs = pairs.select(*LOCATOR, "at", (F.col("pos") - left).cast("int").alias("start"),
-                        (F.col("pos") + right).cast("int").alias("end"))
-    runs = runs.where(F.col("end") - F.col("start") >= window)
-    lines = runs.select(*LOCATOR, F.slice("at", F.col("start") + 1, F.col("end") - F.col("start")).alias("lines"))
-    return lines.groupBy(*LOCATOR).agg(F.array_distinct(F.flatten(F.collect_set("lines"))).alias("lines"))
+    ).where("n > 1").select("key", "first")
+    later = marks.join(firsts, "key").where(
+        ~F.struct(*LOCATOR, "pos").eqNullSafe(F.struct(*[F.col(f"first.{c}").alias(c) for c in (*LOCATOR, "pos")])))
+    return later.groupBy(*LOCATOR).agg(F.array_distinct(F.flatten(F.collect_list("lines"))).alias("lines"))
 
 
 def line_dedup(

@@ -74,3 +74,37 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert line_dedup.line_dedup(no_docs).count() == 0
     eleven = out.where("doc_id = 11").first()
     assert eleven["text"].split("\n")[:3] == ["a", "b", "c"] and eleven["n_removed_lines"] == 4
+
+
+def seen_earlier(rows, window=2):
+    """(id, lines removed, text left) by the plain rule: lines of any ``window`` lines in a row
+    that stand in an earlier place. rows: (id, text) in the order in which earlier counts."""
+    seen, out = set(), []
+    for i, t in rows:
+        lines, gone = (t or "").split("\n"), set()
+        at = [k for k, s in enumerate(lines) if WORD.search(s)]
+        for k in range(len(at) - window + 1):
+            key = tuple(lines[x] for x in at[k:k + window])
+            gone.update(at[k:k + window] if key in seen else ())
+            seen.add(key)
+        out.append((i, len(gone), "\n".join(s for k, s in enumerate(lines) if k not in gone) if gone else t))
+    return out
+
+
+def test_frequent_lines_hide_no_repeated_run(spark):
+    """Each line first occurs among other neighbours, so one line's first place never shows the run."""
+    names = [f"line {c}" for c in "abcdefgh"]
+    rows = [(i, f"{n}\nonly {i}") for i, n in enumerate(names)]
+    pairs = [(a, b) for a in names for b in names if a != b]
+    rows += [(100 + i, f"head {i}\n{a}\n{b}\ntail {i}") for i, (a, b) in enumerate(pairs + pairs)]
+    out = line_dedup.line_dedup(documents_frame(spark, [(i, t, "en", "s") for i, t in rows])).collect()
+    want = seen_earlier(rows)
+    assert sorted((r["doc_id"], r["n_removed_lines"], r["text"]) for r in out) == want
+    assert sum(n for _, n, _ in want) == 2 * len(pairs)
+
+
+def test_query_removes_every_window_seen_earlier(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text").toPandas().sort_values("doc_id")
+    want = seen_earlier([(int(i), t) for i, t in zip(docs.doc_id, docs.text, strict=True)])
+    out = registry()["op2_line_dedup"](spark, "/root/testdata/sf0.1").collect()
+    assert sorted((r["doc_id"], r["n_removed_lines"], r["text"]) for r in out) == want
