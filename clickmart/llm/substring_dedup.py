@@ -1,17 +1,29 @@
-"""Substring dedup (operator 3): content-defined chunks by a gear rolling hash.
+"""Substring dedup (operator 3): content-defined pieces by a gear rolling hash.
 
-A gear hash over the UTF-8 bytes cuts each text wherever the hash of the last 16 bytes falls
-under a threshold (one byte in ``average``), and after ``longest`` bytes without a cut. Cuts
-depend on the bytes just before them alone, so an insertion moves no cut but the ones beside
-it, and a shared passage has the same chunks in every document. Chunks are deduplicated by
-digest: the first occurrence (smallest id, then locator, then place) stays.
+Two kinds of pieces are taken from the UTF-8 bytes of a text, both by a gear hash of the last
+16 bytes, and deduplicated by digest: the first occurrence (smallest id, then locator, then
+place) stays.
 
-A repeated chunk goes only as part of a run: repeated chunks in a row of at least ``least``
-bytes together. Chunks that meet by chance, such as common phrases, stay.
+*Chunks.* Cuts fall wherever the hash is under a threshold (one byte in ``average``), and
+after ``longest`` bytes without a cut. They depend on the bytes just before them alone, so an
+insertion moves no cut but the ones beside it, and texts that are equal as a whole have the
+same chunks.
+
+*Windows.* Winnowing: of any ``2 * average - 1`` hashes in a row the smallest (the last of
+equals) is an anchor, and the ``least + 6`` bytes around an anchor are a window, with one digest
+for all its bytes. So every passage of ``least + 2 * average + 4`` bytes (180) that stands in an
+earlier place has a window that is repeated as such, whichever place is its first, and
+the windows of a longer passage overlap: of a repeated passage less than ``least`` bytes stay
+at each end (at most 81; none where chunks end there too). Windows are trimmed to character
+borders, which the 6 bytes allow for.
+
+Later pieces that touch or overlap are one run; runs of at least ``least`` bytes go. Chunks
+that meet by chance, such as common phrases, stay. Windows that a text repeats within itself
+are found in the text, and only the first of them is compared with other texts.
 
 Two passes over the texts. The first counts digests (partial aggregate, then one row for
 each digest) and turns those seen twice into a bitmap of ``2**bits`` bits, the only thing that
-is broadcast: 2 MB at 24 bits, whatever the input. The second emits only chunks whose bit is
+is broadcast: 2 MB at 24 bits, whatever the input. The second emits only pieces whose bit is
 set (too many, if the bitmap fills up, but never too few) and finds first occurrences and
 runs exactly, by joins on the digest and the locator.
 
@@ -34,6 +46,7 @@ from pyspark.sql import types as T
 from clickmart.llm.common import LOCATOR, plain_text, stored, with_locator
 
 AVERAGE, LONGEST, LEAST, BITS = 40, 512, 96, 24
+GRAM, TRIM = 16, 6  # bytes that a hash covers; bytes that trimming to characters may take
 WORD = 1 << 15  # bits of one bitmap row
 
 
@@ -48,17 +61,25 @@ def gear_table() -> np.ndarray:
 GEAR = gear_table()
 
 
-def chunk_ends(raw: bytes, average: int = AVERAGE, longest: int = LONGEST) -> np.ndarray:
+def rolled(data: np.ndarray) -> np.ndarray:
+    """The rolling hash after each byte."""
+    # h = (h << 1) + GEAR[byte] in 16 bits is the sum over the last 16 bytes of GEAR << age;
+    # doubling the span four times gives it for all places at once.
+    h = GEAR[data]
+    for span in (1, 2, 4, 8):
+        h = h + np.concatenate([np.zeros(min(span, len(h)), np.uint16), h[:-span] << np.uint16(span)])
+    return h
+
+
+def chunk_ends(
+    raw: bytes, average: int = AVERAGE, longest: int = LONGEST, h: np.ndarray | None = None
+) -> np.ndarray:
     """Ends of the chunks of ``raw``; the last is its length. None for empty texts."""
     n = len(raw)
     if not n:
         return np.zeros(0, dtype=np.int64)
     data = np.frombuffer(raw, dtype=np.uint8)
-    # The rolling hash h = (h << 1) + GEAR[byte] in 16 bits is the sum over the last 16
-    # bytes of GEAR << age; doubling the span four times gives it for all places at once.
-    h = GEAR[data]
-    for span in (1, 2, 4, 8):
-        h = h + np.concatenate([np.zeros(min(span, n), np.uint16), h[:-span] << np.uint16(span)])
+    h = rolled(data) if h is None else h
     ends = np.flatnonzero(h < 65536 // average) + 1
     # A cut must not part a character: move it to the next first byte.
     first = (data & 0xC0) != 0x80
@@ -88,8 +109,45 @@ def digests(raw: bytes, ends: np.ndarray) -> np.ndarray:
     return np.array(out, dtype=np.uint64).view(np.int64)
 
 
-def _repeated_bitmap(rows: DataFrame, average: int, longest: int, bits: int) -> np.ndarray:
-    """Bitmap over the low ``bits`` bits of all digests that occur twice or more."""
+def window_starts(h: np.ndarray, average: int = AVERAGE, least: int = LEAST) -> np.ndarray:
+    """Starts of the windows, ``least + TRIM`` bytes each, of a text with the hashes ``h``."""
+    n, width, wide = len(h), 2 * average - 1, least + TRIM
+    if n < wide + width - 1:
+        return np.zeros(0, dtype=np.int64)
+    # Smallest hash, then last place, of ``width`` places in a row; only whole grams count.
+    low = (h[GRAM - 1:].astype(np.int64) << 40) + np.arange(n - GRAM + 1, 0, -1)
+    span = 1
+    while 2 * span <= width:
+        low = np.minimum(low[:-span], low[span:])
+        span *= 2
+    if span < width:
+        low = np.minimum(low[:span - width], low[width - span:])
+    at = n - (low & ((1 << 40) - 1))  # last byte of the anchor; never falls
+    starts = at[np.flatnonzero(np.diff(at, prepend=-1))] - (GRAM - 1) - (wide - GRAM) // 2
+    return starts[(starts >= 0) & (starts + wide <= n)]
+
+
+def windows(raw: bytes, h: np.ndarray, average: int, least: int) -> tuple[np.ndarray, ...]:
+    """(start, end, digest) of the windows, trimmed to character borders; whether the text
+    holds the same window before."""
+    import xxhash
+
+    starts, wide = window_starts(h, average, least), least + TRIM
+    d = np.array([xxhash.xxh3_64_intdigest(raw[s:s + wide]) for s in starts.tolist()], dtype=np.uint64).view(np.int64)
+    again = np.ones(len(d), dtype=bool)
+    again[np.unique(d, return_index=True)[1]] = False
+    ends = starts + wide
+    if not raw.isascii():
+        first = np.append((np.frombuffer(raw, dtype=np.uint8) & 0xC0) != 0x80, True)
+        borders = np.flatnonzero(first)
+        starts = borders[np.searchsorted(borders, starts)]
+        ends = borders[np.searchsorted(borders, ends, "right") - 1]
+    return starts, ends, d, again
+
+
+def _repeated_bitmap(rows: DataFrame, average: int, longest: int, bits: int, least: int | None = None) -> np.ndarray:
+    """Bitmap over the low ``bits`` bits of all digests that occur twice or more (of chunks,
+    and of windows if ``least`` is given)."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -97,7 +155,11 @@ def _repeated_bitmap(rows: DataFrame, average: int, longest: int, bits: int) ->
                 out = [np.zeros(0, np.int64)]
                 for t in b.column("text").slice(*piece):
                     raw = t.as_py().encode("utf-8")
-                    out.append(digests(raw, chunk_ends(raw, average, longest)))
+                    h = rolled(np.frombuffer(raw, dtype=np.uint8))
+                    out.append(digests(raw, chunk_ends(raw, average, longest, h)))
+                    if least is not None:
+                        _, _, d, again = windows(raw, h, average, least)
+                        out.append(d[~again])
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out))], names=["digest"])
 
     seen = rows.select("text").mapInArrow(of, "digest long")
@@ -121,50 +183,59 @@ def repeated_runs(
     docs: DataFrame, average: int = AVERAGE, longest: int = LONGEST, least: int = LEAST, bits: int = BITS,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """(locator, ``start``, ``end``, ``chunks``): byte ranges that repeat earlier text."""
+    """(locator, ``start``, ``end``, ``pieces``): byte ranges that repeat earlier text."""
     if bits < 15:
         raise ValueError("bits must be 15 or more")
     spark = docs.sparkSession
     rows = with_locator(docs).select(F.col(id_col).alias("id"), *LOCATOR, plain_text(text_col).alias("text"))
-    bitmap = spark.sparkContext.broadcast(_repeated_bitmap(rows, average, longest, bits))
+    bitmap = spark.sparkContext.broadcast(_repeated_bitmap(rows, average, longest, bits, least))
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags = bitmap.value
         for b in batches:
-            who, start, end, digest = [np.zeros(0, np.int64)], [], [], []
+            who, start, end, digest, own = [np.zeros(0, np.int64)], [], [], [], [np.zeros(0, bool)]
             for i, t in enumerate(b.column("text")):
                 raw = t.as_py().encode("utf-8")
-                ends = chunk_ends(raw, average, longest)
-                d = digests(raw, ends)
+                h = rolled(np.frombuffer(raw, dtype=np.uint8))
+                ends = chunk_ends(raw, average, longest, h)
+                w_start, w_end, w_digest, again = windows(raw, h, average, least)
+                d = np.concatenate([digests(raw, ends), w_digest])
+                local = np.concatenate([np.zeros(len(ends), bool), again])
                 p = d & ((1 << bits) - 1)
-                hit = np.flatnonzero(flags[p >> 3] >> (p & 7).astype(np.uint8) & 1)
+                hit = np.flatnonzero(local | (flags[p >> 3] >> (p & 7).astype(np.uint8) & 1).astype(bool))
                 who.append(np.full(len(hit), i, np.int64))
-                start.append(np.concatenate([[0], ends[:-1]])[hit].astype(np.int64) if len(hit) else hit)
-                end.append(ends[hit])
+                start.append(np.concatenate([np.zeros(min(1, len(ends)), np.int64), ends[:-1], w_start])[hit])
+                end.append(np.concatenate([ends, w_end])[hit])
                 digest.append(d[hit])
+                own.append(local[hit])
             at = pa.array(np.concatenate(who))
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(c).take(at) for c in ("id", *LOCATOR)),
-                 *(pa.array(np.concatenate([np.zeros(0, np.int64), *x]).astype(np.int64)) for x in (start, end, digest))],
-                names=["id", *LOCATOR, "start", "end", "digest"],
+                 *(pa.array(np.concatenate([np.zeros(0, np.int64), *x]).astype(np.int64)) for x in (start, end, digest)),
+                 pa.array(np.concatenate(own))],
+                names=["id", *LOCATOR, "start", "end", "digest", "local"],
             )
 
     schema = T.StructType([
         *rows.select("id", *LOCATOR).schema.fields,
         *[T.StructField(c, T.LongType()) for c in ("start", "end", "digest")],
+        T.StructField("local", T.BooleanType()),
     ])
-    chunks = stored(rows.mapInArrow(of, schema), "llm-chunks")
+    found = stored(rows.mapInArrow(of, schema), "llm-chunks")
+    chunks = found.where("not local")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", *LOCATOR, "start"))
     firsts = chunks.groupBy("digest").agg(first.alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     place = F.struct(*LOCATOR, "start")
     later = chunks.join(firsts, "digest").where(
         ~place.eqNullSafe(F.struct(*[F.col(f"first.{c}").alias(c) for c in (*LOCATOR, "start")]))
     ).select(*LOCATOR, "start", "end")
-    w = Window.partitionBy(*LOCATOR).orderBy("start")
-    broken = F.when(F.lag("end").over(w) == F.col("start"), 0).otherwise(1)
+    later = later.union(found.where("local").select(*LOCATOR, "start", "end"))
+    w = Window.partitionBy(*LOCATOR).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy(*LOCATOR).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    broken = F.when(F.max("end").over(before) >= F.col("start"), 0).otherwise(1)
     runs = later.withColumn("new", broken).withColumn("run", F.sum("new").over(w))
     return runs.groupBy(*LOCATOR, "run").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), F.count(F.lit(1)).alias("chunks")
+        F.min("start").alias("start"), F.max("end").alias("end"), F.count(F.lit(1)).alias("pieces")
     ).where(F.col("end") - F.col("start") >= least).drop("run")
 
 

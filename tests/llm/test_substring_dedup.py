@@ -132,3 +132,70 @@ def test_bitmap_holds_all_repeated_digests(spark):
             p = d & ((1 << bits) - 1)
             assert flags[p >> 3] >> (p & 7) & 1
     assert np.unpackbits(flags).sum() <= sum(n > 1 for n in seen.values())
+
+
+def repeated_windows(texts, words=50):
+    """How many windows of words stand in two texts or more."""
+    where, twice = {}, set()
+    for i, text in enumerate(texts):
+        ws = (text or "").split()
+        for k in range(len(ws) - words + 1):
+            key = hash(tuple(ws[k:k + words]))
+            if where.setdefault(key, i) != i:
+                twice.add(key)
+    return len(twice)
+
+
+def uncut_passage(r, words):
+    """Words without a cut of the gear hash in them, so that no chunk lies inside."""
+    out = ""
+    while len(out.split()) < words:
+        more = out + "".join(r.choice("abcdefghijklmnopé") for _ in range(r.randint(2, 9))) + " "
+        raw = more.encode()
+        if (sub.rolled(np.frombuffer(raw, np.uint8))[16:] >= 65536 // sub.AVERAGE).all():
+            out = more
+    return out.strip()
+
+
+def test_passages_without_cuts_go(spark):
+    r = random.Random(21)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(2, 9)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    passages = [uncut_passage(r, 60) for _ in range(8)]
+    # the first bytes of each passage stand alone before it: an anchor may first occur there
+    parts = [(i, f"{prose(30)} {p[:90]} {prose(30)}", "en", "s") for i, p in enumerate(passages)]
+    rows = parts + [(100 + i, f"{prose(40)} {passages[i % 8]} {prose(40)}", "en", "s") for i in range(24)]
+    out = {x["doc_id"]: x["text"] for x in sub.substring_dedup(documents_frame(spark, rows)).collect()}
+    texts = {i: t for i, t, *_ in rows}
+    assert repeated_windows(texts.values()) > 0 and repeated_windows(out.values()) == 0
+    assert all(out[i] == texts[i] for i in range(108) if i in texts)
+    for i in range(108, 124):
+        p = passages[(i - 100) % 8]
+        kept = len(out[i].encode()) - len(texts[i].encode()) + len(p.encode())
+        assert 0 <= kept <= 2 * 81
+        assert texts[i].split(p)[0] in out[i] and texts[i].split(p)[1] in out[i]
+
+
+def test_every_long_repeat_holds_a_repeated_window():
+    r = random.Random(8)
+    noise = lambda n, kinds: "".join(r.choice(kinds) for _ in range(n))
+    least = sub.LEAST + 2 * sub.AVERAGE + 4
+    for kinds in ("abcdefgh ", "ab", "a", "aé日🙂 "):
+        for _ in range(40):
+            passage = noise(least, kinds).encode()[:least + 3].decode(errors="ignore")
+            found = []
+            for _ in range(2):
+                raw = (noise(r.randint(0, 300), "xyzé日") + passage + noise(r.randint(0, 300), "xyzé日")).encode()
+                starts, ends, d, _ = sub.windows(raw, sub.rolled(np.frombuffer(raw, np.uint8)), sub.AVERAGE, sub.LEAST)
+                assert (ends - starts >= sub.LEAST).all()
+                for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
+                    raw[a:b].decode()
+                found.append(set(d.tolist()))
+            assert found[0] & found[1]
+
+
+def test_no_window_of_fifty_words_stays_twice(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()
+    out = registry()["op3_substring_dedup"](spark, "/root/testdata/sf0.01").select("text").collect()
+    assert repeated_windows([r["text"] for r in docs]) > 20_000
+    assert repeated_windows([r["text"] for r in out]) == 0
