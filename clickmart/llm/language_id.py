@@ -9,10 +9,10 @@ interpolated with a uniform distribution.
 
 Learning is a Spark job over all learnable rows: tasks count the character 4-grams of their
 rows, Spark sums them and derives the lower orders. The model is kept as sorted hash arrays:
-a gram is known by the low ``bits`` bits of its XXH64 (seed 42), and grams that share a hash
-share its numbers. So the model has at most ``2**bits`` grams and as many contexts for each
-order and language, whatever the size of the corpus; that is what the driver collects and
-broadcasts.
+a gram is known by its whole XXH64 (seed 42; fewer bits by ``bits``, then grams that share a
+slot share its numbers). The model has an entry for each distinct gram and each distinct
+context of the corpus, so it grows with what there is to learn; that is what the driver
+collects and broadcasts.
 
 A text gets the language with the lowest cross-entropy per predicted character. ``score`` is
 the softmax of the negative cross-entropies. Rejection is calibrated: ``accepted`` is false
@@ -41,7 +41,7 @@ from pyspark.sql import types as T
 from clickmart.llm.common import crc_mod, plain_text, stored
 from clickmart.session import clear_scratch, scratch_mark
 
-ORDER, BITS = 4, 18
+ORDER, BITS = 4, 64
 START, END = "\x02", "\x03"
 RUNS = re.compile(r"[^\W\d_]+")
 UNKNOWN_LETTERS = 64  # letters that no training text holds share this much of the alphabet
@@ -95,7 +95,8 @@ def gram_counts(learnable: DataFrame, most: int = 200_000) -> DataFrame:
 
 
 def _slot(gram, bits: int):
-    return F.xxhash64(gram).bitwiseAND(F.lit((1 << bits) - 1))
+    h = F.xxhash64(gram)
+    return h if bits >= 64 else h.bitwiseAND(F.lit((1 << bits) - 1))
 
 
 def _orders(counts: DataFrame) -> list[DataFrame]:
@@ -121,8 +122,9 @@ class Model:
     def slots(self, items: list[str]) -> np.ndarray:
         import xxhash
 
-        mask = (1 << self.bits) - 1
-        return np.array([xxhash.xxh64_intdigest(x.encode("utf-8"), 42) & mask for x in items], dtype=np.int64)
+        mask = (1 << min(self.bits, 64)) - 1
+        h = [xxhash.xxh64_intdigest(x.encode("utf-8"), 42) & mask for x in items]
+        return np.array(h, dtype=np.uint64).view(np.int64)
 
     def log_prob(self, items: list[str]) -> np.ndarray:
         """log P(last character | the others) of each gram, one column per language."""
@@ -168,7 +170,7 @@ def learn(learnable: DataFrame, bits: int = BITS) -> Model:
     rows = tables[0]
     for t in [*tables[1:], *figures]:
         rows = rows.unionByName(t)
-    # at most 2 * ORDER * 2**bits rows per language
+    # a row per language for each distinct gram and context of each order
     found = rows.toArrow().to_pandas()
     clear_scratch(spark, mark)
     langs = sorted(found["lang"].unique())

@@ -102,3 +102,28 @@ def test_scorer_tables_may_be_emptied(spark):
     for mine, other in zip(a.entropies(texts), [b.entropies([t])[0] for t in texts], strict=True):
         assert (mine is None and other is None) or np.allclose(mine, other)
     assert a.entropies(["12 !!"]) == [None]
+
+
+def many_grams(n=400_000):
+    """One language with more distinct 4-grams than 2**18, as (lang, text) rows."""
+    r = np.random.default_rng(5)
+    letters = np.array([chr(0x4E00 + i) for i in range(3000)])
+    runs = r.choice(letters, (n // 40, 40))
+    return [("zh", " ".join("".join(x) for x in runs[i::20])) for i in range(20)]
+
+
+def test_model_grows_with_the_distinct_grams(spark):
+    rows = many_grams()
+    model = lid.learn(spark.createDataFrame(rows, "lang string, text string"))
+    seen = {g for _, t in rows for w in lid.letter_runs(t) for g in lid.grams(w)}
+    assert len(seen) > 1 << 18
+    for order in range(1, 5):
+        tails = {g[-order:] for g in seen}
+        assert len(model.grams[order - 1][0]) == len(tails)
+        assert len(model.contexts[order - 1][0]) == len({g[:-1] for g in tails})
+    # a gram that no text holds isn't taken for a seen one
+    letters = [chr(0x4E00 + i) for i in range(3000)]
+    other = [a + b + c + d for a, b, c, d in zip(letters, letters[7:], letters[99:], letters[500:], strict=False)]
+    other = [g for g in other if g not in seen]
+    keys = model.grams[3][0]
+    assert len(other) > 2000 and not np.isin(model.slots(other), keys).any()
