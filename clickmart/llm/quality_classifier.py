@@ -8,15 +8,16 @@ into one probability. For scoring, embeddings and filters are multiplied out to
 pair of bytes, so a chunk costs three look-ups and two additions for each second byte.
 
 Learning takes at most ``most_rows`` labelled rows of the learnable folds (those with the
-smallest hash of their id and label, a sample that doesn't depend on partitioning), and the
-first ``most_bytes`` bytes of each are what a training step draws its chunks from; both are
-parameters, and bound the fit whatever the size of the corpus. Scores cover whole texts.
+smallest hash of their id and label, a sample that doesn't depend on partitioning). Longer
+texts than ``most_bytes`` bytes give a training step chunks of that many bytes together, one
+at a hashed place in each of as many equal parts of the whole text; both are parameters, and
+bound the fit whatever the size of the corpus. Scores cover whole texts.
 Training runs Adam for a fixed number of steps with a fixed seed.
 
 Defined results: null and empty texts are one empty chunk and get that chunk's score; with
 no labelled row the network is untrained and scores the prior, 0.5; rows with a null id can't
 match a label; repeated labels, and labelled rows with a repeated id, count once (the smallest
-text); repeated rows get equal scores; an empty table gives an empty result.
+text, or sample of a text); repeated rows get equal scores; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -160,6 +161,21 @@ def train(
     return net
 
 
+def spread(raw: Column, most_bytes: int, seed: Column, chunk: int = CHUNK) -> Column:
+    """``raw``, or chunks of it of at most ``most_bytes`` bytes together: one at a place hashed
+    from ``seed`` in each of as many equal parts of the whole."""
+    size = min(chunk, most_bytes)
+    parts = most_bytes // size
+    total = F.ceil(F.octet_length(raw) / F.lit(size))
+
+    def piece(j: Column) -> Column:
+        shift = F.pmod(F.xxhash64(seed, j), F.lit(1 << 20)) / F.lit(1 << 20)
+        return F.substring(raw, (F.floor((j + shift) * total / F.lit(parts)) * size + 1).cast("int"), F.lit(size))
+
+    pieces = F.aggregate(F.sequence(F.lit(0), F.lit(parts - 1)), F.lit(b""), lambda out, j: F.concat(out, piece(j)))
+    return F.when(F.octet_length(raw) <= most_bytes, raw).otherwise(pieces)
+
+
 def training_rows(
     docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, folds: int, held_fold: int,
     most_rows: int, most_bytes: int,
@@ -167,10 +183,11 @@ def training_rows(
     known = labels.select(F.col(id_col).alias("id"), F.col("quality").cast("int").alias("y"))
     known = known.where(F.col("y").isin(0, 1) & (crc_mod("id", folds) != held_fold))
     known = known.distinct().orderBy(F.xxhash64("id", "y"), "id", "y").limit(most_rows)
-    rows = docs.select(F.col(id_col).alias("id"), F.substring(
-        plain_text(text_col).cast("binary"), 1, most_bytes).alias("raw"))
+    rows = docs.select(F.col(id_col).alias("id"), plain_text(text_col).alias("text"))
+    rows = rows.join(F.broadcast(known), "id").select(
+        "id", "y", spread(F.col("text").cast("binary"), most_bytes, F.col("id")).alias("raw"))
     # one row for each label, also where an id is repeated: at most most_rows * most_bytes
-    found = rows.join(F.broadcast(known), "id").groupBy("id", "y").agg(F.min("raw").alias("raw"))
+    found = rows.groupBy("id", "y").agg(F.min("raw").alias("raw"))
     found = found.toArrow().sort_by([("id", "ascending"), ("y", "ascending")])
     return [bytes(x) for x in found.column("raw").to_pylist()], np.array(found.column("y").to_pylist(), dtype=np.int64)
 

@@ -129,3 +129,19 @@ def test_training_does_not_use_held_out_labels(spark):
     a = {r["doc_id"]: r["score"] for r in qc.classify(docs, labels).collect()}
     b = {r["doc_id"]: r["score"] for r in qc.classify(docs, flipped).collect()}
     assert a == b
+
+
+def test_training_sees_all_parts_of_long_texts(spark):
+    long = "".join(f"{i:07d}\n" for i in range(12_500))  # 100,000 bytes, each line its place
+    short = "short text " * 100
+    docs = documents_frame(spark, [(1, long, "en", "s"), (2, short, "en", "s")])
+    labels = spark.createDataFrame([(1, 0, 0), (2, 1, 0)], "doc_id long, quality int, toxic int")
+    raws, y = qc.training_rows(docs, labels, "doc_id", "text", 5, 9, qc.MOST_ROWS, qc.MOST_BYTES)
+    assert y.tolist() == [0, 1] and raws[1] == short.encode()
+    assert len(raws[0]) <= qc.MOST_BYTES
+    pieces = [raws[0][k:k + qc.CHUNK] for k in range(0, len(raws[0]), qc.CHUNK)]
+    places = [8 * int(x[:7]) for x in pieces]
+    assert all(long.encode()[at:at + qc.CHUNK] == x for at, x in zip(places, pieces, strict=True))
+    parts = qc.MOST_BYTES // qc.CHUNK
+    assert len(set(places)) == parts and max(np.diff(places)) <= 2 * len(long) / parts + qc.CHUNK
+    assert places[-1] > len(long) * (parts - 1) / parts - qc.CHUNK
