@@ -1,0 +1,106 @@
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+
+from clickmart.llm import ranked_search as op
+from clickmart.llm.queries import registry
+from tests.llm.conftest import SF, documents_frame, odd_rows
+
+WORD = "[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def plain_terms(text):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(WORD, low)
+
+
+def brute(docs, items, top=10):
+    """Rank all documents for each item; (item id, rank, doc id, score)."""
+    terms = [(i, Counter(plain_terms(t))) for i, t in docs]
+    terms = [(i, c) for i, c in terms if c]
+    n_docs, n_terms = len(terms), sum(c.total() for _, c in terms)
+    df = Counter(t for _, c in terms for t in c)
+    out = []
+    for item, text in items:
+        wanted = dict.fromkeys(plain_terms(text))
+        scored = []
+        for i, c in terms:
+            m = 10 + (90 * c.total() * n_docs) // n_terms
+            score = sum(
+                math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * ((10**9 * c[t]) // (1000 * c[t] + 8 * m))
+                for t in wanted if c[t])
+            if score > 0:
+                scored.append((-score, i is None, i, score))
+        scored.sort(key=lambda x: x[:2] + (0 if x[2] is None else x[2],))
+        out += [(item, r, i, s) for r, (_, _, i, s) in enumerate(scored[:top], 1)]
+    return sorted(out, key=str)
+
+
+def found(df):
+    return sorted((tuple(r) for r in df.select("item_id", "rank", "doc_id", "score").collect()), key=str)
+
+
+def items_frame(spark, rows):
+    return spark.createDataFrame(rows, "item_id long, text string, score string")
+
+
+def test_odd_rows(spark, odd_docs, no_docs):
+    items = [(1, "The CAT sat", "x"), (2, None, "x"), (2, "", "x"), (3, "moon moon hat", "x"), (3, "moon moon hat", "x"),
+             (None, "zwölf 123", "x"), (4, "!!!", "x"), (5, "unknownterm", "x"), (6, "word1 word2 tail", "x")]
+    want = brute([r[:2] for r in odd_rows()], [r[:2] for r in items])
+    assert found(op.ranked_search(odd_docs, items_frame(spark, items))) == want
+    assert found(op.ranked_search(no_docs, items_frame(spark, items))) == []
+    assert found(op.ranked_search(odd_docs, items_frame(spark, []))) == []
+
+
+def test_many_small_blocks_and_groups(spark, monkeypatch):
+    rnd = random.Random(13)
+    vocab = [f"w{i}" for i in range(120)]
+    weights = [1 / (i + 1) for i in range(120)]
+    docs = [(i, " ".join(rnd.choices(vocab, weights, k=rnd.choice([1, 3, 30, 300]))), "en", "s") for i in range(300)]
+    docs += [(1000 - i, docs[7][1], "en", "s") for i in range(40)]  # ties
+    items = [(i, " ".join(rnd.choices(vocab, k=rnd.choice([1, 5, 90]))), "x") for i in range(12)]
+    want = brute([d[:2] for d in docs], [i[:2] for i in items])
+    frame = documents_frame(spark, docs)
+    assert found(op.ranked_search(frame, items_frame(spark, items))) == want
+    monkeypatch.setattr(op, "ITEMS", 5)
+    monkeypatch.setattr(op, "BLOCK", 16)
+    assert found(op.ranked_search(frame, items_frame(spark, items))) == want
+
+
+def test_masks_group_documents_by_matched_terms():
+    rnd = np.random.default_rng(3)
+    for terms, n in ((1, 9), (9, 100), (70, 200), (64, 8)):
+        held = (rnd.random((terms, n)) < 0.2).astype(np.uint8)
+        order, starts, present = op.masks_of(np.packbits(held, axis=1), n)
+        ends = [*starts[1:].tolist(), len(order)]
+        assert sorted(order.tolist()) == np.flatnonzero(held.any(axis=0)).tolist()
+        assert len({bytes(p) for p in present}) == len(present)
+        for s, e, p in zip(starts.tolist(), ends, present, strict=True):
+            for d in order[s:e]:
+                assert (held[:, d] == p).all()
+
+
+def test_masks_that_cannot_win_are_not_evaluated(monkeypatch):
+    """A block where few documents match the rare term: the others' masks stay unread."""
+    n = 5000
+    import pyarrow as pa
+
+    counts = np.ones(n + 20, np.int64)
+    places = np.concatenate([np.arange(n), np.arange(20)])
+    row = {"lengths": np.full(n, 50), "terms": [0, 1], "bounds": [0, n, n + 20], "places": places, "counts": counts}
+    block = op.Block({k: np.asarray(v).astype("<u4").tobytes() for k, v in row.items()}, pa.array(range(n)), n, 50 * n)
+    read = []
+    plain = np.sort
+    monkeypatch.setattr(op.np, "sort", lambda x: (read.append(len(x)), plain(x))[1])
+    docs, scores = op.best_of(block, np.array([0, 1]), np.array([1, 5000]), 10)
+    assert docs.tolist() == list(range(10)) and (scores == scores[0]).all() and sum(read) == 20
+
+
+def test_query_against_brute_force(spark):
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    assert found(registry()["op13_ranked_search"](spark, SF)) == brute(docs, items)
