@@ -44,6 +44,35 @@ def _located(docs: DataFrame) -> DataFrame:
     )
 
 
+SHARE, SALTS = 1000, 64
+_SALT, _SALTS = "__salt", "__salts"
+
+
+def spread_join(
+    many: DataFrame, one: DataFrame, on: list[str], counted: DataFrame | None = None,
+    share: int = SHARE, salts: int = SALTS,
+) -> DataFrame:
+    """``many`` joined with ``one``, which has one row for each key at most.
+
+    A key that more than one in ``share`` rows of ``many`` hold is dealt over ``salts`` tasks, and its row
+    of ``one`` is repeated for them. There are fewer than ``share`` such keys whatever the
+    input, so they can be broadcast. Keys are counted in ``counted``, a stored frame with the same
+    keys (None: in ``many``, which should be stored then). Keys aren't null."""
+    spark = many.sparkSession
+    counted = (many if counted is None else counted).select(*on)
+    counts = counted.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
+    total = counted.count()
+    hot = counts.where(F.col("__n") > max(1.0, total / share)).select(*on).collect()
+    if not hot:
+        return many.join(one, on)
+    hot = F.broadcast(spark.createDataFrame(hot, many.select(*on).schema).withColumn(_SALTS, F.lit(salts)))
+    deal = F.pmod(F.xxhash64(*many.columns), F.lit(salts)).cast("int")
+    left = many.join(hot, on, "left").withColumn(_SALT, F.when(F.col(_SALTS).isNull(), 0).otherwise(deal)).drop(_SALTS)
+    copies = F.sequence(F.lit(0), F.coalesce(F.col(_SALTS), F.lit(1)) - 1)
+    right = one.join(hot, on, "left").withColumn(_SALT, F.explode(copies)).drop(_SALTS)
+    return left.join(right, [*on, _SALT]).drop(_SALT)
+
+
 def plain_text(text_col: str = "text") -> Column:
     """The text; null counts as empty."""
     return F.coalesce(F.col(text_col).cast("string"), F.lit(""))
