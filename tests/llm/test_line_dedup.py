@@ -7,50 +7,6 @@ from tests.llm.conftest import SF, documents_frame, odd_rows
 WORD = re.compile(r"[^\x20\x09-\x0D]")
 
 
-def brute(spark, rows, window=2):
-    """The method without Spark's joins: winnowed fingerprints, first occurrences, extension.
-    rows: (order key, id, text) in the order in which earlier counts."""
-    from pyspark.sql import functions as F
-
-    texts = sorted({s for _, _, t in rows for s in (t or "").split("\n")})
-    h = dict(spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.xxhash64("t")).collect())
-    seqs = [[(h[s], i) for i, s in enumerate((t or "").split("\n")) if WORD.search(s)] for _, _, t in rows]
-    marks, first = [], {}
-    for d, seq in enumerate(seqs):
-        chosen = set()
-        for i in range(len(seq) - window + 1):
-            chosen.add(min(range(i, i + window), key=lambda k: (seq[k][0], -k)))
-        for k in sorted(chosen):
-            first.setdefault(seq[k][0], (d, k))
-            marks.append((d, k))
-    gone = [set() for _ in rows]
-    for d, k in marks:
-        e, j = first[seqs[d][k][0]]
-        if (e, j) == (d, k):
-            continue
-        a, b = seqs[d], seqs[e]
-        lo, hi = 0, 0
-        while k - lo > 0 and j - lo > 0 and a[k - lo - 1][0] == b[j - lo - 1][0]:
-            lo += 1
-        while k + hi < len(a) and j + hi < len(b) and a[k + hi][0] == b[j + hi][0]:
-            hi += 1
-        if lo + hi >= window:
-            gone[d].update(a[x][1] for x in range(k - lo, k + hi))
-    out = []
-    for (_, i, t), g in zip(rows, gone, strict=True):
-        left = "\n".join(s for n, s in enumerate((t or "").split("\n")) if n not in g) if g else t
-        out.append((i, len(g), left))
-    return out
-
-
-def test_query_against_brute_force(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet").toPandas().sort_values("doc_id")
-    want = brute(spark, [(k, int(i), t) for k, (i, t) in enumerate(zip(docs.doc_id, docs.text, strict=True))])
-    out = registry()["op2_line_dedup"](spark, SF).collect()
-    assert sorted((r["doc_id"], r["n_removed_lines"], r["text"]) for r in out) == want
-    assert any(n for _, n, _ in want)
-
-
 def test_shared_run_goes_from_later_documents(spark):
     run = "first shared line\nsecond shared line\nthird shared line"
     rows = [(i, f"own {i} a\n{run}\nown {i} b", "en", "s") for i in range(5)] + [(9, run + "\n" + run, "en", "s")]
@@ -103,6 +59,31 @@ def test_frequent_lines_hide_no_repeated_run(spark):
     assert sum(n for _, n, _ in want) == 2 * len(pairs)
 
 
+def test_query_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").toPandas().sort_values("doc_id")
+    want = seen_earlier([(int(i), t) for i, t in zip(docs.doc_id, docs.text, strict=True)])
+    out = registry()["op2_line_dedup"](spark, SF).collect()
+    assert sorted((r["doc_id"], r["n_removed_lines"], r["text"]) for r in out) == want
+    assert sum(n for _, n, _ in want) == 188
+
+
+def test_fingerprints_are_minima_and_runs_are_extended(spark):
+    shared = "\n".join(f"shared line {i}" for i in range(9))
+    rows = [(1, f"a\n{shared}\nb", "en", "s"), (2, f"c\nd\n{shared}\ne", "en", "s"), (3, "shared line 4\nx y", "en", "s")]
+    docs = documents_frame(spark, rows)
+    runs = line_dedup.repeated_runs(docs).collect()
+    assert [(r["diagonal"], r["lines"]) for r in runs] == [(1, list(range(2, 11)))]
+    seqs = line_dedup._sequences(line_dedup.with_locator(docs), "doc_id", "text")
+    for window in (2, 3, 4):
+        for r in seqs.select("hashes", line_dedup._fingerprints(window).alias("w")).collect():
+            h = r["hashes"]
+            assert len(r["w"]) == max(0, len(h) - window + 1)
+            for w in r["w"]:
+                around = h[w["start"]:w["start"] + window]
+                assert w["key"]["around"] == around and w["key"]["fingerprint"] == min(around) == h[w["pos"]]
+                assert min(around) not in h[w["pos"] + 1:w["start"] + window]
+
+
 def test_query_removes_every_window_seen_earlier(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text").toPandas().sort_values("doc_id")
     want = seen_earlier([(int(i), t) for i, t in zip(docs.doc_id, docs.text, strict=True)])
