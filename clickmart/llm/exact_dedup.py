@@ -21,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickmart.llm.common import FILE, LOCATOR, ROW, plain_text, stored, with_locator
+from clickmart.llm.common import FILE, LOCATOR, ROW, plain_text, spread_join, stored, with_locator
 from clickmart.session import clear_scratch, scratch_dir, scratch_mark
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -94,14 +94,15 @@ def exact_dedup(
 
     state = _state_stream(intake, path, max_files_per_trigger)
     held = F.col(f"holder.{FILE}").eqNullSafe(F.col(FILE)) & F.col(f"holder.{ROW}").eqNullSafe(F.col(ROW))
-    rows = stored(intake.join(state, "digest").withColumn("kept", held), "llm-exact-rows")
+    rows = stored(spread_join(intake, state, ["digest"]).withColumn("kept", held), "llm-exact-rows")
     clear_scratch(spark, mark, keep_last=True)  # the intake and the state, now in the rows
 
     # Hits: rows that share a digest. Only their texts are compared.
     shared = texts.join(rows.where("n > 1").select("digest", "kept", *LOCATOR), list(LOCATOR))
     holders = shared.where("kept").select("digest", F.col("text").alias("held_text"))
+    compared = spread_join(shared.where("not kept"), holders, ["digest"], rows.where("n > 1 and not kept"))
     unequal = stored(
-        shared.where("not kept").join(holders, "digest").where("text != held_text")
+        compared.where("text != held_text")
         .select("digest", *LOCATOR, F.sha2(F.col("text").cast("binary"), 512).alias("content"), "text"),
         "llm-exact-collisions",
     )

@@ -9,7 +9,7 @@ largest spreads are merged, the fullest part of one with the emptiest of the oth
 fullest window exceeds the capacity, the number of windows rises by one and the group is
 split again.
 
-Pieces are hash-partitioned by id and start and sorted in their partition, so a task that
+Pieces are hash-partitioned by id, start and their other columns (ids may be null or repeated) and sorted in their partition, so a task that
 runs again gives the same sequences; ids of sequences are partition number and a running
 number. Nothing is gathered beyond one group of a task.
 
@@ -142,8 +142,10 @@ def windows(sizes: list[int], capacity: int = WINDOW) -> list[list[int]]:
 def pack(pieces: DataFrame, window: int = WINDOW, group: int = GROUP, id_col: str = "doc_id") -> DataFrame:
     """``pieces`` (id, start, length and any other columns) plus ``sequence_id`` and ``offset``."""
     n = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = pieces.drop("sequence_id", "offset").repartition(n, F.xxhash64(id_col, "start"))
-    others = [c for c in dealt.columns if c not in (id_col, "start")]
+    others = [c for c in pieces.columns if c not in (id_col, "start", "sequence_id", "offset")]
+    # the other columns too: many rows may share an id, or have none
+    plain = [c for c in others if not isinstance(pieces.schema[c].dataType, T.MapType)]
+    dealt = pieces.drop("sequence_id", "offset").repartition(n, F.xxhash64(id_col, "start", *plain))
     dealt = dealt.sortWithinPartitions(id_col, "start", *others)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

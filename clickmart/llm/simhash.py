@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickmart.llm.common import LOCATOR, plain_text, stored, with_locator
+from clickmart.llm.common import LOCATOR, plain_text, spread_join, stored, with_locator
 from clickmart.llm.components import components
 
 SEED, BITS = 42, 64
@@ -239,7 +239,7 @@ def simhash_dedup(
     heads = distinct.groupBy("root").agg(F.min("first").alias("head"))
     named = distinct.join(heads, "root").select("fp", "head")
     place = F.struct(*LOCATOR)
-    return fps.join(named, "fp").select(
+    return spread_join(fps, named, ["fp"]).select(
         F.col("id").alias(id_col), *LOCATOR, "fp", F.col("head.id").alias("component_id"),
         place.eqNullSafe(F.struct(*[F.col(f"head.{c}").alias(c) for c in LOCATOR])).alias("kept"),
     )

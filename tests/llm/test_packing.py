@@ -7,7 +7,7 @@ from tokenizers import Tokenizer
 
 from clickmart.llm import packing
 from clickmart.llm.queries import registry
-from tests.llm.conftest import SF01, odd_rows
+from tests.llm.conftest import SF01, documents_frame, odd_rows
 
 
 def check_sequences(rows):
@@ -89,3 +89,13 @@ def test_cuts():
         assert [s for s, _ in parts] == [sum(k for _, k in parts[:i]) for i in range(len(parts))]
         assert sum(k for _, k in parts) == n
         assert all(k == 2048 or k <= 512 for _, k in parts)
+
+
+def test_rows_without_an_id_are_dealt_over_all_tasks(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(None, f"text number {i} of many", "en", "s") for i in range(4000)]
+    pieces = packing.tokenize(documents_frame(spark, rows))
+    dealt = packing.pack(pieces).withColumn("p", F.spark_partition_id()).groupBy("p").count().collect()
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(dealt) == n and max(r["count"] for r in dealt) < 2 * 4000 / n
