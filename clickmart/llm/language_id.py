@@ -49,7 +49,11 @@ QUANTILE = 0.995
 
 
 def letter_runs(text: str) -> list[str]:
-    return RUNS.findall(text.lower())
+    """Runs of letters. Python's word characters hold other numbers than digits (², Ⅷ) too: they part runs."""
+    runs = RUNS.findall(text.lower())
+    if all(map(str.isalpha, runs)):
+        return runs
+    return "".join(c if c.isalpha() else " " for c in " ".join(runs)).split()
 
 
 def grams(run: str) -> list[str]:

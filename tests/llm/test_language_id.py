@@ -127,3 +127,7 @@ def test_model_grows_with_the_distinct_grams(spark):
     other = [g for g in other if g not in seen]
     keys = model.grams[3][0]
     assert len(other) > 2000 and not np.isin(model.slots(other), keys).any()
+
+
+def test_numbers_that_are_no_digits_are_no_letters():
+    assert lid.letter_runs("² ½ ① Ⅷ 12 _") == [] and lid.letter_runs("a²b Ⅷ Été") == ["a", "b", "été"]
