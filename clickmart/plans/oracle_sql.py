@@ -220,6 +220,9 @@ SELECT event_id, event_type, category, price FROM clean"""
                                  "invalid_rows, total_rows FROM verdicts")
     q["csv_file_verdicts"] = "WITH " + DIRTY_CTE + CSV_VERDICTS_CTE + """
 SELECT file_id, event_type, status, failed_fields, invalid_rows, total_rows FROM csv_verdicts"""
+    q["csv_quoted_cells"] = "WITH " + DIRTY_CTE + CSV_VERDICTS_CTE + """
+SELECT file_id, event_type, status, failed_fields, invalid_rows, total_rows FROM csv_verdicts
+WHERE event_type = 'cart_event'"""
     q["pipeline_facts_valid_only"] = pipeline_statement()
     return q
 

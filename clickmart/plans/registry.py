@@ -117,6 +117,7 @@ def registry() -> dict[str, Query]:
     q.update(warehouse_registry())
     q["stream_file_verdicts"] = q_stream_file_verdicts
     q["csv_file_verdicts"] = q_csv_file_verdicts
+    q["csv_quoted_cells"] = q_csv_quoted_cells
     q["pipeline_facts_valid_only"] = q_pipeline_facts_valid_only
     return q
 
@@ -302,6 +303,20 @@ def q_csv_file_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_csv_quoted_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V13 over raw CSVs whose quoted cells hold commas, quotes and line breaks."""
+    from clickmart.plans.ingest import validate_files
+    from clickmart.session import scratch_dir
+
+    root = f"{scratch_dir(spark, 'csv')}/raw"
+    fixture.write_quoted_csv(fixture.load_dirty(spark, sf_dir), root)
+    v = validate_files(spark, base=root, pattern="event_type=*/*.csv").verdicts
+    return v.select(
+        fixture.file_id_from_path(F.col("source_file")).alias("file_id"), "event_type", "status",
+        F.array_join("failed_fields", ",").alias("failed_fields"), "invalid_rows", "total_rows",
+    )
+
+
 def q_pipeline_facts_valid_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily run over raw CSVs of which a third are invalid: facts of the valid files."""
     from clickmart.plans import pipeline

@@ -4,10 +4,11 @@ Layout: ``<base>/year=YYYY/month=MM/day=DD/<event_type>.csv``, each file with a
 of its own. Files may carry columns that we don't know, in any order.
 
 One scan reads all files as lines and stages them as Parquet on the shared storage, so the
-raw bytes are read once, however often validation and cleaning come back to the rows. The
-first line of each file is its header (a partial aggregate over the files' first blocks). It
-is joined to the file's lines, which are cut into cells and mapped to columns by name. The
-number of different headers doesn't matter, and no list of paths is built.
+raw bytes are read once, however often validation and cleaning come back to the rows. Lines
+become records (``csv_records``: quoted cells may hold line breaks). The first record of each
+file is its header (a partial aggregate over the files' first blocks). It is joined to the file's
+records, which are cut into cells and mapped to columns by name. The number of different
+headers doesn't matter, and no list of paths is built.
 
 Every row keeps its file (``source_file``), split offset and a read-order id, which give the
 row's position inside its file.
@@ -27,6 +28,7 @@ from clickmart.operators.quality import check_rows, infer_event_type, missing_fi
 from clickmart.plans.joins import join_small
 from clickmart.schema import KNOWN_COLUMNS, TYPED_COLUMNS
 from clickmart.session import scratch_dir
+from clickmart.sources.csv_records import cells, records, with_moves
 
 
 @dataclass
@@ -51,16 +53,8 @@ def event_paths(base: str, dates: list[str] | None = None, pattern: str = "*.csv
     return out
 
 
-def cells(line: Column) -> Column:
-    """The cells of one CSV line; quoted cells may hold commas and doubled quotes."""
-    outside = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-    quoted = F.transform(F.split(line, outside), lambda c: F.when(
-        c.rlike('^".*"$'), F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c))
-    return F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.split(line, ","))
-
-
-def header_names(line: Column) -> Column:
-    return F.transform(cells(F.regexp_replace(line, "^\ufeff", "")), lambda t: F.trim(t))
+def header_names(line: Column, width: int) -> Column:
+    return F.transform(cells(F.regexp_replace(line, "^\ufeff", ""), width), lambda t: F.trim(t))
 
 
 def _existing(spark: SparkSession, paths: list[str]) -> list[str]:
@@ -119,23 +113,27 @@ def read_raw(
     if base:
         reader = reader.option("basePath", base)
     lines = _stage(
-        reader.text(paths).where(F.length(F.trim("value")) > 0).select(
+        with_moves(reader.text(paths).select(
             _normal_path(F.col("_metadata.file_path")).alias("source_file"),
             F.col("_metadata.file_size").alias("file_size"),
             F.col("_metadata.file_block_start").alias("block_start"),
             F.monotonically_increasing_id().alias("row_id"),
             "value",
-        ),
+        )),
         "raw-lines",
     )
-    # The first line of a file lies in its first block; the aggregate runs map-side.
+    lines = records(lines)
+    # The first record of a file lies in its first block; the aggregate runs map-side.
     first = lines.where("block_start = 0").groupBy("source_file").agg(
         F.min("row_id").alias("first_row"), F.min_by("value", "row_id").alias("line"))
+    first = _stage(first, "raw-headers")
+    commas = F.length("line") - F.length(F.replace("line", F.lit(","), F.lit("")))
+    width = (first.agg(F.max(commas)).first()[0] or 0) + 1  # no header has more cells
     files = _stage(
         list_files(spark, paths).join(first, "source_file", "left").select(
             "source_file", "file_size",
             F.regexp_extract("source_file", r"([^/]*)$", 1).alias("file_name"),
-            F.coalesce(header_names(F.col("line")), F.array().cast("array<string>")).alias("header"),
+            F.coalesce(header_names(F.col("line"), width), F.array().cast("array<string>")).alias("header"),
             "first_row",
             infer_event_type(F.col("source_file")).alias("event_type"),
         ),
@@ -143,7 +141,7 @@ def read_raw(
     )
     rows = join_small(lines, files.select("source_file", "header", "first_row", "event_type"), ["source_file"], "inner")
     rows = rows.where((F.col("block_start") != 0) | (F.col("row_id") != F.col("first_row")))
-    rows = rows.withColumn("__cells", cells(F.col("value")))
+    rows = rows.withColumn("__cells", cells(F.col("value"), width))
     rows = rows.select(
         # a name that the header hasn't got has position 0, and cell -1 is null
         *[na_to_null(F.get("__cells", (F.array_position("header", c) - 1).cast("int"))).alias(c) for c in KNOWN_COLUMNS],

@@ -205,6 +205,28 @@ def write_typed_csv(dirty: DataFrame, path: str) -> None:
         write(rows, columns)
 
 
+def write_quoted_csv(dirty: DataFrame, path: str) -> None:
+    """Stage cart events as raw CSVs with a first column of quoted notes: commas, doubled quotes,
+    line breaks (also blank lines and lines that look like records), and in some rows 20,000
+    quotes in one cell."""
+    note = (
+        F.when(F.col("event_id") % 211 == 0, F.repeat(F.lit('"'), 20_000))
+        .when(F.col("event_id") % 3 == 0, F.lit('two\n\nlines, "quoted"\n1,2,3,4,5'))
+        .when(F.col("event_id") % 3 == 1, F.lit('5" wide, 7" high'))
+    )
+    day = F.to_date(F.substring_index(F.col("file_id"), "/", -1))
+    keys = ["year", "month", "day", "event_type"]
+    rows = dirty.where("event_type = 'cart_event'").withColumn("timestamp", F.col("ts_text")).select(
+        "*", note.alias("note"), F.year(day).alias("year"), F.month(day).alias("month"), F.dayofmonth(day).alias("day"))
+    (
+        rows.repartition(*keys).sortWithinPartitions(*keys, "row_pos")
+        .select("note", *TYPED_CSV_COLUMNS["cart_event"], *keys)
+        .write.mode("append").option("header", True).option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        .partitionBy(*keys).csv(path)
+    )
+
+
 def file_id_from_path(path: Column) -> Column:
     """``.../year=2024/month=1/day=3/event_type=click/...`` -> ``click/2024-01-03``."""
     m = r"year=(\d+)/month=(\d+)/day=(\d+)/"
