@@ -5,10 +5,12 @@ from __future__ import annotations
 import contextlib
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickmart.schema import FACT_SCHEMAS, METRIC_TO_FACT
+
 # FIXED VALUES of the read API: metrics, default and maximum page size, anomaly page.
 PAGE_METRICS = ("bounce_rate", "time_on_page")
 DEFAULT_LIMIT = 10
@@ -57,6 +59,14 @@ def to_plain_numbers(df: DataFrame) -> DataFrame:
     )
 
 
+def stored_fact(spark: SparkSession, warehouse_base: str, metric: str) -> DataFrame:
+    """A loaded fact table. The reports' date prunes its ``date=`` folders, so a report on it reads one
+    day's files and no event."""
+    table = METRIC_TO_FACT[metric]
+    schema = T.StructType([T.StructField(c, t) for c, t in FACT_SCHEMAS[table]])
+    return spark.read.schema(schema).parquet(f"{warehouse_base.rstrip('/')}/{table}")
+
+
 def _on_date(df: DataFrame, day: str) -> DataFrame:
     return df.where(F.col("date") == F.lit(day).cast("date"))
 

@@ -128,6 +128,25 @@ def dim_product(events: DataFrame) -> DataFrame:
     )
 
 
+def product_state(events: DataFrame) -> DataFrame:
+    """W12 as a mergeable aggregate of one load: smallest category, sum and count of viewed prices."""
+    pv = events.where((F.col("event_type") == "product_view") & F.col("product_id").isNotNull())
+    return pv.groupBy("product_id").agg(
+        F.min("category").alias("category"), F.sum("price").alias("price_sum"), F.count("price").alias("price_count"))
+
+
+def fold_products(states: DataFrame) -> DataFrame:
+    """``dim_product`` over all loads: the mean of all prices, not of the last load's."""
+    whole = states.groupBy("product_id").agg(
+        F.min("category").alias("category"), F.sum("price_sum").alias("price_sum"), F.sum("price_count").alias("n"))
+    mean = F.when(F.col("n") > 0, F.col("price_sum") / F.col("n"))
+    return _typed(whole.select("product_id", "category", mean.alias("avg_price")), "dim_product")
+
+
+#: Dimensions that are folded from the stored states of all loads.
+FOLDS = {"dim_product": fold_products}
+
+
 def dim_page(events: DataFrame) -> DataFrame:
     """Page URL -> page type (smallest seen) over page views."""
     pv = events.where((F.col("event_type") == "page_view") & F.col("page_url").isNotNull())

@@ -220,6 +220,8 @@ SELECT event_id, event_type, category, price FROM clean"""
                                  "invalid_rows, total_rows FROM verdicts")
     q["csv_file_verdicts"] = "WITH " + DIRTY_CTE + CSV_VERDICTS_CTE + """
 SELECT file_id, event_type, status, failed_fields, invalid_rows, total_rows FROM csv_verdicts"""
+    q["load_from_metrics"] = ("WITH " + CLEAN_CTE + ", " + SESSIONS.strip() + ", " + BOUNCE.strip() + ", "
+                              + FUNNEL.strip() + FACT_COUNTS)
     q["csv_quoted_cells"] = "WITH " + DIRTY_CTE + CSV_VERDICTS_CTE + """
 SELECT file_id, event_type, status, failed_fields, invalid_rows, total_rows FROM csv_verdicts
 WHERE event_type = 'cart_event'"""
@@ -335,6 +337,14 @@ CSV_VERDICTS_CTE = """, csv_verdicts AS (
 )"""
 
 
+FACT_COUNTS = """
+SELECT 'bounce_rate' AS fact, page_type AS name, total_sessions AS n, bounced_sessions AS m FROM bounce
+UNION ALL SELECT 'conversion_funnel', stage, n, NULL FROM (
+  SELECT unnest(['page_view', 'product_view', 'cart_add', 'checkout']) AS stage,
+         unnest([stage1_page_view_users, stage2_product_view_users, stage3_cart_add_users,
+                 stage4_checkout_users]) AS n FROM fc)"""
+
+
 def pipeline_statement() -> str:
     """Facts from the rows of valid files only, cleaned as everywhere."""
     rows = DIRTY_CTE + CSV_VERDICTS_CTE + """, good AS (
@@ -344,12 +354,8 @@ def pipeline_statement() -> str:
   FROM dirty WHERE file_id IN (SELECT file_id FROM csv_verdicts WHERE status = 'valid')
 ), """
     clean = CLEAN_CTE[len(CANON_CTE) + 2:].replace("FROM canon", "FROM good", 1)
-    return ("WITH " + rows + clean + ", " + SESSIONS.strip() + ", " + BOUNCE.strip() + ", " + FUNNEL.strip() + """
-SELECT 'bounce_rate' AS fact, page_type AS name, total_sessions AS n, bounced_sessions AS m FROM bounce
-UNION ALL SELECT 'conversion_funnel', stage, n, NULL FROM (
-  SELECT unnest(['page_view', 'product_view', 'cart_add', 'checkout']) AS stage,
-         unnest([stage1_page_view_users, stage2_product_view_users, stage3_cart_add_users,
-                 stage4_checkout_users]) AS n FROM fc)
+    return ("WITH " + rows + clean + ", " + SESSIONS.strip() + ", " + BOUNCE.strip() + ", " + FUNNEL.strip()
+            + FACT_COUNTS + """
 UNION ALL SELECT 'dim_product', product_id, CAST(""" + _dec("avg(price)", 10, 2) + """ * 100 AS BIGINT), NULL
 FROM clean WHERE event_type = 'product_view' AND product_id IS NOT NULL GROUP BY product_id""")
 

@@ -95,7 +95,8 @@ def run(
     if warehouse_path:
         tables = warehouse.all_tables(cleaned, results, process_date)
         tables = {t: warehouse.valid_records(df) if t.startswith("fact_") else df for t, df in tables.items()}
-        counts = load_warehouse(tables, warehouse_path, process_date)
+        states = {"dim_product": warehouse.product_state(cleaned)}
+        counts = load_warehouse(tables, warehouse_path, process_date, states=states)
         loaded = {t: spark.read.schema(df.schema).parquet(f"{warehouse_path}/{t}") for t, df in tables.items()}
         today = F.col("date") == F.lit(process_date).cast("date")  # of the facts only this run's partition
         loaded = {t: df.where(today) if "date" in df.columns else df for t, df in loaded.items()}

@@ -238,6 +238,30 @@ def q_dq_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
+def q_load_from_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two metrics written by date and loaded by the ledger job, one of them late; a third
+    run finds nothing to load."""
+    from clickmart.plans.load import load_pending
+    from clickmart.session import scratch_dir
+    from clickmart.sinks.writers import write_metric
+
+    root = scratch_dir(spark, "ledger")
+    events = cleaned(spark, sf_dir)
+    write_metric(metrics.bounce_rate(events), f"{root}/metrics", "bounce_rate", RUN_DATE)
+    load_pending(spark, f"{root}/metrics", f"{root}/dwh")
+    write_metric(metrics.conversion_funnel(events), f"{root}/metrics", "conversion_funnel", RUN_DATE)
+    load_pending(spark, f"{root}/metrics", f"{root}/dwh")
+    if load_pending(spark, f"{root}/metrics", f"{root}/dwh"):
+        raise RuntimeError("a loaded date was loaded again")
+    bounce = serving.stored_fact(spark, f"{root}/dwh", "bounce_rate").select(
+        F.lit("bounce_rate").alias("fact"), F.col("page_type").alias("name"),
+        F.col("total_sessions").cast("long").alias("n"), F.col("bounced_sessions").cast("long").alias("m"))
+    funnel = serving.stored_fact(spark, f"{root}/dwh", "conversion_funnel").select(
+        F.lit("conversion_funnel").alias("fact"), F.col("stage").alias("name"),
+        F.col("user_count").cast("long").alias("n"), F.lit(None).cast("long").alias("m"))
+    return bounce.unionByName(funnel)
+
+
 def _report(metric: str, fn) -> Query:
     return lambda spark, sf_dir: fn(_fact(metric)(spark, sf_dir))
 
@@ -250,6 +274,7 @@ def warehouse_registry() -> dict[str, Query]:
         "dim_date": _dim(warehouse.dim_date),
         "valid_records": q_valid_records,
         "dq_scorecard": q_dq_scorecard,
+        "load_from_metrics": q_load_from_metrics,
         "report_pages_time": _report(
             "top_pages", lambda f: serving.pages_top(f, "time_on_page", RUN_DATE, 10)),
         "report_pages_bounce": _report(

@@ -86,12 +86,31 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return path
 
 
+def _file_system(spark: SparkSession, path: str):
+    """(Hadoop path, its file system). There is no public DataFrame call to delete, rename or
+    look for a folder; this is the one place that reaches for the JVM."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def delete_dir(spark: SparkSession, path: str) -> None:
-    """Delete a folder of ours through the file system it lies in (there is no public
-    DataFrame call for that; this is the one place that reaches for the JVM)."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    """Delete a folder of ours through the file system it lies in."""
+    target, fs = _file_system(spark, path)
+    fs.delete(target, True)
+
+
+def dir_exists(spark: SparkSession, path: str) -> bool:
+    target, fs = _file_system(spark, path)
+    return fs.exists(target)
+
+
+def rename_dir(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder to a name that isn't taken; an error if the file system refuses."""
+    old, fs = _file_system(spark, source)
+    new, _ = _file_system(spark, target)
+    fs.mkdirs(new.getParent())
+    if not fs.rename(old, new):
+        raise OSError(f"couldn't rename {source} to {target}")
 
 
 def scratch_mark(spark: SparkSession) -> int:
@@ -118,4 +137,6 @@ __all__ = [
     "scratch_mark",
     "clear_scratch",
     "delete_dir",
+    "dir_exists",
+    "rename_dir",
 ]

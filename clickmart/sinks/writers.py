@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from clickmart.operators import quality
+from clickmart.operators import quality, warehouse
 from clickmart.schema import DIM_KEYS, REPORT_KEYS
-from clickmart.session import scratch_dir
+from clickmart.sinks.publish import publish, recover
+
+REPORT_NAME = 32  # hexadecimal digits of a report folder's name
 
 
 def write_metric(df: DataFrame, base: str, metric: str, process_date: str) -> None:
     """K1: ``<base>/<metric>/date=<d>/`` as snappy Parquet. The date's folder is replaced as
     a whole, so a rerun is idempotent, also when its result is empty, and other days stay."""
     path = f"{base.rstrip('/')}/{metric}/date={process_date}"
-    df.drop("date").write.mode("overwrite").option("compression", "snappy").parquet(path)
+    publish(df.sparkSession, path, lambda new: df.drop("date").write.option("compression", "snappy").parquet(new))
 
 
 def load_table(
@@ -27,55 +32,71 @@ def load_table(
     ``replace_date`` (default) replaces the folder of ``process_date`` (``df`` holds that
     date alone), also by an empty one; ``merge`` replaces the rows that share a ``key`` and
     keeps the others; ``truncate`` replaces the whole table; ``append`` adds rows (not
-    idempotent). Row counts come from an ``observe`` on the write itself.
+    idempotent). All but ``append`` write beside the table and switch (``publish``), so a load that
+    fails leaves the table as it was. Row counts come from an ``observe`` on the write itself.
     """
     if mode == "replace_date" and process_date is None:
         raise ValueError("replace_date needs the process date")
+    spark = df.sparkSession
     if mode == "merge":
         df = _merged(df, path, key)
     obs = Observation(name)
     out = df.drop("date") if mode == "replace_date" else df
     writer = out.observe(obs, F.count(F.lit(1)).alias("rows")).write.option("compression", "snappy")
+    if mode != "replace_date" and "date" in df.columns:
+        writer = writer.partitionBy("date")
     if mode == "replace_date":
-        writer.mode("overwrite").parquet(f"{path}/date={process_date}")
+        publish(spark, f"{path}/date={process_date}", writer.parquet)
     elif mode in ("truncate", "merge"):
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "static")
-        (writer.partitionBy("date") if "date" in df.columns else writer).parquet(path)
+        publish(spark, path, writer.parquet)
     elif mode == "append":
-        (writer.partitionBy("date") if "date" in df.columns else writer).mode("append").parquet(path)
+        writer.mode("append").parquet(path)
     else:
         raise ValueError(f"unknown load mode {mode!r}")
     return int(obs.get.get("rows", 0))
 
 
-def _merged(df: DataFrame, path: str, key: str | None) -> DataFrame:
-    """``df`` and the table's rows with other keys, stored apart: a table can't be
-    overwritten while it is read."""
-    if key is None:
-        raise ValueError("merge needs a key")
-    spark = df.sparkSession
+def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A warehouse table as it was last published; empty if there is none."""
+    recover(spark, path)
     try:
-        old = spark.read.schema(df.schema).parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return df
-    rest = old.join(df.select(key), key, "left_anti")
-    staged = f"{scratch_dir(spark, 'merge')}/rows"
-    df.unionByName(rest.select(*df.columns)).write.mode("overwrite").parquet(staged)
-    return spark.read.schema(df.schema).parquet(staged)
+        return spark.createDataFrame([], schema)
+
+
+def _merged(df: DataFrame, path: str, key: str | None) -> DataFrame:
+    """``df`` and the table's rows with other keys."""
+    if key is None:
+        raise ValueError("merge needs a key")
+    rest = read_table(df.sparkSession, path, df.schema).join(df.select(key), key, "left_anti")
+    return df.unionByName(rest.select(*df.columns))
 
 
 def load_warehouse(
-    tables: dict[str, DataFrame], base: str, process_date: str, mode: str = "replace_date"
+    tables: dict[str, DataFrame], base: str, process_date: str, mode: str = "replace_date",
+    states: dict[str, DataFrame] | None = None,
 ) -> dict[str, int]:
     """Load every table (facts by date, dimensions merged by key, so they cover all
-    loaded dates); returns rows per table and the total under ``"total"``."""
-    counts = {}
+    loaded dates); returns rows per table and the total under ``"total"``.
+
+    ``states`` holds the mergeable aggregates of dimensions that need more than their last
+    row: each date's are stored in ``state/<table>`` and replaced with that date, and the
+    dimension is folded from all of them."""
+    counts, states = {}, states or {}
+    base = base.rstrip("/")
     for table, df in tables.items():
         key = DIM_KEYS.get(table)
         how = "merge" if key and mode == "replace_date" else mode
-        counts[table] = load_table(df, f"{base.rstrip('/')}/{table}", how, table, process_date, key)
+        if table in states and mode == "replace_date":
+            kept = f"{base}/state/{table}"
+            load_table(states[table], kept, mode, f"{table}-state", process_date)
+            schema = T.StructType([*states[table].schema.fields, T.StructField("date", T.DateType())])
+            df = warehouse.FOLDS[table](read_table(df.sparkSession, kept, schema))
+            how = "truncate"
+        counts[table] = load_table(df, f"{base}/{table}", how, table, process_date, key)
     counts["total"] = sum(counts.values())
     return counts
 
@@ -104,17 +125,25 @@ def write_quarantine(rows: DataFrame, verdicts: DataFrame, path: str, file_col:
 
 def write_error_reports(reports: DataFrame, path: str) -> None:
     """K6: one JSON document per invalid file (keys as in the established report format:
-    processing time, error type, failed fields, first invalid rows) plus the file. ``path``
-    is the folder of one run or micro-batch, replaced as a whole."""
+    processing time, error type, failed fields, first invalid rows) plus the file, in a folder
+    named after the file (``report_folder`` gives it, so a report is found without a listing).
+    ``path`` is the folder of one run or micro-batch, replaced as a whole."""
     t_key, type_key, fields_key, rows_key = REPORT_KEYS
+    file = F.col(reports.columns[0])
     (
         reports.select(
-            F.col(reports.columns[0]).alias("file"),
+            F.substring(F.sha2(file.cast("binary"), 256), 1, REPORT_NAME).alias("report"),
+            file.alias("file"),
             F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias(t_key),
             F.col("error_type").alias(type_key),
             F.col("failed_fields").alias(fields_key),
             F.col("first_invalid_rows").alias(rows_key),
         )
-        .write.mode("overwrite")
+        .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("report")
         .json(path)
     )
+
+
+def report_folder(path: str, file: str) -> str:
+    """The folder below ``path`` that holds the report on ``file`` (its path as in the verdicts)."""
+    return f"{path.rstrip('/')}/report={hashlib.sha256(file.encode()).hexdigest()[:REPORT_NAME]}"

@@ -184,7 +184,7 @@ def test_quarantine_and_error_report_sinks(spark, tmp_path):
     assert {r.event_type for r in q.select("event_type").distinct().collect()} == {
         "page_view", "click", "product_view", None}
     write_error_reports(v.error_reports(), str(tmp_path / "reports"))
-    docs = [json.loads(line) for f in (tmp_path / "reports").glob("*.json") for line in f.read_text().splitlines()]
+    docs = [json.loads(line) for f in (tmp_path / "reports").rglob("*.json") for line in f.read_text().splitlines()]
     assert len(docs) == 4
     click = next(d for d in docs if d["file"].endswith("click.csv"))
     assert set(click) == {"file", "timestamp_proceso", "tipo_error", "campos_fallidos",
