@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickmart.operators import quality, warehouse
 from clickmart.schema import DIM_KEYS, REPORT_KEYS
+from clickmart.session import dir_exists
 from clickmart.sinks.publish import publish, recover
 
 REPORT_NAME = 32  # hexadecimal digits of a report folder's name
@@ -59,12 +59,9 @@ def load_table(
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A warehouse table as it was last published; empty if there is none."""
     recover(spark, path)
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not dir_exists(spark, path):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def _merged(df: DataFrame, path: str, key: str | None) -> DataFrame:
