@@ -9,8 +9,11 @@ bounded memory, and sorting a whole group in one task does not scale, so:
 2. one aggregation: every value below ``lo`` falls into a single "below" bucket and
    every value inside the bracket into its own bucket (values above are dropped), with
    map-side partial counts, so a hot group costs nothing extra;
-3. a running count over the buckets of each (group, p), about 8ε·n rows at most,
-   finds the first value whose running count reaches k.
+3. a two-level running count over the buckets of each (group, p), about 8ε·n rows at most:
+   they are dealt over tasks by range of (group, p, value) and stored with the number of
+   their range; the ranges' totals are summed up in order, which names the one range the
+   k-th value lies in, and only that range's buckets are summed up one by one. No task
+   holds more of a group than one range.
 
 If the bracket ever missed (not expected within the sketch's guarantee), the query fails
 with a message instead of returning an estimate.
@@ -24,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickmart.plans.joins import fetch_small, join_small
+from clickmart.session import scratch_dir
 
 DEFAULT_ACCURACY = 10000
 
@@ -94,14 +98,7 @@ def exact_percentiles(
         .agg(F.count(F.lit(1)).alias("__c"))
     )
     need = bounds.select(*keys, F.array(*[F.col(f"__k{i}") for i in range(m)]).alias("__ks"))
-    hist = join_small(hist, need, keys, "inner", null_safe=True)
-    running = Window.partitionBy(*keys, "__i").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    hits = (
-        hist.withColumn("__cum", F.sum("__c").over(running))
-        .where((F.col("__cum") >= F.element_at("__ks", F.col("__i") + 1)) & (F.col("__v") > F.lit(-math.inf)))
-        .groupBy(*keys, "__i")
-        .agg(F.min("__v").alias("__q"))
-    )
+    hits = _kth_buckets(hist, need, keys)
     wide = hits.groupBy(*keys).agg(
         *[F.max(F.when(F.col("__i") == i, F.col("__q"))).alias(f"__e{i}") for i in range(m)]
     )
@@ -112,3 +109,36 @@ def exact_percentiles(
           .otherwise(F.col(f"__e{i}")).alias(names[i]) for i in range(m)],
     )
     return out.drop("__one") if not by else out
+
+
+def _kth_buckets(hist: DataFrame, need: DataFrame, keys: list[str]) -> DataFrame:
+    """Per group and percentile number ``__i`` the value ``__q`` of the first bucket inside of the
+    bracket whose running count reaches the k-th row (``__ks`` of ``need``); a group without
+    one has no row."""
+    spark, each = hist.sparkSession, [*keys, "__i"]
+    # The number of a range holds for one run of the shuffle only, so it is stored with its rows.
+    slabs = (
+        hist.repartitionByRange(*each, "__v")
+        .withColumn("__slab", F.spark_partition_id())
+    )
+    path = scratch_dir(spark, "percentile-buckets")
+    slabs.write.parquet(path)
+    slabs = spark.read.schema(slabs.schema).parquet(path)
+    totals = slabs.groupBy(*each, "__slab").agg(F.sum("__c").alias("__t"))
+    totals = join_small(totals, need, keys, "inner", null_safe=True)
+    earlier = Window.partitionBy(*each).orderBy("__slab").rowsBetween(Window.unboundedPreceding, -1)
+    k = F.element_at("__ks", F.col("__i") + 1)
+    found = (
+        totals.withColumn("__before", F.coalesce(F.sum("__t").over(earlier), F.lit(0)))
+        .where((F.col("__before") < k) & (F.col("__before") + F.col("__t") >= k))
+        .select(*each, "__slab", k.alias("__k"), "__before")
+    )
+    running = Window.partitionBy(*each).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        join_small(slabs, found, [*each, "__slab"], "inner", null_safe=True)
+        .withColumn("__cum", F.col("__before") + F.sum("__c").over(running))
+        .where(F.col("__cum") >= F.col("__k"))
+        .groupBy(*each)
+        .agg(F.min("__v").alias("__q"))
+        .where(F.col("__q") > F.lit(-math.inf))
+    )

@@ -3,6 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from clickmart import session
 from clickmart.operators.quantiles import exact_percentiles
 
 
@@ -43,3 +44,14 @@ def test_many_groups_fall_back_to_shuffle_joins(spark):
     whole = joins.BROADCAST_MAX_ROWS
     want = {r.g: r.q0 for r in exact_percentiles(df, "x", ["g"], [0.5]).collect()}
     assert whole >= 1000 and want == {g: float(g + 1000) for g in range(1000)}
+
+
+def test_a_group_of_a_million_values_is_summed_up_by_ranges(spark):
+    n, mark = 1_000_000, session.scratch_mark(spark)
+    # 7 has no common factor with n, so every value from 0 to n - 1 comes up once, out of order
+    df = spark.range(n).selectExpr("'g' as g", "cast(id * 7 % 1000000 as double) as x")
+    got = exact_percentiles(df, "x", ["g"], [0.25, 0.5, 0.9], accuracy=20).collect()
+    assert [tuple(r) for r in got] == [("g", 249_999.0, 499_999.0, 899_999.0)]
+    path = session._SCRATCH[spark.sparkContext.applicationId][mark]
+    ranges = [r["count"] for r in spark.read.parquet(path).groupBy("__slab").count().collect()]
+    assert sum(ranges) > n / 2 and len(ranges) > 1 and max(ranges) < 0.5 * sum(ranges)
