@@ -16,8 +16,10 @@ up through the links and then kept in the transition table ``arc``.
 
 A pre-split word is encoded by running all its prefixes through the automaton at once: a
 prefix has one accepted path, so one last token per prefix is all the state there is, and a
-token extends the path that ends where the token begins if its arc exists there. Decoding
-emits the labels (bytes) of the arcs.
+token extends the path that ends where the token begins if its arc exists there. Which tokens
+end at a byte is read from a second table, compiled once from the labels of all arcs: one
+state for each beginning of a label, one transition for each byte, and with each state the
+labels that end there, longest first. Decoding emits the labels (bytes) of the arcs.
 
 Defined results: null counts as empty (no tokens; the checksums of the empty text); special
 tokens of the vocabulary in a text become their ids, as in the tokenizers library; bytes that
@@ -69,8 +71,51 @@ class Automaton:
         self.token: dict[bytes, int] = {self.label[vocab[c]]: vocab[c] for c in letters if c in vocab}
         for rank, (left, right) in enumerate(merges):
             self._gadget(vocab[left], vocab[right], vocab[left + right], rank)
-        self.longest = max(map(len, self.token), default=1)
-        self.arc: dict[tuple[int, int], bool] = {}
+        self.size = max(self.label, default=0) + 1
+        self.arc: dict[int, bool] = {}  # s * size + t: may t follow s, as far as looked up
+        self._compile()
+
+    def _compile(self) -> None:
+        """The table of label ends: ``step[s]`` maps a byte to the state of the longest
+        beginning of a label that the bytes read so far end with (missing: state 0), ``ends[s]``
+        holds (length, token) of the labels that end there, longest first."""
+        grown: list[dict[int, int]] = [{}]
+        own: list[tuple[int, int] | None] = [None]
+        for raw, t in self.token.items():
+            s = 0
+            for byte in raw:
+                nxt = grown[s].get(byte)
+                if nxt is None:
+                    nxt = grown[s][byte] = len(grown)
+                    grown.append({})
+                    own.append(None)
+                s = nxt
+            own[s] = (len(raw), t)
+        # Breadth first, so the state of the longest shorter ending is complete before it is read.
+        shorter, self.ends = [0] * len(grown), [()] * len(grown)
+        order = [0]
+        for s in order:
+            if s:
+                mine = (own[s],) if own[s] else ()
+                self.ends[s] = mine + self.ends[shorter[s]]
+            for byte, child in grown[s].items():
+                back = shorter[s]
+                while back and byte not in grown[back]:
+                    back = shorter[back]
+                shorter[child] = grown[back].get(byte, 0) if s else 0
+                order.append(child)
+        self.step, self._shorter = grown, shorter
+        self.read: dict[int, int] = {}  # state * 256 + byte -> next state, as far as looked up
+
+    def _next(self, s: int, byte: int) -> int:
+        """Transition of the table of label ends."""
+        back = s
+        while back and byte not in self.step[back]:
+            back = self._shorter[back]
+        if len(self.read) > 2_000_000:
+            self.read.clear()
+        nxt = self.read[s << 8 | byte] = self.step[back].get(byte, 0)
+        return nxt
 
     def _gadget(self, u: int, v: int, w: int, rank: int) -> None:
         if w in self.arc_from:
@@ -108,35 +153,39 @@ class Automaton:
     def encode_sorted(self, words: list[bytes]) -> list[list[int]]:
         """The paths of many words. Neighbours that share a prefix share its run through the
         automaton, so sorted words cost little more than their new endings."""
-        token, label, longest, arc, walk = self.token, self.label, self.longest, self.arc, self._walk
-        last, before, out = [-1], b"", []  # last token of the path of each prefix
+        label, ends, read, follow, arc, walk = self.label, self.ends, self.read, self._next, self.arc, self._walk
+        many = self.size
+        last, at, before, out = [-1], [0], b"", []  # last token of the path, and state, of each prefix
         for word in words:
             n = len(word)
             same, most = 0, min(n, len(before))
             while same < most and word[same] == before[same]:
                 same += 1
             before = word
-            del last[same + 1:]
+            del last[same + 1:], at[same + 1:]
+            state = at[same]
             for end in range(same + 1, n + 1):
+                key = state << 8 | word[end - 1]
+                state = read.get(key, -1)
+                if state < 0:
+                    state = follow(key >> 8, key & 255)
                 found = -1
-                for start in range(end - longest if end > longest else 0, end):
-                    t = token.get(word[start:end])
-                    if t is None:
-                        continue
-                    if start:
-                        s = last[start]
+                for size, t in ends[state]:
+                    if size < end:
+                        s = last[end - size]
                         if s < 0:
                             continue
-                        known = arc.get((s, t))
+                        known = arc.get(s * many + t)
                         if known is None:
                             if len(arc) > 2_000_000:
                                 arc.clear()
-                            known = arc[s, t] = walk(s, t)
+                            known = arc[s * many + t] = walk(s, t)
                         if not known:
                             continue
                     found = t
                     break
                 last.append(found)
+                at.append(state)
             path = []
             while n:
                 if last[n] < 0:
