@@ -1,11 +1,13 @@
 """Quality classifier (operator 1): a byte-level convolutional network in numpy.
 
 A text is its UTF-8 bytes, cut into chunks of ``chunk`` bytes that overlap by the width of a
-filter, so every place of the whole document is seen. Learned filters over six bytes in a
-row (byte embeddings, three pairs, stride two) give activations, which are max-pooled over
-each chunk; the pooled vectors of a document are averaged and combined by a logistic layer
+filter, so every place of the whole document is seen; the last chunk reaches back to its full
+length, so an ending of a few bytes doesn't count as much as a whole chunk. Learned filters over six bytes in a
+row (byte embeddings, three pairs) start at every byte; their activations are max-pooled over
+each chunk, and the pooled vectors of a document are averaged and combined by a logistic layer
 into one probability. For scoring, embeddings and filters are multiplied out to one table per
-pair of bytes, so a chunk costs three look-ups and two additions for each second byte.
+pair of bytes, so a chunk costs three look-ups and two additions for each byte: once for the
+pairs that begin at even places, once for those at odd places.
 
 Learning takes at most ``most_rows`` labelled rows of the learnable folds (those with the
 smallest hash of their id and label, a sample that doesn't depend on partitioning). Longer
@@ -40,9 +42,11 @@ THRESHOLD = 0.3
 
 
 def to_pairs(raw: bytes) -> np.ndarray:
-    """The bytes as little-endian pairs, padded with zeros to at least one filter."""
-    need = max(2 * PAIRS, len(raw) + len(raw) % 2)
-    return np.frombuffer(raw.ljust(need, b"\0"), dtype="<u2")
+    """The bytes as little-endian pairs, those that begin at even places and, as second row,
+    those at odd places; padded with zeros to at least one filter in both."""
+    size = max(2 * PAIRS + 1, len(raw) + (len(raw) + 1) % 2)
+    padded = raw.ljust(size, b"\0")
+    return np.stack([np.frombuffer(padded[p:p + size - 1], dtype="<u2") for p in (0, 1)])
 
 
 @dataclass
@@ -75,15 +79,16 @@ class Net:
 
 
 def pooled(tables: list[np.ndarray], pairs: np.ndarray, step: int) -> np.ndarray:
-    """(chunks, FILTERS): rectified maxima of each chunk's activations."""
-    n = len(pairs) - PAIRS + 1
+    """(chunks, FILTERS): rectified maxima of each chunk's activations, over both rows."""
+    n = pairs.shape[1] - PAIRS + 1
     out = []
     for start in range(0, n, step):
+        start = min(start, max(0, n - step))
         k = min(step, n - start)
-        a = tables[0].take(pairs[start:start + k], axis=0)
+        a = tables[0].take(pairs[:, start:start + k], axis=0)
         for p in range(1, PAIRS):
-            a += tables[p].take(pairs[start + p:start + p + k], axis=0)
-        out.append(a.max(axis=0))
+            a += tables[p].take(pairs[:, start + p:start + p + k], axis=0)
+        out.append(a.max(axis=(0, 1)))
     return np.maximum(np.stack(out), 0)
 
 
@@ -114,18 +119,18 @@ def train(
         who = np.concatenate([r.choice(x, batch // 2) for x in by_label])
         y = labels[who].astype(np.float32)
         # Windows of each drawn chunk; short texts give shorter chunks, padded with -1.
-        grid = np.full((batch * per_text, step), -1, dtype=np.int64)
-        flat, offset = [], np.zeros(batch, np.int64)
-        at = 0
+        grid = np.full((batch * per_text, 2 * step), -1, dtype=np.int64)
+        flat, at = [], 0
         for i, w in enumerate(who):
-            n = len(pairs[w]) - PAIRS + 1
-            offset[i] = at
-            flat.append(pairs[w])
+            width = pairs[w].shape[1]
+            n = width - PAIRS + 1
+            flat.append(pairs[w].ravel())
             for j in range(per_text):
-                start = int(r.integers(0, -(-n // step))) * step
+                start = min(int(r.integers(0, -(-n // step))) * step, max(0, n - step))
                 k = min(step, n - start)
                 grid[i * per_text + j, :k] = at + start + np.arange(k)
-            at += len(pairs[w])
+                grid[i * per_text + j, step:step + k] = at + width + start + np.arange(k)
+            at += 2 * width
         stream = np.concatenate(flat)
         tables = net.tables()
         real = grid >= 0
