@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickmart.functions.columns import safe_pct, stable
+from clickmart.operators import sequences
 from clickmart.operators.quantiles import exact_percentiles
 from clickmart.plans.joins import join_small
 from clickmart.schema import PATH_SEPARATOR
@@ -70,10 +71,18 @@ def session_paths(events: DataFrame, bucket: str = "MINUTE") -> DataFrame:
     session only its path, which is the output value. NULL timestamps come first; a NULL
     page type is skipped.
     """
+    return _spelled(_view_runs(events), bucket)
+
+
+def _view_runs(events: DataFrame) -> DataFrame:
+    """Equal (session, timestamp, page type) page views with their count ``__n``."""
     pv = page_views(events).select("session_id", "timestamp", "page_type")
-    runs = pv.groupBy("session_id", "timestamp", "page_type").agg(F.count(F.lit(1)).cast("int").alias("__n"))
-    runs = runs.withColumn("__text", F.when(
-        F.col("page_type").isNotNull(), F.array_join(F.array_repeat("page_type", F.col("__n")), PATH_SEPARATOR)))
+    return pv.groupBy("session_id", "timestamp", "page_type").agg(F.count(F.lit(1)).alias("__n"))
+
+
+def _spelled(runs: DataFrame, bucket: str = "MINUTE") -> DataFrame:
+    runs = runs.withColumn("__text", F.when(F.col("page_type").isNotNull(), F.array_join(
+        F.array_repeat("page_type", F.col("__n").cast("int")), PATH_SEPARATOR)))
 
     def joined(*order: str):
         entries = F.sort_array(F.collect_list(F.struct(*order, "__text")))
@@ -197,14 +206,36 @@ def quantile_thresholds(events: DataFrame) -> DataFrame:
 
 
 # --- M5 ------------------------------------------------------------------------------
-def navigation_paths(events: DataFrame, k: int = TOP_PATHS_K) -> DataFrame:
-    """Most frequent page-type sequences per session (ties broken by ``path``)."""
-    sessions = session_paths(events)
+def navigation_paths(events: DataFrame, k: int = TOP_PATHS_K, head: int = sequences.HEAD) -> DataFrame:
+    """Most frequent page-type sequences per session (ties broken by ``path``).
+
+    Paths are counted by a mergeable value (``sequences``): their first ``head`` characters, length and
+    hashes, so no task holds a whole session, nor all rows without a session. Only the ``k`` paths
+    that win are spelled out, each from one of its sessions, and only if they are longer than
+    ``head``. Longer paths with as many sessions and the same beginning are ordered by
+    length and hash, as comparing them to the end would mean to spell out all of them.
+    """
+    runs = _view_runs(events)
+    valued = runs.withColumn("__v", sequences.run(F.col("page_type"), F.col("__n"), PATH_SEPARATOR, head))
+    sessions = sequences.cascade(
+        valued, "session_id", "timestamp", "__v", ["timestamp", "page_type"], PATH_SEPARATOR, head)
+    key = sequences.same_as(F.col("__v"), head)
+    names = ["head", "__chars", *[f"__h{i}" for i in range(len(sequences.BASES))]]
+    top = (
+        sessions.select("session_id", *key)
+        .groupBy(*names)
+        .agg(F.count(F.lit(1)).alias("session_count"), F.min("session_id").alias("__session"))
+        .orderBy(F.desc("session_count"), *[F.asc(c) for c in names])
+        .limit(k)
+    )
+    long = top.where(F.col("__chars").isNotNull()).select("__session")  # at most k rows
+    same = F.col("session_id").eqNullSafe(F.col("__session"))
+    # an inner join (no two paths share a session) stays above the counting, whose shuffle is reused
+    spelled = _spelled(runs.join(F.broadcast(long), same).drop("__session"))
     return (
-        sessions.groupBy("path")
-        .agg(F.count(F.lit(1)).alias("session_count"))
+        top.join(spelled, same & F.col("__chars").isNotNull(), "left")
+        .select(F.coalesce("path", "head").alias("path"), "session_count")
         .orderBy(F.desc("session_count"), F.asc("path"))
-        .limit(k)
     )
 
 
