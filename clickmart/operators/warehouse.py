@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -207,29 +207,39 @@ def dq_rules(df: DataFrame, table: str) -> list[tuple[str, Column | None]]:
     return rules
 
 
+def row_checks(df: DataFrame, table: str) -> dict[str, Column]:
+    """Rule -> failing-row predicate (a missing column fails every row); dimensions carry no date."""
+    rules = [r for r in dq_rules(df, table) if not (r[0].startswith("ColumnExists") and table in DIM_KEYS)]
+    return {name: F.lit(True) if pred is None else pred for name, pred in rules}
+
+
+def key_rule(key: str) -> str:
+    return f'IsPrimaryKey "{key}"'
+
+
+def repeated_keys(df: DataFrame, key: str) -> Column:
+    return F.count(F.lit(1)) - F.count_distinct(df[key])
+
+
+def scorecard(spark: SparkSession, measured: dict[str, tuple[int, dict[str, int]]]) -> DataFrame:
+    """One row per (table, rule) of what was measured: table -> (rows checked, rule -> failing rows)."""
+    rows = [
+        (table, rule, n, failed, "pass" if failed == 0 else "fail")
+        for table, (n, rules) in measured.items() for rule, failed in rules.items()
+    ]
+    return spark.createDataFrame(
+        rows, "table_name string, rule string, rows_checked long, failed_rows long, outcome string")
+
+
 def dq_scorecard(tables: dict[str, DataFrame]) -> DataFrame:
-    """One row per (table, rule): rows checked, failed, outcome. Each table is scanned
-    once (all its rules are one aggregate); dimension keys are checked for uniqueness."""
-    out = None
+    """W16 of tables that lie somewhere already: each is scanned once, for all its rules. What is
+    being loaded is scored by the load itself (``sinks.load_scored``)."""
+    measured = {}
     for table, df in tables.items():
-        rules = [r for r in dq_rules(df, table) if not (r[0].startswith("ColumnExists") and table in DIM_KEYS)]
-        aggs = [F.count(F.lit(1)).alias("__n")]
-        for i, (_, pred) in enumerate(rules):
-            aggs.append((F.count_if(pred) if pred is not None else F.count(F.lit(1))).alias(f"__r{i}"))
+        aggs = {rule: F.count_if(pred) for rule, pred in row_checks(df, table).items()}
         key = DIM_KEYS.get(table)
         if key:
-            aggs.append((F.count(F.lit(1)) - F.count_distinct(key)).alias("__pk"))
-        agg = df.agg(*aggs)
-        names = [name for name, _ in rules] + ([f'IsPrimaryKey "{key}"'] if key else [])
-        cols = [f"__r{i}" for i in range(len(rules))] + (["__pk"] if key else [])
-        pairs = ", ".join(f"'{n.replace(chr(39), chr(39) * 2)}', CAST({c} AS BIGINT)" for n, c in zip(names, cols))
-        long = agg.select(
-            F.lit(table).alias("table_name"),
-            F.col("__n").cast("long").alias("rows_checked"),
-            F.expr(f"stack({len(names)}, {pairs}) AS (rule, failed_rows)"),
-        )
-        out = long if out is None else out.unionByName(long)
-    return out.select(
-        "table_name", "rule", "rows_checked", "failed_rows",
-        F.when(F.col("failed_rows") == 0, F.lit("pass")).otherwise(F.lit("fail")).alias("outcome"),
-    )
+            aggs[key_rule(key)] = repeated_keys(df, key)
+        found = df.agg(F.count(F.lit(1)), *aggs.values()).first()
+        measured[table] = (found[0], dict(zip(aggs, found[1:], strict=True)))
+    return scorecard(next(iter(tables.values())).sparkSession, measured)

@@ -17,7 +17,7 @@ from clickmart.operators import cleaning, metrics, warehouse
 from clickmart.plans.ingest import validate_raw
 from clickmart.schema import KNOWN_COLUMNS, all_string_schema
 from clickmart.session import clear_scratch, get_session, scratch_dir, scratch_mark
-from clickmart.sinks.writers import load_warehouse, write_error_reports, write_metric, write_quarantine
+from clickmart.sinks.writers import load_scored, write_error_reports, write_metric, write_quarantine
 from clickmart.sources.csv_events import read_raw, typed_events
 
 # Position of a raw row: file, split offset, read order inside the split.
@@ -96,11 +96,7 @@ def run(
         tables = warehouse.all_tables(cleaned, results, process_date)
         tables = {t: warehouse.valid_records(df) if t.startswith("fact_") else df for t, df in tables.items()}
         states = {"dim_product": warehouse.product_state(cleaned)}
-        counts = load_warehouse(tables, warehouse_path, process_date, states=states)
-        loaded = {t: spark.read.schema(df.schema).parquet(f"{warehouse_path}/{t}") for t, df in tables.items()}
-        today = F.col("date") == F.lit(process_date).cast("date")  # of the facts only this run's partition
-        loaded = {t: df.where(today) if "date" in df.columns else df for t, df in loaded.items()}
-        score = warehouse.dq_scorecard(loaded)
+        counts, score = load_scored(tables, warehouse_path, process_date, states=states)
         score.write.mode("overwrite").parquet(f"{warehouse_path}/dq_scorecard/date={process_date}")
     clear_scratch(spark, mark)
     return counts

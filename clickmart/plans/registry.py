@@ -227,15 +227,13 @@ def q_valid_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_dq_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ten tables are loaded into a scratch warehouse and scored from there."""
+    """The ten tables are loaded into a scratch warehouse and scored by that load."""
     from clickmart.session import scratch_dir
+    from clickmart.sinks.writers import load_scored
 
     events = cleaned(spark, sf_dir, cleaning.TIME, cleaning.PRICE)
     tables = warehouse.all_tables(events, {m: fn(events) for m, fn in METRIC_FUNCS.items()}, RUN_DATE)
-    base = scratch_dir(spark, "dq")
-    return warehouse.dq_scorecard({
-        name: cleaning.materialize(df, f"{base}/{name}") for name, df in tables.items()
-    })
+    return load_scored(tables, scratch_dir(spark, "dq"), RUN_DATE)[1]
 
 
 def q_load_from_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,14 +35,26 @@ def load_table(
     idempotent). All but ``append`` write beside the table and switch (``publish``), so a load that
     fails leaves the table as it was. Row counts come from an ``observe`` on the write itself.
     """
+    return _load(df, path, mode, name, process_date, key)[0]
+
+
+def _load(
+    df: DataFrame, path: str, mode: str, name: str, process_date: str | None, key: str | None,
+    table: str | None = None,
+) -> tuple[int, dict[str, int]]:
+    """``load_table``; with a ``table`` the rows that fail each of its rules are counted by the same
+    ``observe``, so scoring reads nothing. Returns (rows written, rule -> failing rows)."""
     if mode == "replace_date" and process_date is None:
         raise ValueError("replace_date needs the process date")
     spark = df.sparkSession
     if mode == "merge":
         df = _merged(df, path, key)
     obs = Observation(name)
-    out = df.drop("date") if mode == "replace_date" else df
-    writer = out.observe(obs, F.count(F.lit(1)).alias("rows")).write.option("compression", "snappy")
+    checks = warehouse.row_checks(df, table) if table else {}
+    failing = [F.count_if(pred).alias(f"failed_{i}") for i, pred in enumerate(checks.values())]
+    out = df.observe(obs, F.count(F.lit(1)).alias("rows"), *failing)
+    out = out.drop("date") if mode == "replace_date" else out
+    writer = out.write.option("compression", "snappy")
     if mode != "replace_date" and "date" in df.columns:
         writer = writer.partitionBy("date")
     if mode == "replace_date":
@@ -53,7 +65,9 @@ def load_table(
         writer.mode("append").parquet(path)
     else:
         raise ValueError(f"unknown load mode {mode!r}")
-    return int(obs.get.get("rows", 0))
+    seen = obs.get
+    failed = {rule: int(seen.get(f"failed_{i}", 0)) for i, rule in enumerate(checks)}
+    return int(seen.get("rows", 0)), failed
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -82,7 +96,33 @@ def load_warehouse(
     ``states`` holds the mergeable aggregates of dimensions that need more than their last
     row: each date's are stored in ``state/<table>`` and replaced with that date, and the
     dimension is folded from all of them."""
-    counts, states = {}, states or {}
+    measured = _load_all(tables, base, process_date, mode, states or {})
+    counts = {table: n for table, (n, _) in measured.items()}
+    return counts | {"total": sum(counts.values())}
+
+
+def load_scored(
+    tables: dict[str, DataFrame], base: str, process_date: str, mode: str = "replace_date",
+    states: dict[str, DataFrame] | None = None,
+) -> tuple[dict[str, int], DataFrame]:
+    """W17 with W16: ``load_warehouse`` and the scorecard of the rows that it wrote. Rules on rows are
+    counted by the writes themselves; only a dimension's key is read back, for its uniqueness."""
+    spark = next(iter(tables.values())).sparkSession
+    measured = _load_all(tables, base, process_date, mode, states or {})
+    counts = {table: n for table, (n, _) in measured.items()}
+    for table, (_, failed) in measured.items():
+        key = DIM_KEYS.get(table)
+        if key:
+            stored = read_table(spark, f"{base.rstrip('/')}/{table}", tables[table].schema)
+            failed[warehouse.key_rule(key)] = stored.agg(warehouse.repeated_keys(stored, key)).first()[0]
+    return counts | {"total": sum(counts.values())}, warehouse.scorecard(spark, measured)
+
+
+def _load_all(
+    tables: dict[str, DataFrame], base: str, process_date: str, mode: str, states: dict[str, DataFrame]
+) -> dict[str, tuple[int, dict[str, int]]]:
+    """Table -> (rows written, rule -> failing rows)."""
+    measured = {}
     base = base.rstrip("/")
     for table, df in tables.items():
         key = DIM_KEYS.get(table)
@@ -93,9 +133,8 @@ def load_warehouse(
             schema = T.StructType([*states[table].schema.fields, T.StructField("date", T.DateType())])
             df = warehouse.FOLDS[table](read_table(df.sparkSession, kept, schema))
             how = "truncate"
-        counts[table] = load_table(df, f"{base}/{table}", how, table, process_date, key)
-    counts["total"] = sum(counts.values())
-    return counts
+        measured[table] = _load(df, f"{base}/{table}", how, table, process_date, key, table)
+    return measured
 
 
 def write_jdbc(
