@@ -216,13 +216,12 @@ def navigation_paths(events: DataFrame, k: int = TOP_PATHS_K, head: int = sequen
     length and hash, as comparing them to the end would mean to spell out all of them.
     """
     runs = _view_runs(events)
-    valued = runs.withColumn("__v", sequences.run(F.col("page_type"), F.col("__n"), PATH_SEPARATOR, head))
+    valued = runs.withColumn("__v", F.expr(sequences.run("page_type", "__n", PATH_SEPARATOR, head)))
     sessions = sequences.cascade(
         valued, "session_id", "timestamp", "__v", ["timestamp", "page_type"], PATH_SEPARATOR, head)
-    key = sequences.same_as(F.col("__v"), head)
     names = ["head", "__chars", *[f"__h{i}" for i in range(len(sequences.BASES))]]
     top = (
-        sessions.select("session_id", *key)
+        sessions.selectExpr("session_id", *sequences.same_as("__v", head))
         .groupBy(*names)
         .agg(F.count(F.lit(1)).alias("session_count"), F.min("session_id").alias("__session"))
         .orderBy(F.desc("session_count"), *[F.asc(c) for c in names])

@@ -14,7 +14,7 @@ and all four hashes agree (about 124 bits).
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PRIME = 2**31 - 1  # products of two residues fit a long
@@ -23,111 +23,87 @@ BASES = (1_103_515_245, 1_664_525, 69_069, 1_597_334_677)
 HEAD = 256
 
 
-def _long(value: int) -> Column:
-    return F.lit(value).cast("long")
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _value(n: Column, chars: Column, head: Column, maps: list[tuple[Column, Column]]) -> Column:
-    fields = [n.alias("n"), chars.alias("chars"), head.alias("head")]
-    for i, (p, h) in enumerate(maps):
-        fields += [p.alias(f"p{i}"), h.alias(f"h{i}")]
-    return F.struct(*fields)
+def _maps(pairs: list[tuple[str, str]]) -> str:
+    """Fields of the maps' factors and summands; expressions are SQL, which builds in one call."""
+    return ", ".join(f"'p{i}', {p}, 'h{i}', {h}" for i, (p, h) in enumerate(pairs))
 
 
-def _map(value: Column, i: int) -> tuple[Column, Column]:
-    return value[f"p{i}"], value[f"h{i}"]
+_EACH = range(len(BASES))
+_ONE = _maps([("1L", "0L")] * len(BASES))
 
 
-def _then(a: tuple[Column, Column], b: tuple[Column, Column]) -> tuple[Column, Column]:
-    """The map of ``a``'s tokens followed by ``b``'s."""
-    return a[0] * b[0] % PRIME, (a[1] * b[0] + b[1]) % PRIME
+def _then(a: str, b: str) -> list[tuple[str, str]]:
+    """The maps of ``a``'s tokens followed by ``b``'s."""
+    return [(f"{a}.p{i} * {b}.p{i} % {PRIME}L", f"({a}.h{i} * {b}.p{i} + {b}.h{i}) % {PRIME}L") for i in _EACH]
 
 
-def empty() -> Column:
-    """The sequence without tokens."""
-    return _value(_long(0), _long(0), F.lit(""), [(_long(1), _long(0))] * len(BASES))
+def _value(n: str, chars: str, head: str, maps: str) -> str:
+    return f"named_struct('n', {n}, 'chars', {chars}, 'head', {head}, {maps})"
 
 
-def _maps_only(maps: list[tuple[Column, Column]]) -> Column:
-    return F.struct(*[c.alias(f"{kind}{i}") for i, m in enumerate(maps) for c, kind in zip(m, "ph", strict=True)])
+def empty() -> str:
+    """The sequence without tokens."""
+    return _value("0L", "0L", "''", _ONE)
 
 
-def _token_maps(text: Column, separator: str) -> Column:
+def _token_maps(text: str, separator: str) -> str:
     """Maps of a text, whose own separators count as cuts between tokens."""
+    # a token's hashes depend on its base's number, so that one chance meeting isn't four
+    token = "named_struct(" + _maps(
+        [(f"{base}L", f"pmod(xxhash64(t, {i}), {PRIME}L)") for i, base in enumerate(BASES)]) + ")"
+    tokens = f"transform(split({text}, {_quoted(chr(92) + 'Q' + separator + chr(92) + 'E')}, -1), t -> {token})"
+    return f"aggregate({tokens}, named_struct({_ONE}), (a, b) -> named_struct({_maps(_then('a', 'b'))}))"
 
-    def add(acc: Column, token: Column) -> Column:
-        return _maps_only([
-            _then(_map(acc, i), (_long(base), F.pmod(F.xxhash64(token, F.lit(i)), _long(PRIME))))
-            for i, base in enumerate(BASES)])
-
-    tokens = F.split(text, f"\\Q{separator}\\E", -1)
-    return F.aggregate(tokens, _maps_only([(_long(1), _long(0))] * len(BASES)), add)
 
-
-def _power(maps: Column, times: Column) -> Column:
+def _power(maps: str, times: str) -> str:
     """A map applied ``times`` times (at least once), by squaring."""
-    one = _maps_only([(_long(1), _long(0))] * len(BASES))
-
-    def step(acc: Column, bit: Column) -> Column:
-        taken = F.getbit(times, bit) == 1
-        done, square = acc["done"], acc["square"]
-        pairs = [_then(_map(done, i), _map(square, i)) for i in range(len(BASES))]
-        chosen = [tuple(F.when(taken, new).otherwise(old) for new, old in zip(pairs[i], _map(done, i), strict=True))
-                  for i in range(len(BASES))]
-        squares = [_then(_map(square, i), _map(square, i)) for i in range(len(BASES))]
-        return F.struct(_maps_only(chosen).alias("done"), _maps_only(squares).alias("square"))
+    done = ", ".join(
+        f"'{kind}{i}', if(getbit({times}, bit) = 1, {new}, s.done.{kind}{i})"
+        for i, pair in enumerate(_then("s.done", "s.square")) for kind, new in zip("ph", pair, strict=True))
+    square = _maps(_then("s.square", "s.square"))
+    return (f"aggregate(sequence(0, cast(floor(log2({times})) as int) + 1), "
+            f"named_struct('done', named_struct({_ONE}), 'square', {maps}), "
+            f"(s, bit) -> named_struct('done', named_struct({done}), 'square', named_struct({square})), s -> s.done)")
 
-    bits = F.sequence(F.lit(0), F.floor(F.log2(times.cast("double"))).cast("int") + 1)
-    return F.aggregate(bits, F.struct(one.alias("done"), maps.alias("square")), step, lambda acc: acc["done"])
 
-
-def _bound(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once, wherever ``use`` mentions it."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
-def run(text: Column, times: Column, separator: str, head: int = HEAD) -> Column:
-    """The sequence that holds ``text`` ``times`` times; a null text gives none."""
+def run(text: str, times: str, separator: str, head: int = HEAD) -> str:
+    """The sequence that holds ``text`` ``times`` times (SQL of a string and a long); a null text gives none."""
     gap = len(separator)
-    shown = F.array_repeat(text, F.least(times, _long(head // gap + 1)).cast("int"))
-    start = F.substring(F.array_join(shown, separator), 1, head)
-    maps = _bound(_token_maps(text, separator), lambda once: F.when(times == 1, once).otherwise(_power(once, times)))
-    value = _bound(maps, lambda m: _value(
-        times, times * (F.length(text) + gap) - gap, start, [_map(m, i) for i in range(len(BASES))]))
-    return F.when(text.isNull(), empty()).otherwise(value)
+    shown = f"array_repeat({text}, cast(least({times}, {head // gap + 1}L) as int))"
+    start = f"substring(array_join({shown}, {_quoted(separator)}), 1, {head})"
+    # transforms of one-element arrays compute a map once, wherever it is mentioned
+    maps = f"transform(array({_token_maps(text, separator)}), e -> if({times} = 1, e, {_power('e', times)}))"
+    value = _value(times, f"{times} * (length({text}) + {gap}) - {gap}", start,
+                   _maps([(f"m.p{i}", f"m.h{i}") for i in _EACH]))
+    return f"if({text} is null, {empty()}, get(transform({maps}, m -> {value}), 0))"
 
 
-def joined(values: Column, separator: str, head: int = HEAD) -> Column:
+def joined(values: str, separator: str, head: int = HEAD) -> str:
     """One value of an array of values in their order; one fold, whose state is a value."""
-
-    def add(a: Column, b: Column) -> Column:
-        # where the head is full, what follows adds nothing to it
-        start = F.when(F.length(a["head"]) >= head, a["head"]).otherwise(
-            F.substring(F.concat(a["head"], F.lit(separator), b["head"]), 1, head))
-        both = _value(a["n"] + b["n"], a["chars"] + b["chars"] + len(separator), start,
-                      [_then(_map(a, i), _map(b, i)) for i in range(len(BASES))])
-        return F.when(b["n"] == 0, a).when(a["n"] == 0, b).otherwise(both)
-
-    return F.aggregate(values, empty(), add)
+    # where the head is full, what follows adds nothing to it
+    start = f"if(length(a.head) >= {head}, a.head, substring(concat(a.head, {_quoted(separator)}, b.head), 1, {head}))"
+    both = _value("a.n + b.n", f"a.chars + b.chars + {len(separator)}", start, _maps(_then("a", "b")))
+    return f"aggregate({values}, {empty()}, (a, b) -> case when b.n = 0 then a when a.n = 0 then b else {both} end)"
 
 
-def same_as(value: Column, head: int = HEAD) -> list[Column]:
+def same_as(value: str, head: int = HEAD) -> list[str]:
     """Grouping columns: equal for equal texts. A text known whole is its own key."""
-    whole = value["chars"] <= head
-    known = lambda c: F.when(~whole, c)
-    hashes = [known(value[f"h{i}"]).alias(f"__h{i}") for i in range(len(BASES))]
-    return [value["head"].alias("head"), known(value["chars"]).alias("__chars"), *hashes]
+    hashes = [f"if({value}.chars > {head}, {value}.h{i}, null) as __h{i}" for i in _EACH]
+    return [f"{value}.head as head", f"if({value}.chars > {head}, {value}.chars, null) as __chars", *hashes]
 
 
-def cascade(rows, key: str, moment: str, value: str, order: list[str], separator: str, head: int = HEAD,
-            levels: tuple[str, ...] = ("SECOND", "HOUR")):
+def cascade(rows: DataFrame, key: str, moment: str, value: str, order: list[str], separator: str, head: int = HEAD,
+            levels: tuple[str, ...] = ("SECOND", "HOUR")) -> DataFrame:
     """One value for each ``key`` of rows with a ``value`` at a ``moment``, joined level by level:
     moments to seconds, seconds to hours, hours to the whole. A task holds the moments of
     one second, the seconds of one hour or the hours of one key, however many rows a key has."""
-    for level in levels:
-        sorted_rows = F.sort_array(F.collect_list(F.struct(*order, value)))
-        rows = rows.groupBy(key, F.date_trunc(level, moment).alias(moment)).agg(
-            joined(F.transform(sorted_rows, lambda s: s[value]), separator, head).alias(value))
+    for level in (*levels, None):
+        parts = f"transform(sort_array(collect_list(struct({', '.join([*order, value])}))), s -> s.{value})"
+        by = [key, F.date_trunc(level, moment).alias(moment)] if level else [key]
+        rows = rows.groupBy(*by).agg(F.expr(joined(parts, separator, head)).alias(value))
         order = [moment]
-    sorted_rows = F.sort_array(F.collect_list(F.struct(*order, value)))
-    return rows.groupBy(key).agg(joined(F.transform(sorted_rows, lambda s: s[value]), separator, head).alias(value))
+    return rows

@@ -2,8 +2,6 @@
 
 from collections import Counter
 
-from pyspark.sql import functions as F
-
 from clickmart.operators import metrics, sequences
 from clickmart.schema import PATH_SEPARATOR as SEP
 
@@ -12,9 +10,10 @@ def value(spark, texts, cuts, head=sequences.HEAD):
     """The value of a list of (text, times), joined in pieces that end at ``cuts``."""
     arrays = []
     for lo, hi in zip([0, *cuts], [*cuts, len(texts)], strict=True):
-        parts = [sequences.run(F.lit(t).cast("string"), F.lit(n).cast("long"), SEP, head) for t, n in texts[lo:hi]]
-        arrays.append(sequences.joined(F.array(*parts), SEP, head) if parts else sequences.empty())
-    return spark.range(1).select(sequences.joined(F.array(*arrays), SEP, head).alias("v")).first().v
+        parts = [sequences.run("cast(null as string)" if t is None else f"'{t}'", f"{n}L", SEP, head)
+                 for t, n in texts[lo:hi]]
+        arrays.append(sequences.joined(f"array({', '.join(parts)})", SEP, head) if parts else sequences.empty())
+    return spark.range(1).selectExpr(sequences.joined(f"array({', '.join(arrays)})", SEP, head) + " as v").first().v
 
 
 def test_cuts_do_not_show_in_the_value(spark):
